@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ludica.functions import features as feat
 from ludica.operators import aggregate as agg
-from ludica.sources.games import games
+from ludica.operators import clean
+from ludica.sources.games import games, raw_games
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -42,3 +43,139 @@ def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def popularity_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = agg.top_k(popularity(spark, sf_dir), "popularityScore", 10, tie_break="appID")
     return top.select("appID", "name", r6("popularityScore").alias("popularityScore"))
+
+
+@query
+def popularity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the whole popularity table, best first (ties by appID)."""
+    pop = popularity(spark, sf_dir).withColumn("popularityScore", r6("popularityScore"))
+    return agg.sort_desc(pop, "popularityScore", tie_break="appID")
+
+
+@query
+def sentiment_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = feat.with_sentiment(games(spark, sf_dir), method="ratio")
+    return df.select("appID", "positive", "negative", r6("sentimentRatio").alias("sentimentRatio"),
+                     "sentimentCategory")
+
+
+@query
+def sentiment_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = feat.with_sentiment(games(spark, sf_dir), method="difference")
+    return df.select("appID", "positive", "negative", "sentimentScore", "sentimentCategory")
+
+
+@query
+def owners_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = games(spark, sf_dir)
+    return df.select("appID", "estimatedOwners", feat.owners_num().alias("estimatedOwnersNum"))
+
+
+@query
+def dedupe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 before and after R1 in one shuffle: count copies per distinct row."""
+    raw = raw_games(spark, sf_dir)
+    copies = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_c"))
+    return copies.agg(F.sum("_c").cast("long").alias("raw_rows"),
+                      F.count(F.lit(1)).alias("distinct_rows"))
+
+
+@query
+def dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + S6 shape: the deduplicated 31-column analysis table."""
+    return games(spark, sf_dir)
+
+
+def platform_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 + R4 + F5: the ANOVA input (name, price, averagePlaytime, platform)."""
+    df = feat.with_platform(games(spark, sf_dir)).select("name", "price", "averagePlaytime", "platform")
+    return clean.positive_filter(df, "price", "averagePlaytime")
+
+
+def platform_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ANOVA input without the 'Mac Only' group."""
+    return clean.exclude_value(platform_table(spark, sf_dir), "platform", "Mac Only")
+
+
+@query
+def platform_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return platform_table(spark, sf_dir)
+
+
+@query
+def platform_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.group_counts(platform_groups(spark, sf_dir), "platform", "count")
+
+
+def genre_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 + R5: (name, gameType, averagePlaytime) for Action / Strategy games."""
+    df = feat.with_game_type(games(spark, sf_dir))
+    return (df.where(F.col("gameType").isNotNull() & (F.col("averagePlaytime") > 0))
+              .select("name", "gameType", "averagePlaytime"))
+
+
+@query
+def genre_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return genre_table(spark, sf_dir)
+
+
+def labeled_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R10 + F7: games with peak users, labelled 0/1/2."""
+    df = clean.positive_filter(games(spark, sf_dir), "peakCCU")
+    return df.withColumn("label", feat.popularity_label())
+
+
+@query
+def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games per popularity label."""
+    return agg.group_counts(labeled_games(spark, sf_dir), "label", "count")
+
+
+@query
+def split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded 80/20 split (seed 1234), counted per part and label."""
+    df = labeled_games(spark, sf_dir)
+    part = F.when(clean.in_fraction("appID", 0.8, 1234), "train").otherwise("test")
+    return df.groupBy(part.alias("split"), "label").agg(F.count(F.lit(1)).alias("count"))
+
+
+REGRESSION_INPUTS = ["recommendations", "positive", "negative", "peakCCU"]
+
+
+def regression_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + R3 + R8: 10 % seeded sample, four int columns, listwise non-NULL."""
+    df = clean.sample_fraction(games(spark, sf_dir), 0.1, seed=42, key="appID")
+    df = df.select("appID", *[F.col(c).cast("int").alias(c) for c in REGRESSION_INPUTS])
+    return clean.drop_nulls(df, REGRESSION_INPUTS)
+
+
+@query
+def sample_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regression_rows(spark, sf_dir)
+
+
+def playtime_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """averagePlaytime as DOUBLE, not NULL and > 0."""
+    return clean.not_null_positive(games(spark, sf_dir), "averagePlaytime", cast="double")
+
+
+@query
+def iqr_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z1 (exact data-point quartiles) summarised: bounds and rows kept."""
+    df = playtime_positive(spark, sf_dir)
+    fence = clean.iqr_bounds(df, "averagePlaytime", method="exact")
+    lit = lambda x: F.lit(x).cast("double")
+    return df.agg(
+        F.count(F.lit(1)).alias("n_in"),
+        F.count(F.when(fence.column("averagePlaytime"), 1)).alias("n_kept"),
+    ).select(r6(lit(fence.q_low)).alias("q1"), r6(lit(fence.q_high)).alias("q3"),
+             r6(lit(fence.q_high - fence.q_low)).alias("iqr"),
+             r6(lit(fence.lower)).alias("lower_bound"), r6(lit(fence.upper)).alias("upper_bound"),
+             "n_in", "n_kept")
+
+
+@query
+def percentile_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ANOVA rows between the 5th and 95th percentile of all groups."""
+    trimmed, _ = clean.percentile_trim(platform_groups(spark, sf_dir), "averagePlaytime", 5, 95)
+    return trimmed

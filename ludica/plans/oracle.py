@@ -107,3 +107,100 @@ SELECT appID, name, ROUND(ps, 6) AS popularityScore
 FROM (SELECT appID, name, popularityScore AS ps FROM pop2
       ORDER BY ps DESC NULLS LAST, appID LIMIT 10) t
 """))
+
+register("popularity_ranking", q(POPULARITY, """
+SELECT appID, name, estimatedOwners, userScore, totalPlaytime,
+       ROUND(popularityScore, 6) AS popularityScore, sentimentCategory
+FROM pop2
+"""))
+
+register("sentiment_ratio", q(POPULARITY, """
+SELECT appID, positive, negative, ROUND(sentimentRatio, 6) AS sentimentRatio, sentimentCategory FROM pop2
+"""))
+
+register("sentiment_difference", q("""
+SELECT appID, positive, negative,
+       CAST(positive AS BIGINT) - CAST(negative AS BIGINT) AS sentimentScore,
+       CASE WHEN CAST(positive AS BIGINT) - CAST(negative AS BIGINT) > 0 THEN 'Positive'
+            WHEN CAST(positive AS BIGINT) - CAST(negative AS BIGINT) = 0 THEN 'Neutral'
+            ELSE 'Negative' END AS sentimentCategory
+FROM games
+"""))
+
+register("owners_parse", q(POPULARITY, """
+SELECT appID, estimatedOwners, estimatedOwnersNum FROM pop
+"""))
+
+register("dedupe_count", q("""
+SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM games) AS distinct_rows
+"""))
+
+register("dedupe_rows", q("""
+SELECT * FROM games
+"""))
+
+register("platform_filtered", q(PLATFORM, """
+SELECT * FROM anova
+"""))
+
+register("platform_counts", q(PLATFORM, """
+SELECT platform, count(*) AS count FROM anova_nm GROUP BY platform
+"""))
+
+register("genre_filtered", q(GENRE, """
+SELECT * FROM mw
+"""))
+
+LABELED = """,
+labeled AS (
+  SELECT *, CASE WHEN peakCCU < 100 THEN 0 WHEN peakCCU >= 100 AND peakCCU < 1000 THEN 1 ELSE 2 END AS label
+  FROM games WHERE peakCCU > 0)
+"""
+
+register("label_counts", q(LABELED, """
+SELECT label, count(*) AS count FROM labeled GROUP BY label
+"""))
+
+register("split_80_20", q(LABELED, """
+SELECT CASE WHEN substring(md5(concat('1234|', appID)), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split,
+       label, count(*) AS count
+FROM labeled GROUP BY 1, 2
+"""))
+
+REGRESSION = """,
+reg AS (
+  SELECT appID, CAST(recommendations AS INT) AS recommendations, CAST(positive AS INT) AS positive,
+         CAST(negative AS INT) AS negative, CAST(peakCCU AS INT) AS peakCCU
+  FROM games
+  WHERE substring(md5(concat('42|', appID)), 1, 8) < '19999999'
+    AND recommendations IS NOT NULL AND positive IS NOT NULL AND negative IS NOT NULL AND peakCCU IS NOT NULL)
+"""
+
+register("sample_10", q(REGRESSION, """
+SELECT * FROM reg
+"""))
+
+PLAYTIME = """,
+pt AS (SELECT *, CAST(averagePlaytime AS DOUBLE) AS apt FROM games
+       WHERE averagePlaytime IS NOT NULL AND CAST(averagePlaytime AS DOUBLE) > 0),
+fence AS (
+  SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+  FROM (SELECT quantile_disc(apt, 0.25) AS q1, quantile_disc(apt, 0.75) AS q3 FROM pt) t),
+cleaned AS (SELECT pt.* FROM pt, fence WHERE apt BETWEEN lo AND hi)
+"""
+
+register("iqr_fence", q(PLAYTIME, """
+SELECT ROUND(q1, 6) AS q1, ROUND(q3, 6) AS q3, ROUND(iqr, 6) AS iqr,
+       ROUND(lo, 6) AS lower_bound, ROUND(hi, 6) AS upper_bound,
+       (SELECT count(*) FROM pt) AS n_in, (SELECT count(*) FROM cleaned) AS n_kept
+FROM fence
+"""))
+
+TRIM = """,
+tb AS (SELECT quantile_cont(averagePlaytime, 0.05) AS lo, quantile_cont(averagePlaytime, 0.95) AS hi FROM anova_nm),
+trimmed AS (SELECT a.* FROM anova_nm a, tb WHERE a.averagePlaytime >= tb.lo AND a.averagePlaytime <= tb.hi)
+"""
+
+register("percentile_trim", q(PLATFORM, TRIM, """
+SELECT * FROM trimmed
+"""))
