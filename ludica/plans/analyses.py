@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ludica.functions import features as feat
 from ludica.operators import aggregate as agg
 from ludica.operators import clean
+from ludica.operators import stats
 from ludica.sources.games import games, raw_games
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,12 +112,12 @@ def genre_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F6 + R5: (name, gameType, averagePlaytime) for Action / Strategy games."""
     df = feat.with_game_type(games(spark, sf_dir))
     return (df.where(F.col("gameType").isNotNull() & (F.col("averagePlaytime") > 0))
-              .select("name", "gameType", "averagePlaytime"))
+              .select("appID", "name", "gameType", "averagePlaytime"))
 
 
 @query
 def genre_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genre_table(spark, sf_dir)
+    return genre_table(spark, sf_dir).drop("appID")
 
 
 def labeled_games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,3 +180,100 @@ def percentile_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ANOVA rows between the 5th and 95th percentile of all groups."""
     trimmed, _ = clean.percentile_trim(platform_groups(spark, sf_dir), "averagePlaytime", 5, 95)
     return trimmed
+
+
+# ------------------------------------------------------------ statistical tests
+
+def _round_all(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Round every DOUBLE column to 6 decimals (hash-comparable output)."""
+    return df.select(*[r6(f.name).alias(f.name) if f.dataType.simpleString() == "double"
+                       and f.name not in keep else F.col(f.name) for f in df.schema.fields])
+
+
+@query
+def levene_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 statistic and degrees of freedom (median-centred)."""
+    return _round_all(stats.levene(platform_groups(spark, sf_dir), "averagePlaytime", "platform",
+                                   with_p=False))
+
+
+@query
+def levene_platform_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with its p-value."""
+    return stats.levene(platform_groups(spark, sf_dir), "averagePlaytime", "platform")
+
+
+@query
+def welch_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 statistic and degrees of freedom."""
+    return _round_all(stats.welch_anova(platform_groups(spark, sf_dir), "averagePlaytime",
+                                        "platform", with_p=False))
+
+
+@query
+def anova_platform_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 as the analysis reports it: F_statistic and P_value."""
+    res = stats.welch_anova(platform_groups(spark, sf_dir), "averagePlaytime", "platform")
+    return res.select("F_statistic", "P_value")
+
+
+@query
+def tukey_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 mean differences and studentized ranges per platform pair."""
+    return _round_all(stats.tukey_hsd(platform_groups(spark, sf_dir), "averagePlaytime",
+                                      "platform", with_p=False))
+
+
+@query
+def tukey_platform_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with adjusted p-values, confidence intervals and reject flags."""
+    return stats.tukey_hsd(platform_groups(spark, sf_dir), "averagePlaytime", "platform")
+
+
+def _mw(spark: SparkSession, sf_dir: str, downsampled: bool, with_p: bool) -> DataFrame:
+    g = genre_table(spark, sf_dir)
+    if downsampled:
+        action = g.where(F.col("gameType") == "Action")
+        strategy = g.where(F.col("gameType") == "Strategy")
+        n = strategy.count()
+        g = clean.downsample(action, n, seed=42, key="appID").unionByName(strategy)
+    res = stats.mann_whitney(g, "averagePlaytime", "gameType", "Action", "Strategy",
+                             with_p=with_p)
+    return res.withColumnRenamed("n_first", "n_action").withColumnRenamed("n_second", "n_strategy")
+
+
+@query
+def mannwhitney_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 on all Action vs all Strategy games: U (for Action), sizes, tie term."""
+    return _round_all(_mw(spark, sf_dir, False, False))
+
+
+@query
+def mannwhitney_downsampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 + T4: Action downsampled (seed 42) to the Strategy count, then U."""
+    return _round_all(_mw(spark, sf_dir, True, False))
+
+
+@query
+def mann_whitney_genre_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 as the analysis reports it (downsampled): U_statistic and P_value."""
+    return _mw(spark, sf_dir, True, True).select("U_statistic", "P_value")
+
+
+def _ttest(spark: SparkSession, sf_dir: str, with_p: bool, method: str) -> DataFrame:
+    df = playtime_positive(spark, sf_dir)
+    cleaned, _ = clean.iqr_fence(df, "averagePlaytime", method=method)
+    cond = F.col("metacriticScore") > feat.METACRITIC_HIGH_ABOVE
+    return stats.welch_t_test(cleaned, "averagePlaytime", cond, with_p=with_p)
+
+
+@query
+def ttest_metacritic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z1 (exact quartiles) + G4 + T5: Welch t statistic and degrees of freedom."""
+    return _round_all(_ttest(spark, sf_dir, False, "exact"))
+
+
+@query
+def ttest_metacritic_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + T6 with the approximate IQR fence of the analysis (error 0.01)."""
+    return _ttest(spark, sf_dir, True, "approx")

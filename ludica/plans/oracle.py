@@ -204,3 +204,75 @@ trimmed AS (SELECT a.* FROM anova_nm a, tb WHERE a.averagePlaytime >= tb.lo AND
 register("percentile_trim", q(PLATFORM, TRIM, """
 SELECT * FROM trimmed
 """))
+
+register("levene_platform", q(PLATFORM, """,
+med AS (SELECT platform, quantile_cont(averagePlaytime, 0.5) AS c FROM anova_nm GROUP BY platform),
+z AS (SELECT a.platform, abs(CAST(a.averagePlaytime AS DOUBLE) - med.c) AS z FROM anova_nm a JOIN med USING (platform)),
+zs AS (SELECT platform, CAST(count(*) AS DOUBLE) AS n, avg(z) AS zbar, var_samp(z) AS zvar FROM z GROUP BY platform),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS k, sum(n) AS ntot, sum(n * zbar) / sum(n) AS zall FROM zs),
+ss AS (SELECT sum(zs.n * (zbar - zall) * (zbar - zall)) AS ssb, sum(coalesce((zs.n - 1) * zvar, 0)) AS ssw FROM zs, tot)
+SELECT ROUND((ntot - k) / (k - 1) * ssb / ssw, 6) AS statistic, ROUND(k - 1, 6) AS df1, ROUND(ntot - k, 6) AS df2
+FROM tot, ss
+"""))
+
+register("welch_platform", q(PLATFORM, """,
+st AS (SELECT platform, CAST(count(*) AS DOUBLE) AS n, avg(CAST(averagePlaytime AS DOUBLE)) AS m,
+              var_samp(CAST(averagePlaytime AS DOUBLE)) AS v FROM anova_nm GROUP BY platform),
+wt AS (SELECT *, n / v AS w FROM st),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS k, sum(w) AS wsum, sum(w * m) / sum(w) AS mbar FROM wt),
+parts AS (SELECT sum(w * (m - mbar) * (m - mbar)) / (k - 1) AS a,
+                 sum((1 - w / wsum) * (1 - w / wsum) / (n - 1)) AS lam, k
+          FROM wt, tot GROUP BY k)
+SELECT ROUND(a / (1 + 2 * (k - 2) * lam / (k * k - 1)), 6) AS F_statistic,
+       ROUND(k - 1, 6) AS df1, ROUND((k * k - 1) / (3 * lam), 6) AS df2
+FROM parts
+"""))
+
+register("tukey_platform", q(PLATFORM, """,
+st AS (SELECT platform, CAST(count(*) AS DOUBLE) AS n, avg(CAST(averagePlaytime AS DOUBLE)) AS m,
+              var_samp(CAST(averagePlaytime AS DOUBLE)) AS v FROM anova_nm GROUP BY platform),
+mse AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM st)
+SELECT a.platform AS group1, b.platform AS group2, ROUND(b.m - a.m, 6) AS meandiff,
+       ROUND(abs(b.m - a.m) / sqrt(mse / 2 * (1 / a.n + 1 / b.n)), 6) AS q
+FROM st a JOIN st b ON a.platform < b.platform, mse
+"""))
+
+MW_CORE = """,
+vc AS (SELECT averagePlaytime AS v, CAST(count(*) AS DOUBLE) AS t,
+              CAST(sum(CASE WHEN gameType = 'Action' THEN 1 ELSE 0 END) AS DOUBLE) AS na
+       FROM mwin GROUP BY averagePlaytime),
+rk AS (SELECT *, sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - (t - 1) / 2 AS midrank FROM vc),
+s AS (SELECT sum(na * midrank) AS ra, sum(na) AS n1, sum(t) AS n, sum(t * t * t - t) AS tie_term FROM rk)
+SELECT ROUND(ra - n1 * (n1 + 1) / 2, 6) AS U_statistic, CAST(n1 AS BIGINT) AS n_action,
+       CAST(n - n1 AS BIGINT) AS n_strategy, ROUND(tie_term, 6) AS tie_term
+FROM s
+"""
+
+register("mannwhitney_genre", q(GENRE, """,
+mwin AS (SELECT * FROM mw WHERE gameType IN ('Action', 'Strategy'))
+""", MW_CORE))
+
+register("mannwhitney_downsampled", q(GENRE, """,
+mwa AS (SELECT appID, gameType, averagePlaytime FROM gt WHERE gameType IS NOT NULL AND averagePlaytime > 0),
+act AS (SELECT *, row_number() OVER (ORDER BY md5(concat('42|', appID)), appID) AS rn
+        FROM mwa WHERE gameType = 'Action'),
+mwin AS (SELECT gameType, averagePlaytime FROM act
+         WHERE rn <= (SELECT count(*) FROM mwa WHERE gameType = 'Strategy')
+         UNION ALL SELECT gameType, averagePlaytime FROM mwa WHERE gameType = 'Strategy')
+""", MW_CORE))
+
+register("ttest_metacritic", q(PLAYTIME, """,
+s AS (SELECT count(CASE WHEN metacriticScore > 75 THEN apt END) AS n_high,
+             count(CASE WHEN metacriticScore <= 75 THEN apt END) AS n_low,
+             avg(CASE WHEN metacriticScore > 75 THEN apt END) AS mean_high,
+             avg(CASE WHEN metacriticScore <= 75 THEN apt END) AS mean_low,
+             var_samp(CASE WHEN metacriticScore > 75 THEN apt END) AS va,
+             var_samp(CASE WHEN metacriticScore <= 75 THEN apt END) AS vb
+      FROM cleaned)
+SELECT n_high, n_low, ROUND(mean_high, 6) AS mean_high, ROUND(mean_low, 6) AS mean_low,
+       ROUND(sqrt(va), 6) AS sd_high, ROUND(sqrt(vb), 6) AS sd_low,
+       ROUND((mean_high - mean_low) / sqrt(va / n_high + vb / n_low), 6) AS t_statistic,
+       ROUND((va / n_high + vb / n_low) * (va / n_high + vb / n_low)
+             / ((va / n_high) * (va / n_high) / (n_high - 1) + (vb / n_low) * (vb / n_low) / (n_low - 1)), 6) AS df
+FROM s
+"""))
