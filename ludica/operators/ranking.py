@@ -73,14 +73,16 @@ def bucket_bounds(vc: DataFrame, value: str, buckets: int) -> list[float]:
 
 def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None = None,
                    count: str = COUNT, buckets: int | None = None,
-                   materialize: bool = True) -> DataFrame:
+                   materialize: bool = False) -> DataFrame:
     """Add ``_cum`` (running count up to and including the value) and ``_total``.
 
     ``vc`` holds distinct (group, value) rows with a count column. Ordering is
-    by value within each group. ``materialize`` checkpoints ``vc`` to the
-    shared checkpoint directory first: the bucket bounds and the final pass
-    then read the same, small, distinct-value table instead of rescanning
-    the source twice, and an executor loss cannot change the bounds.
+    by value within each group. The result is exact whatever the bucket
+    bounds are (they only balance the work), so recomputing ``vc`` after an
+    executor loss cannot change it. ``materialize`` checkpoints ``vc`` to the
+    shared checkpoint directory first, so the bounds sketch and the final
+    pass read the small distinct-value table instead of rescanning the
+    source twice - worth it when the source is expensive to recompute.
     """
     g = _as_list(group)
     if materialize:

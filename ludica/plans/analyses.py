@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ludica.functions import features as feat
 from ludica.operators import aggregate as agg
 from ludica.operators import clean
-from ludica.operators import stats
+from ludica.operators import charts, correlation, ml, stats
+from ludica.schema import ANALYSIS_SCHEMA, numeric_columns
 from ludica.sources.games import games, raw_games
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -277,3 +278,172 @@ def ttest_metacritic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ttest_metacritic_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 + T6 with the approximate IQR fence of the analysis (error 0.01)."""
     return _ttest(spark, sf_dir, True, "approx")
+
+
+# ------------------------------------------------------------------ chart data
+
+def trimmed_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.percentile_trim(platform_groups(spark, sf_dir), "averagePlaytime", 5, 95)[0]
+
+
+def trimmed_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.percentile_trim(genre_table(spark, sf_dir), "averagePlaytime", 5, 95)[0]
+
+
+@query
+def box_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z2 + V1 by platform."""
+    return _round_all(charts.box_stats(trimmed_platforms(spark, sf_dir), "averagePlaytime",
+                                       "platform"))
+
+
+@query
+def box_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z2 + V1 by game type."""
+    return _round_all(charts.box_stats(trimmed_genres(spark, sf_dir), "averagePlaytime",
+                                       "gameType"))
+
+
+@query
+def hist_platform_30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z2 + V2: 30 common bins, counts per platform."""
+    return _round_all(charts.histogram(trimmed_platforms(spark, sf_dir), "averagePlaytime",
+                                       "platform", 30))
+
+
+@query
+def hist_genre_50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z2 + V2: 50 common bins, counts per game type."""
+    return _round_all(charts.histogram(trimmed_genres(spark, sf_dir), "averagePlaytime",
+                                       "gameType", 50))
+
+
+def _kde(df: DataFrame, group: str) -> DataFrame:
+    k = charts.kde(df, "averagePlaytime", group, grid=200)
+    return k.select(group, "grid_index", r6("x").alias("x"),
+                    F.round("density", 9).alias("density"))
+
+
+@query
+def kde_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z2 + V3: density curve per game type on 200 grid points."""
+    return _kde(trimmed_genres(spark, sf_dir), "gameType")
+
+
+@query
+def kde_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z2 + V3: density curve per platform on 200 grid points."""
+    return _kde(trimmed_platforms(spark, sf_dir), "platform")
+
+
+NUMERIC = numeric_columns(ANALYSIS_SCHEMA)
+
+
+@query
+def corr_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 long form: r for the 91 pairs of the 14 numeric columns (pairwise)."""
+    c = correlation.corr_long(games(spark, sf_dir), NUMERIC)
+    return c.select("feature_a", "feature_b", r6("r").alias("r"))
+
+
+@query
+def corr_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 wide form (the analysis' correlation table), listwise deletion."""
+    return _round_all(correlation.corr_wide(games(spark, sf_dir), NUMERIC, listwise=True))
+
+
+@query
+def corr_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4: heatmap annotations, r to 2 decimals."""
+    c = correlation.corr_long(games(spark, sf_dir), NUMERIC)
+    return c.select("feature_a", "feature_b", F.round(F.col("r"), 2).alias("r"))
+
+
+# ----------------------------------------------------------------------- models
+
+POLY_INPUTS = ["recommendations", "negative", "peakCCU"]
+CLASSIFIER_INPUTS = ["price", "recommendations", "positive", "negative", "medianPlaytime"]
+
+
+@query
+def poly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 + L3: degree-2 expansion of the regression inputs as columns."""
+    return ml.poly_columns(regression_rows(spark, sf_dir), POLY_INPUTS, keep=["appID", "positive"])
+
+
+def _regression(spark: SparkSession, sf_dir: str):
+    rows = regression_rows(spark, sf_dir)
+    data = ml.poly_expand(ml.assemble(rows, POLY_INPUTS)).select("poly_features", "positive")
+    return ml.fit_regression(data, "poly_features", "positive"), data
+
+
+@query
+def regression_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 + L5: polynomial least squares fit and its training metrics."""
+    model, _ = _regression(spark, sf_dir)
+    return ml.regression_summary(model, spark)
+
+
+@query
+def regression_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real vs predicted positive reviews."""
+    model, data = _regression(spark, sf_dir)
+    return ml.predictions(model, data, "positive")
+
+
+@query
+def regression_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5: axis bounds and identity-line ends of the prediction scatter."""
+    model, data = _regression(spark, sf_dir)
+    return charts.scatter_bounds(ml.predictions(model, data, "positive"), "real_positive",
+                                 "prediction")
+
+
+def classifier_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """L1 + P2: labelled feature vectors, seeded 80/20 train/test split."""
+    df = ml.assemble(labeled_games(spark, sf_dir), CLASSIFIER_INPUTS).select(
+        "appID", "features", "label")
+    return clean.split(df, 0.8, seed=1234, key="appID")
+
+
+@query
+def tree_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L7 + L9: decision tree test accuracy."""
+    train, test = classifier_split(spark, sf_dir)
+    return ml.accuracy(ml.fit_tree(train).transform(test))
+
+
+@query
+def tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learned tree (depth, nodes, readable form)."""
+    train, _ = classifier_split(spark, sf_dir)
+    m = ml.fit_tree(train)
+    return spark.createDataFrame([(m.depth, m.numNodes, m.toDebugString)],
+                                 "depth int, num_nodes int, tree string")
+
+
+def _forest(spark: SparkSession, sf_dir: str):
+    train, test = classifier_split(spark, sf_dir)
+    model = ml.fit_forest(train, num_trees=20)
+    return model, model.transform(test)
+
+
+@query
+def forest_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 + L9: random forest (20 trees) test accuracy."""
+    _, pred = _forest(spark, sf_dir)
+    return ml.accuracy(pred)
+
+
+@query
+def forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature importances of the forest."""
+    model, _ = _forest(spark, sf_dir)
+    return ml.importances(model, CLASSIFIER_INPUTS, spark)
+
+
+@query
+def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest confusion matrix over Low / Medium / High."""
+    _, pred = _forest(spark, sf_dir)
+    return ml.confusion(pred, [0, 1, 2], feat.POPULARITY_LABEL_NAMES)

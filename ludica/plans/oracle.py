@@ -276,3 +276,96 @@ SELECT n_high, n_low, ROUND(mean_high, 6) AS mean_high, ROUND(mean_low, 6) AS me
              / ((va / n_high) * (va / n_high) / (n_high - 1) + (vb / n_low) * (vb / n_low) / (n_low - 1)), 6) AS df
 FROM s
 """))
+
+GENRE_TRIM = """,
+gb AS (SELECT quantile_cont(averagePlaytime, 0.05) AS lo, quantile_cont(averagePlaytime, 0.95) AS hi FROM mw),
+gtrim AS (SELECT m.* FROM mw m, gb WHERE m.averagePlaytime >= gb.lo AND m.averagePlaytime <= gb.hi)
+"""
+
+
+def _box(src: str, g: str) -> str:
+    return f""",
+bq AS (SELECT {g}, quantile_cont(averagePlaytime, 0.25) AS q1, quantile_cont(averagePlaytime, 0.5) AS median,
+              quantile_cont(averagePlaytime, 0.75) AS q3 FROM {src} GROUP BY {g}),
+bj AS (SELECT t.{g}, CAST(t.averagePlaytime AS DOUBLE) AS v, q1, median, q3,
+              q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+       FROM {src} t JOIN bq USING ({g}))
+SELECT {g}, count(*) AS n, ROUND(avg(v), 6) AS mean, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median,
+       ROUND(q3, 6) AS q3,
+       ROUND(min(CASE WHEN v >= lo AND v <= hi THEN v END), 6) AS whisker_low,
+       ROUND(max(CASE WHEN v >= lo AND v <= hi THEN v END), 6) AS whisker_high,
+       count(CASE WHEN NOT (v >= lo AND v <= hi) THEN 1 END) AS n_outliers
+FROM bj GROUP BY {g}, q1, median, q3
+"""
+
+
+def _hist(src: str, g: str, bins: int) -> str:
+    return f""",
+he AS (SELECT min(CAST(averagePlaytime AS DOUBLE)) AS lo, max(CAST(averagePlaytime AS DOUBLE)) AS hi FROM {src}),
+hb AS (SELECT {g}, CAST(least(floor((CAST(averagePlaytime AS DOUBLE) - lo) * ({bins} / (hi - lo))), {bins - 1}) AS INT) AS bin,
+              lo, (hi - lo) / {bins} AS step
+       FROM {src}, he)
+SELECT {g}, bin, ROUND(lo + bin * step, 6) AS bin_lo, ROUND(lo + (bin + 1) * step, 6) AS bin_hi, count(*) AS count
+FROM hb GROUP BY {g}, bin, lo, step
+"""
+
+
+def _kde(src: str, g: str) -> str:
+    return f""",
+kp AS (SELECT {g}, CAST(count(*) AS DOUBLE) AS n, stddev_samp(CAST(averagePlaytime AS DOUBLE)) AS sd,
+              min(CAST(averagePlaytime AS DOUBLE)) AS mn, max(CAST(averagePlaytime AS DOUBLE)) AS mx
+       FROM {src} GROUP BY {g}),
+kp2 AS (SELECT *, sd * pow(n, -0.2) AS bw FROM kp),
+kp3 AS (SELECT *, mn - 3.0 * bw AS g0, (mx - mn + 6.0 * bw) / 199 AS step FROM kp2 WHERE bw > 0),
+kv AS (SELECT {g}, CAST(averagePlaytime AS DOUBLE) AS v, CAST(count(*) AS DOUBLE) AS c FROM {src} GROUP BY 1, 2),
+grid AS (SELECT CAST(range AS INTEGER) AS i FROM range(200))
+SELECT {g}, i AS grid_index, ROUND(g0 + i * step, 6) AS x,
+       ROUND(sum(c * exp(-0.5 * pow((g0 + i * step - v) / bw, 2))) / (n * bw * sqrt(2 * pi())), 9) AS density
+FROM kv JOIN kp3 USING ({g}) CROSS JOIN grid
+GROUP BY {g}, i, g0, step, n, bw
+"""
+
+
+register("box_platform", q(PLATFORM, TRIM, _box("trimmed", "platform")))
+register("box_genre", q(GENRE, GENRE_TRIM, _box("gtrim", "gameType")))
+register("hist_platform_30", q(PLATFORM, TRIM, _hist("trimmed", "platform", 30)))
+register("hist_genre_50", q(GENRE, GENRE_TRIM, _hist("gtrim", "gameType", 50)))
+register("kde_genre", q(GENRE, GENRE_TRIM, _kde("gtrim", "gameType")))
+register("kde_platform", q(PLATFORM, TRIM, _kde("trimmed", "platform")))
+
+# fixed values: the 14 numeric analysis columns in schema order
+NUMERIC = ["peakCCU", "requiredAge", "price", "dlcCount", "metacriticScore", "userScore",
+           "positive", "negative", "achievements", "recommendations", "averagePlaytime",
+           "averagePlaytime2W", "medianPlaytime", "medianPlaytime2W"]
+_PAIRS = [(a, b) for i, a in enumerate(NUMERIC) for b in NUMERIC[i + 1:]]
+
+
+def _corr_long(digits: int) -> str:
+    parts = [f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, "
+             f"ROUND(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {digits}) AS r FROM games"
+             for a, b in _PAIRS]
+    return q("\n" + "\nUNION ALL\n".join(parts))
+
+
+register("corr_long", _corr_long(6))
+register("corr_heatmap", _corr_long(2))
+
+_LW = ",\nlw AS (SELECT * FROM games WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC) + ")\n"
+register("corr_wide", q(_LW, "\nUNION ALL\n".join(
+    "SELECT '" + a + "' AS feature, " + ", ".join(
+        f"ROUND(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS {b}" for b in NUMERIC)
+    + " FROM lw" for a in NUMERIC)))
+
+register("poly_features", q(REGRESSION, """
+SELECT appID, positive,
+       CAST(recommendations AS DOUBLE) AS recommendations,
+       CAST(recommendations AS DOUBLE) * recommendations AS recommendations_sq,
+       CAST(negative AS DOUBLE) AS negative,
+       CAST(recommendations AS DOUBLE) * negative AS recommendations_x_negative,
+       CAST(negative AS DOUBLE) * negative AS negative_sq,
+       CAST(peakCCU AS DOUBLE) AS peakCCU,
+       CAST(recommendations AS DOUBLE) * peakCCU AS recommendations_x_peakCCU,
+       CAST(negative AS DOUBLE) * peakCCU AS negative_x_peakCCU,
+       CAST(peakCCU AS DOUBLE) * peakCCU AS peakCCU_sq
+FROM reg
+"""))
