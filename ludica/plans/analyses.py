@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ludica.functions import features as feat
 from ludica.operators import aggregate as agg
 from ludica.operators import clean
-from ludica.operators import charts, correlation, ml, stats
+from ludica.operators import charts, correlation, ingest, ml, stats
+from ludica.session import scratch_path
+from ludica.sources import messages
+from ludica.streaming import pipeline
 from ludica.schema import ANALYSIS_SCHEMA, numeric_columns
 from ludica.sources.games import games, raw_games
 
@@ -447,3 +450,34 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest confusion matrix over Low / Medium / High."""
     _, pred = _forest(spark, sf_dir)
     return ml.confusion(pred, [0, 1, 2], feat.POPULARITY_LABEL_NAMES)
+
+
+# ----------------------------------------------------------------------- ingest
+
+def catalog_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 over event-stream lines derived from the catalogue."""
+    return messages.sse_to_messages(messages.catalog_to_sse_lines(games(spark, sf_dir)))
+
+
+@query
+def sse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-stream lines -> envelope messages."""
+    return catalog_messages(spark, sf_dir)
+
+
+@query
+def ingest_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M8: envelope messages -> 41-column landed rows (batch plan)."""
+    return ingest.messages_to_rows(catalog_messages(spark, sf_dir))
+
+
+@query
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 -> M1-M8 -> S5 as a Structured Streaming run (availableNow) over
+    message files written from the catalogue; returns the landed table."""
+    src_dir = scratch_path(spark, "messages")
+    catalog_messages(spark, sf_dir).repartition(4).write.mode("overwrite").text(src_dir)
+    out, ckpt = scratch_path(spark, "landed"), pipeline.checkpoint_location(spark, "ingest")
+    source = messages.read_message_files(spark, src_dir, streaming=True, max_files_per_trigger=2)
+    pipeline.ingest_stream(source, out, ckpt, trigger="availableNow").awaitTermination()
+    return pipeline.load_landed(spark, out)

@@ -369,3 +369,31 @@ SELECT appID, positive,
        CAST(peakCCU AS DOUBLE) * peakCCU AS peakCCU_sq
 FROM reg
 """))
+
+register("ingest_map", q("""
+SELECT appID, name, releaseDate, estimatedOwners,
+       CASE WHEN CAST(appID AS BIGINT) % 7 = 0 THEN 0 ELSE peakCCU END AS peakCCU,
+       requiredAge, price, dlcCount,
+       CAST(NULL AS VARCHAR) AS longDesc, CAST(NULL AS VARCHAR) AS shortDesc,
+       languages, fullAudioLanguages, reviews,
+       CAST(NULL AS VARCHAR) AS headerImage, CAST(NULL AS VARCHAR) AS website,
+       CAST(NULL AS VARCHAR) AS supportWeb, CAST(NULL AS VARCHAR) AS supportEmail,
+       supportWindows, supportMac,
+       CASE WHEN CAST(appID AS BIGINT) % 13 = 0 THEN false ELSE supportLinux END AS supportLinux,
+       metacriticScore, CAST(NULL AS VARCHAR) AS metacriticURL, userScore, positive, negative, scoreRank,
+       CASE WHEN CAST(appID AS BIGINT) % 17 = 0 THEN 0 ELSE achievements END AS achievements,
+       recommendations, CAST(NULL AS VARCHAR) AS notes,
+       averagePlaytime, averagePlaytime2W, medianPlaytime, medianPlaytime2W,
+       CAST(NULL AS VARCHAR) AS packages, developers, publishers, categories, genres,
+       CAST(NULL AS VARCHAR) AS screenshots, CAST(NULL AS VARCHAR) AS movies, tags
+FROM games
+WHERE peakCCU IS NOT NULL AND requiredAge IS NOT NULL AND price IS NOT NULL AND dlcCount IS NOT NULL
+  AND supportWindows IS NOT NULL AND supportMac IS NOT NULL AND supportLinux IS NOT NULL
+  AND metacriticScore IS NOT NULL AND userScore IS NOT NULL AND positive IS NOT NULL
+  AND negative IS NOT NULL AND achievements IS NOT NULL AND recommendations IS NOT NULL
+  AND averagePlaytime IS NOT NULL AND averagePlaytime2W IS NOT NULL AND medianPlaytime IS NOT NULL
+  AND medianPlaytime2W IS NOT NULL
+"""))
+
+# The streamed landing must equal the batch mapping row for row.
+register("ingest_stream", ORACLE["ingest_map"])
