@@ -21,6 +21,7 @@ from ludica.sources import messages
 from ludica.streaming import pipeline
 from ludica.schema import ANALYSIS_SCHEMA, numeric_columns
 from ludica.sources.games import games, raw_games
+from ludica.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -481,3 +482,70 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = messages.read_message_files(spark, src_dir, streaming=True, max_files_per_trigger=2)
     pipeline.ingest_stream(source, out, ckpt, trigger="availableNow").awaitTermination()
     return pipeline.load_landed(spark, out)
+
+
+# --------------------------------------------------- operators on driver tables
+# The generic operators run unchanged on the large driver tables; these keep
+# the skew-safe rank and quantile paths honest on high-cardinality doubles.
+
+def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    return read_table(spark, sf_dir, name).select(*cols)
+
+
+@query
+def welch_orders_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 on orders: total price by order priority."""
+    o = _table(spark, sf_dir, "orders", "o_totalprice", "o_orderpriority")
+    return _round_all(stats.welch_anova(o, "o_totalprice", "o_orderpriority", with_p=False))
+
+
+@query
+def tukey_orders_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 on orders: pairwise priority differences of total price."""
+    o = _table(spark, sf_dir, "orders", "o_totalprice", "o_orderpriority")
+    return _round_all(stats.tukey_hsd(o, "o_totalprice", "o_orderpriority", with_p=False))
+
+
+@query
+def levene_lineitem_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on lineitem: extended price spread by return flag (exact medians)."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_returnflag")
+    return _round_all(stats.levene(li, "l_extendedprice", "l_returnflag", with_p=False))
+
+
+@query
+def mannwhitney_lineitem_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 on lineitem: extended price, return flag A vs R (global midranks)."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_returnflag")
+    return _round_all(stats.mann_whitney(li, "l_extendedprice", "l_returnflag", "A", "R",
+                                         with_p=False))
+
+
+@query
+def ttest_lineitem_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 on lineitem: extended price with discount above vs at most 0.05."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_discount")
+    return _round_all(stats.welch_t_test(li, "l_extendedprice", F.col("l_discount") > 0.05,
+                                         with_p=False))
+
+
+@query
+def box_lineitem_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 on lineitem: extended price box statistics per return flag."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_returnflag")
+    return _round_all(charts.box_stats(li, "l_extendedprice", "l_returnflag"))
+
+
+@query
+def hist_lineitem_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 on lineitem: 50-bin extended price histogram per return flag."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_returnflag")
+    return _round_all(charts.histogram(li, "l_extendedprice", "l_returnflag", 50))
+
+
+@query
+def corr_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 on lineitem: pairwise correlations of the numeric measures."""
+    li = _table(spark, sf_dir, "lineitem", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    c = correlation.corr_long(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return c.select("feature_a", "feature_b", r6("r").alias("r"))

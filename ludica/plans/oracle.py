@@ -283,11 +283,11 @@ gtrim AS (SELECT m.* FROM mw m, gb WHERE m.averagePlaytime >= gb.lo AND m.averag
 """
 
 
-def _box(src: str, g: str) -> str:
+def _box(src: str, g: str, v: str = "averagePlaytime") -> str:
     return f""",
-bq AS (SELECT {g}, quantile_cont(averagePlaytime, 0.25) AS q1, quantile_cont(averagePlaytime, 0.5) AS median,
-              quantile_cont(averagePlaytime, 0.75) AS q3 FROM {src} GROUP BY {g}),
-bj AS (SELECT t.{g}, CAST(t.averagePlaytime AS DOUBLE) AS v, q1, median, q3,
+bq AS (SELECT {g}, quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.5) AS median,
+              quantile_cont({v}, 0.75) AS q3 FROM {src} GROUP BY {g}),
+bj AS (SELECT t.{g}, CAST(t.{v} AS DOUBLE) AS v, q1, median, q3,
               q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
        FROM {src} t JOIN bq USING ({g}))
 SELECT {g}, count(*) AS n, ROUND(avg(v), 6) AS mean, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median,
@@ -299,10 +299,10 @@ FROM bj GROUP BY {g}, q1, median, q3
 """
 
 
-def _hist(src: str, g: str, bins: int) -> str:
+def _hist(src: str, g: str, bins: int, v: str = "averagePlaytime") -> str:
     return f""",
-he AS (SELECT min(CAST(averagePlaytime AS DOUBLE)) AS lo, max(CAST(averagePlaytime AS DOUBLE)) AS hi FROM {src}),
-hb AS (SELECT {g}, CAST(least(floor((CAST(averagePlaytime AS DOUBLE) - lo) * ({bins} / (hi - lo))), {bins - 1}) AS INT) AS bin,
+he AS (SELECT min(CAST({v} AS DOUBLE)) AS lo, max(CAST({v} AS DOUBLE)) AS hi FROM {src}),
+hb AS (SELECT {g}, CAST(least(floor((CAST({v} AS DOUBLE) - lo) * ({bins} / (hi - lo))), {bins - 1}) AS INT) AS bin,
               lo, (hi - lo) / {bins} AS step
        FROM {src}, he)
 SELECT {g}, bin, ROUND(lo + bin * step, 6) AS bin_lo, ROUND(lo + (bin + 1) * step, 6) AS bin_hi, count(*) AS count
@@ -397,3 +397,79 @@ WHERE peakCCU IS NOT NULL AND requiredAge IS NOT NULL AND price IS NOT NULL AND
 
 # The streamed landing must equal the batch mapping row for row.
 register("ingest_stream", ORACLE["ingest_map"])
+
+
+# ----------------------------------------------------- driver tables directly
+
+def _welch(src: str, v: str, g: str) -> str:
+    return f"""
+WITH st AS (SELECT {g} AS g, CAST(count(*) AS DOUBLE) AS n, avg(CAST({v} AS DOUBLE)) AS m,
+                   var_samp(CAST({v} AS DOUBLE)) AS v FROM {src} WHERE {g} IS NOT NULL AND {v} IS NOT NULL GROUP BY {g}),
+wt AS (SELECT *, n / v AS w FROM st),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS k, sum(w) AS wsum, sum(w * m) / sum(w) AS mbar FROM wt),
+parts AS (SELECT sum(w * (m - mbar) * (m - mbar)) / (k - 1) AS a,
+                 sum((1 - w / wsum) * (1 - w / wsum) / (n - 1)) AS lam, k
+          FROM wt, tot GROUP BY k)
+SELECT ROUND(a / (1 + 2 * (k - 2) * lam / (k * k - 1)), 6) AS F_statistic,
+       ROUND(k - 1, 6) AS df1, ROUND((k * k - 1) / (3 * lam), 6) AS df2
+FROM parts
+"""
+
+
+register("welch_orders_priority", _welch("orders", "o_totalprice", "o_orderpriority"))
+
+register("tukey_orders_priority", """
+WITH st AS (SELECT o_orderpriority AS g, CAST(count(*) AS DOUBLE) AS n, avg(o_totalprice) AS m,
+                   var_samp(o_totalprice) AS v FROM orders GROUP BY o_orderpriority),
+mse AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM st)
+SELECT a.g AS group1, b.g AS group2, ROUND(b.m - a.m, 6) AS meandiff,
+       ROUND(abs(b.m - a.m) / sqrt(mse / 2 * (1 / a.n + 1 / b.n)), 6) AS q
+FROM st a JOIN st b ON a.g < b.g, mse
+""")
+
+register("levene_lineitem_flag", """
+WITH med AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS c FROM lineitem GROUP BY 1),
+z AS (SELECT l.l_returnflag, abs(l.l_extendedprice - med.c) AS z FROM lineitem l JOIN med USING (l_returnflag)),
+zs AS (SELECT l_returnflag, CAST(count(*) AS DOUBLE) AS n, avg(z) AS zbar, var_samp(z) AS zvar FROM z GROUP BY 1),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS k, sum(n) AS ntot, sum(n * zbar) / sum(n) AS zall FROM zs),
+ss AS (SELECT sum(zs.n * (zbar - zall) * (zbar - zall)) AS ssb, sum(coalesce((zs.n - 1) * zvar, 0)) AS ssw FROM zs, tot)
+SELECT ROUND((ntot - k) / (k - 1) * ssb / ssw, 6) AS statistic, ROUND(k - 1, 6) AS df1, ROUND(ntot - k, 6) AS df2
+FROM tot, ss
+""")
+
+register("mannwhitney_lineitem_flag", """
+WITH vc AS (SELECT l_extendedprice AS v, CAST(count(*) AS DOUBLE) AS t,
+                   CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS DOUBLE) AS na
+            FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1),
+rk AS (SELECT *, sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - (t - 1) / 2 AS midrank FROM vc),
+s AS (SELECT sum(na * midrank) AS ra, sum(na) AS n1, sum(t) AS n, sum(t * t * t - t) AS tie_term FROM rk)
+SELECT ROUND(ra - n1 * (n1 + 1) / 2, 6) AS U_statistic, CAST(n1 AS BIGINT) AS n_first,
+       CAST(n - n1 AS BIGINT) AS n_second, ROUND(tie_term, 6) AS tie_term
+FROM s
+""")
+
+register("ttest_lineitem_discount", """
+WITH s AS (SELECT count(CASE WHEN l_discount > 0.05 THEN l_extendedprice END) AS n_high,
+                  count(CASE WHEN l_discount <= 0.05 THEN l_extendedprice END) AS n_low,
+                  avg(CASE WHEN l_discount > 0.05 THEN l_extendedprice END) AS mean_high,
+                  avg(CASE WHEN l_discount <= 0.05 THEN l_extendedprice END) AS mean_low,
+                  var_samp(CASE WHEN l_discount > 0.05 THEN l_extendedprice END) AS va,
+                  var_samp(CASE WHEN l_discount <= 0.05 THEN l_extendedprice END) AS vb
+           FROM lineitem)
+SELECT n_high, n_low, ROUND(mean_high, 6) AS mean_high, ROUND(mean_low, 6) AS mean_low,
+       ROUND(sqrt(va), 6) AS sd_high, ROUND(sqrt(vb), 6) AS sd_low,
+       ROUND((mean_high - mean_low) / sqrt(va / n_high + vb / n_low), 6) AS t_statistic,
+       ROUND((va / n_high + vb / n_low) * (va / n_high + vb / n_low)
+             / ((va / n_high) * (va / n_high) / (n_high - 1) + (vb / n_low) * (vb / n_low) / (n_low - 1)), 6) AS df
+FROM s
+""")
+
+register("box_lineitem_flag", "WITH src AS (SELECT * FROM lineitem)"
+         + _box("src", "l_returnflag", "l_extendedprice"))
+register("hist_lineitem_price", "WITH src AS (SELECT * FROM lineitem)"
+         + _hist("src", "l_returnflag", 50, "l_extendedprice"))
+
+_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+register("corr_lineitem", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, ROUND(corr({a}, {b}), 6) AS r FROM lineitem"
+    for i, a in enumerate(_LI) for b in _LI[i + 1:]))
