@@ -88,11 +88,14 @@ def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None
     if materialize:
         vc = vc.checkpoint(eager=True)
     nb = buckets if buckets is not None else default_buckets(vc)
-    splits = [-math.inf] + bucket_bounds(vc, value, nb) + [math.inf]
-    vd = "_v_double"
-    bucketed = Bucketizer(splits=splits, inputCol=vd, outputCol=BUCKET,
-                          handleInvalid="keep").transform(
-        vc.withColumn(vd, F.col(value).cast("double"))).drop(vd)
+    inner = bucket_bounds(vc, value, nb)
+    if inner:
+        vd = "_v_double"
+        bucketed = Bucketizer(splits=[-math.inf] + inner + [math.inf], inputCol=vd,
+                              outputCol=BUCKET, handleInvalid="keep").transform(
+            vc.withColumn(vd, F.col(value).cast("double"))).drop(vd)
+    else:   # one distinct value, or a single bucket requested
+        bucketed = vc.withColumn(BUCKET, F.lit(0.0))
 
     totals = bucketed.groupBy(*g, BUCKET).agg(F.sum(count).alias("_bt"))
     wg = Window.partitionBy(*g).orderBy(BUCKET)
