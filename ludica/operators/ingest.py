@@ -100,6 +100,22 @@ def java_trim(c: Column) -> Column:
 
 # ------------------------------------------------------------------ M1 / M2
 
+def _keep_rows(df: DataFrame, keep: Column, cols: list[Column], passthrough: list[str]) -> DataFrame:
+    """Rows where ``keep`` holds, projected to ``cols``.
+
+    A plain ``where`` on columns computed from ``from_json`` is pushed below
+    the projection with the parse inlined into every predicate term. Instead
+    the columns and the ``keep`` flag are computed in one codegen'd
+    projection (subexpression elimination parses each message once), and a
+    Generate over those attributes drops the rows: ``inline(NULL)`` yields
+    no row, and predicates are not pushed through a Generate.
+    """
+    proj = df.select(*passthrough, keep.alias("_keep"), *cols)
+    names = [c for c in proj.columns if c not in passthrough and c != "_keep"]
+    return proj.select(*passthrough,
+                       F.inline(F.when(F.col("_keep"), F.array(F.struct(*names)))))
+
+
 def decode_messages(msgs: DataFrame, value: str = "value", malformed: str = "null_row",
                     keep_raw: bool = False) -> DataFrame:
     """M1 + M2: envelope ``{"data": "<json text>"}`` -> parsed record map.
@@ -111,29 +127,25 @@ def decode_messages(msgs: DataFrame, value: str = "value", malformed: str = "nul
     ``malformed='null_row'``, is dropped under ``'drop'``, and is marked in
     ``_malformed`` under ``'quarantine'`` (rows kept with their raw text).
     """
+    if malformed not in ("null_row", "drop", "quarantine"):
+        raise ValueError(f"unknown malformed policy {malformed!r}")
     outer = F.from_json(F.col(value), MAP_TYPE, JSON_OPTIONS)
-    df = msgs.withColumn("_outer", outer)
-    df = df.where(F.col("_outer").isNotNull()
-                  & F.map_contains_key("_outer", ENVELOPE_KEY)
-                  & F.col("_outer")[ENVELOPE_KEY].isNotNull())
-    inner_text = F.col("_outer")[ENVELOPE_KEY]
-    df = df.withColumn("_inner", inner_text).where(F.col("_inner") != F.lit(CLOSE_SENTINEL))
-    df = df.where(~F.col("_inner").rlike(r"(?s)^[\x00-\x20]*null([\x00-\x20].*)?$"))
-    parsed = F.from_json(F.col("_inner"), MAP_TYPE, JSON_OPTIONS)
-    df = df.withColumn("_parsed", parsed)
-    bad = F.col("_parsed").isNull()
+    inner = outer[ENVELOPE_KEY]
+    parsed = F.from_json(inner, MAP_TYPE, JSON_OPTIONS)
+    keep = (outer.isNotNull() & F.map_contains_key(outer, ENVELOPE_KEY) & inner.isNotNull()
+            & (inner != F.lit(CLOSE_SENTINEL))
+            & ~inner.rlike(r"(?s)^[\x00-\x20]*null([\x00-\x20].*)?$"))
+    bad = parsed.isNull()
     if malformed == "drop":
-        df = df.where(~bad)
-    elif malformed == "quarantine":
-        df = df.withColumn("_malformed", bad)
-    elif malformed != "null_row":
-        raise ValueError(f"unknown malformed policy {malformed!r}")
-    rec = F.coalesce(F.col("_parsed"), F.create_map().cast(MAP_TYPE))
+        keep = keep & ~bad
+    rec = F.coalesce(parsed, F.create_map().cast(MAP_TYPE))
     keys = F.map_keys(rec)
-    df = (df.withColumn(RECORD, rec)
-            .withColumn(DUPKEYS, F.size(keys) != F.size(F.array_distinct(keys))))
-    drop = ["_outer", "_parsed"] + ([] if keep_raw or malformed == "quarantine" else ["_inner"])
-    return df.drop(*drop)
+    cols = [rec.alias(RECORD), (F.size(keys) != F.size(F.array_distinct(keys))).alias(DUPKEYS)]
+    if malformed == "quarantine":
+        cols.append(bad.alias("_malformed"))
+    if keep_raw or malformed == "quarantine":
+        cols.append(inner.alias("_inner"))
+    return _keep_rows(msgs, keep, cols, msgs.columns)
 
 
 def is_close(value: str = "value") -> Column:
@@ -194,8 +206,8 @@ def mapped_column(field: T.StructField) -> Column:
 def map_game_fields(decoded: DataFrame, schema: T.StructType = LANDED_SCHEMA,
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """M3-M8: decoded records -> rows of ``schema`` (null-poisoned dropped)."""
-    return (decoded.where(~null_poisoned())
-                   .select(*keep, *[mapped_column(f) for f in schema.fields]))
+    return _keep_rows(decoded, ~null_poisoned(), [mapped_column(f) for f in schema.fields],
+                      list(keep))
 
 
 def messages_to_rows(msgs: DataFrame, value: str = "value",
