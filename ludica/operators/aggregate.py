@@ -71,3 +71,27 @@ def top_k(df: DataFrame, col: str, k: int = 10, tie_break: str | None = None) ->
     """O2: the k largest rows; planned as TakeOrderedAndProject (per-partition
     top-k, then a k x partitions merge), never a full sort."""
     return sort_desc(df, col, tie_break).limit(k)
+
+
+# Summary tables (one row per group) at most this long are broadcast.
+MAX_BROADCAST_GROUPS = 100_000
+
+
+def materialize_summary(summary: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint a per-group summary to the shared checkpoint folder and
+    return it with its row count (the size check for broadcasting it)."""
+    summary = summary.checkpoint(eager=True)
+    return summary, summary.count()
+
+
+def attach_summary(df: DataFrame, summary: DataFrame, on: str | Sequence[str],
+                   max_broadcast_rows: int = MAX_BROADCAST_GROUPS) -> DataFrame:
+    """Join a per-group summary (medians, quartiles, bandwidths) onto rows.
+
+    The summary is materialized and counted first. Within the bound it is
+    broadcast, so the data side is neither shuffled nor broadcast. Beyond it
+    a shuffle join runs and AQE splits skewed partitions.
+    """
+    summary, n = materialize_summary(summary)
+    small = F.broadcast(summary) if n <= max_broadcast_rows else summary
+    return df.join(small, on=_as_list(on), how="inner")

@@ -2,8 +2,8 @@
 kernel density curves and scatter axis bounds, computed on Spark.
 
 Each is a grouped aggregate; per-group parameters (quartiles, bandwidth,
-grid) live in a k-row table joined back on the group key, which AQE
-broadcasts after a run-time size check.
+grid) live in a k-row table that is materialized, size-checked and
+broadcast back onto the rows (``aggregate.attach_summary``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ludica.operators.aggregate import attach_summary
 from ludica.operators.ranking import quantiles
 
 _D = "double"
@@ -31,7 +32,7 @@ def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5,
     q = q.withColumn("_lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
     v = F.col(value).cast(_D)
-    j = base.join(q, on=group, how="inner")
+    j = attach_summary(base, q, group)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
     return j.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
@@ -93,7 +94,7 @@ def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 3.0
                     .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_bw"))
                                 / F.lit(grid - 1)))
     vc = base.groupBy(group, v.alias("_v")).agg(F.count(F.lit(1)).cast(_D).alias("_c"))
-    j = vc.join(params, on=group, how="inner")
+    j = attach_summary(vc, params, group)
     contrib = F.expr(
         f"transform(sequence(0, {grid - 1}), i -> "
         f"_c * exp(-0.5 * pow((_g0 + i * _step - _v) / _bw, 2)))")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludica.functions import pvalues
+from ludica.operators.aggregate import attach_summary, materialize_summary
 from ludica.operators.ranking import COUNT, CUM, quantiles, running_counts
 
 _D = "double"
@@ -117,9 +118,8 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
            with_p: bool = True) -> DataFrame:
     """Levene / Brown-Forsythe test of equal variances (default: median centre).
 
-    Group centres are a k-row table joined back on the group key; AQE
-    broadcasts it after checking its size at run time, so the data side is
-    not shuffled for the join.
+    Group centres are a k-row table, materialized, size-checked and
+    broadcast back onto the rows, so the data side is not shuffled.
     """
     base = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
     if center == "median":
@@ -128,7 +128,7 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
         centre = base.groupBy(group).agg(F.avg(F.col(value).cast(_D)).alias("_c"))
     else:
         raise ValueError(f"unknown centre {center!r}")
-    z = base.join(centre, on=group, how="inner").select(
+    z = attach_summary(base, centre, group).select(
         group, F.abs(F.col(value).cast(_D) - F.col("_c")).alias("_z"))
     zs = _group_stats(z, "_z", group)
     n, zbar = F.col("n"), F.col("mean")
@@ -150,14 +150,17 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
 # ----------------------------------------------------------------------- T3
 
 def tukey_hsd(df: DataFrame, value: str, group: str, alpha: float = 0.05,
-              with_p: bool = True) -> DataFrame:
+              with_p: bool = True, max_groups: int = 1000) -> DataFrame:
     """Tukey-Kramer pairwise comparison of group means.
 
     Pairs of *groups* (k(k-1)/2 rows) come from a self join of the k-row
-    statistics table on ``group1 < group2``; the pooled MSE is a window over
+    statistics table on ``group1 < group2``; that table is materialized and
+    its size checked before it is broadcast. The pooled MSE is a window over
     those k rows. Data rows are only touched by the first aggregate.
     """
-    st = _group_stats(df, value, group)
+    st, k = materialize_summary(_group_stats(df, value, group))
+    if k > max_groups:
+        raise ValueError(f"{k} groups: too many for pairwise comparison (max {max_groups})")
     allw = Window.partitionBy()
     st = (st.withColumn("_N", F.sum("n").over(allw))
             .withColumn("_k", F.count(F.lit(1)).over(allw).cast(_D))
