@@ -15,10 +15,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A ``corr`` aggregation buffer holds 6 fields; one aggregate keeps
+# whole-stage codegen while its buffers stay under Spark's field limit (100).
+MAX_PAIRS_ONE_AGG = 16
+
+
 def _pair(a: str, b: str) -> str:
     return f"_r__{a}__{b}"
 
 
+def pair_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(feature_a, feature_b, r) for the given column pairs, one data pass.
+
+    Few pairs: one aggregate with a ``corr`` per pair, reshaped by ``stack``.
+    Many pairs: every row is unfolded into (pair, x, y) by ``inline`` and one
+    grouped ``corr`` runs over the pairs - a single codegen'd aggregate whose
+    partial step combines map-side, so only pairs x map tasks rows shuffle.
+    Both use pairwise deletion (rows where x or y is NULL are skipped).
+    """
+    pairs = list(pairs)
+    if len(pairs) <= MAX_PAIRS_ONE_AGG:
+        one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(_pair(a, b))
+                       for a, b in pairs])
+        stacked = ", ".join(f"'{a}', '{b}', `{_pair(a, b)}`" for a, b in pairs)
+        return one.select(F.expr(f"stack({len(pairs)}, {stacked}) AS (feature_a, feature_b, r)"))
+    unfolded = F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs])
+    return (df.select(F.inline(unfolded))
+              .groupBy("feature_a", "feature_b").agg(F.corr("x", "y").alias("r")))
+
+
 def corr_long(df: DataFrame, cols: Sequence[str], listwise: bool = False,
               include_diagonal: bool = False) -> DataFrame:
     """(feature_a, feature_b, r) for every pair a < b in column order.
@@ -30,35 +58,29 @@ def corr_long(df: DataFrame, cols: Sequence[str], listwise: bool = False,
     if listwise:
         df = df.dropna(subset=cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + (0 if include_diagonal else 1):]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(_pair(a, b))
-                   for a, b in pairs])
-    stacked = ", ".join(f"'{a}', '{b}', `{_pair(a, b)}`" for a, b in pairs)
-    return one.select(F.expr(f"stack({len(pairs)}, {stacked}) AS (feature_a, feature_b, r)"))
+    return pair_corr(df, pairs)
 
 
 def corr_wide(df: DataFrame, cols: Sequence[str], listwise: bool = True,
               method: str = "sql") -> DataFrame:
-    """The square matrix as rows: one DOUBLE column per feature + ``feature``."""
+    """The square matrix as rows: ``feature`` + one DOUBLE column per feature.
+
+    The upper triangle (with diagonal) is computed once, mirrored and
+    pivoted; the pivot runs over at most columns^2 rows.
+    """
     cols = list(cols)
     if method == "ml":
         return _corr_wide_ml(df, cols)
-    if listwise:
-        df = df.dropna(subset=cols)
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(_pair(a, b)))
-    one = df.agg(*aggs)
-
-    def ref(a: str, b: str) -> str:
-        i, j = cols.index(a), cols.index(b)
-        x, y = (a, b) if i <= j else (b, a)
-        return f"`{_pair(x, y)}`"
-
-    rows = ", ".join(
-        ", ".join([f"'{a}'"] + [ref(a, b) for b in cols]) for a in cols)
-    names = ", ".join(["feature"] + [f"`{c}`" for c in cols])
-    return one.select(F.expr(f"stack({len(cols)}, {rows}) AS ({names})"))
+    tri = corr_long(df, cols, listwise=listwise, include_diagonal=True)
+    # each triangle row also yields its mirror (one pass over ``tri``; the
+    # diagonal appears twice and ``first`` takes either copy)
+    fa, fb, r = F.col("feature_a"), F.col("feature_b"), F.col("r")
+    mirrored = tri.select(F.inline(F.array(
+        F.struct(fa.alias("feature_a"), fb.alias("feature_b"), r.alias("r")),
+        F.struct(fb.alias("feature_a"), fa.alias("feature_b"), r.alias("r")))))
+    wide = mirrored.groupBy(F.col("feature_a").alias("feature")).pivot("feature_b", cols) \
+        .agg(F.first("r"))
+    return wide.select("feature", *[F.col(c).cast("double").alias(c) for c in cols])
 
 
 def _corr_wide_ml(df: DataFrame, cols: list[str]) -> DataFrame:
