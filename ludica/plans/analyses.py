@@ -20,7 +20,7 @@ from ludica.session import scratch_path
 from ludica.sources import messages
 from ludica.streaming import pipeline
 from ludica.schema import ANALYSIS_SCHEMA, numeric_columns
-from ludica.sources.games import games, raw_games
+from ludica.sources.games import games, raw_games, register_views
 from ludica.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -549,3 +549,51 @@ def corr_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     c = correlation.corr_long(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return c.select("feature_a", "feature_b", r6("r").alias("r"))
+
+
+# ------------------------------------------------------------- views and SQL
+
+@query
+def inspect_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred-schema read of the landed table, first 10 rows."""
+    from ludica.sources.games import inspect, landed_path
+    return inspect(spark, landed_path(spark, sf_dir), 10)
+
+
+def register_analysis_views(spark: SparkSession, sf_dir: str) -> None:
+    """The named result views of the analyses."""
+    register_views({
+        "popularity_table": popularity(spark, sf_dir),
+        "anova_platform_table": platform_table(spark, sf_dir),
+        "mann_whitney_genre_table": genre_table(spark, sf_dir).drop("appID"),
+    })
+
+
+@query
+def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S10: SQL over the registered views (ANOVA input, minus Mac Only)."""
+    register_analysis_views(spark, sf_dir)
+    return spark.sql("SELECT name, price, averagePlaytime, platform FROM anova_platform_table "
+                     "WHERE platform <> 'Mac Only'")
+
+
+@query
+def sql_top_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top-10 display query written in SQL over ``popularity_table``."""
+    register_analysis_views(spark, sf_dir)
+    return spark.sql("SELECT appID, name, round(ps, 6) AS popularityScore FROM ("
+                     "SELECT appID, name, popularityScore AS ps FROM popularity_table "
+                     "ORDER BY ps DESC NULLS LAST, appID LIMIT 10)")
+
+
+@query
+def platform_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct platform labels of the ANOVA input."""
+    return agg.distinct_labels(platform_groups(spark, sf_dir), "platform")
+
+
+@query
+def playtime_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Min and max of the playtime and review columns."""
+    return agg.min_max(games(spark, sf_dir), "averagePlaytime", "medianPlaytime", "positive",
+                       "negative")

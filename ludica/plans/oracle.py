@@ -473,3 +473,21 @@ _LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 register("corr_lineitem", "\nUNION ALL\n".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, ROUND(corr({a}, {b}), 6) AS r FROM lineitem"
     for i, a in enumerate(_LI) for b in _LI[i + 1:]))
+
+register("sql_over_views", q(PLATFORM, """
+SELECT name, price, averagePlaytime, platform FROM anova WHERE platform <> 'Mac Only'
+"""))
+
+register("sql_top_popularity", ORACLE["popularity_top10"])
+
+register("platform_labels", q(PLATFORM, """
+SELECT DISTINCT platform FROM anova_nm
+"""))
+
+register("playtime_range", q("""
+SELECT min(averagePlaytime) AS min_averagePlaytime, max(averagePlaytime) AS max_averagePlaytime,
+       min(medianPlaytime) AS min_medianPlaytime, max(medianPlaytime) AS max_medianPlaytime,
+       min(positive) AS min_positive, max(positive) AS max_positive,
+       min(negative) AS min_negative, max(negative) AS max_negative
+FROM games
+"""))
