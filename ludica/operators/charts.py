@@ -73,7 +73,8 @@ def histogram(df: DataFrame, value: str, group: str | None, bins: int) -> DataFr
                       "count")
 
 
-def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
+def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 3.0,
+        prebin: int | None = None) -> DataFrame:
     """V3: Gaussian KDE per group on ``grid`` points spanning
     [min - cut*bw, max + cut*bw], bandwidth = Scott's factor n^(-1/5) times
     the sample standard deviation.
@@ -81,7 +82,11 @@ def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 3.0
     Data rows are first reduced to distinct (group, value, count); each such
     row then contributes to the ``grid`` points through one generator
     expression, and a partial aggregate sums contributions per grid point
-    before the shuffle.
+    before the shuffle. The work is distinct values x ``grid`` per group;
+    ``prebin`` bounds it by first snapping values to the centres of
+    ``prebin`` equal-width bins over the group's range (relative error about
+    (bin width / bandwidth)^2 / 24, e.g. ~1e-4 for bins of bw/20); the
+    default ``None`` is exact.
     """
     v = F.col(value).cast(_D)
     base = df.where(F.col(group).isNotNull() & v.isNotNull())
@@ -93,7 +98,15 @@ def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 3.0
                     .withColumn("_g0", F.col("_min") - cut * F.col("_bw"))
                     .withColumn("_step", (F.col("_max") - F.col("_min") + 2 * cut * F.col("_bw"))
                                 / F.lit(grid - 1)))
-    vc = base.groupBy(group, v.alias("_v")).agg(F.count(F.lit(1)).cast(_D).alias("_c"))
+    if prebin:
+        rng = base.groupBy(group).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+        width = (F.col("_hi") - F.col("_lo")) / prebin
+        idx = F.least(F.floor((v - F.col("_lo")) / width), F.lit(prebin - 1))
+        snapped = F.when(width > 0, F.col("_lo") + (idx + 0.5) * width).otherwise(v)
+        vc = (attach_summary(base, rng, group)
+              .groupBy(group, snapped.alias("_v")).agg(F.count(F.lit(1)).cast(_D).alias("_c")))
+    else:
+        vc = base.groupBy(group, v.alias("_v")).agg(F.count(F.lit(1)).cast(_D).alias("_c"))
     j = attach_summary(vc, params, group)
     contrib = F.expr(
         f"transform(sequence(0, {grid - 1}), i -> "

@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                           "(HDFS, object store); a machine-local folder is not reliable")
     scratch = tempfile.mkdtemp(prefix="ludica-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     sc.setCheckpointDir(scratch)

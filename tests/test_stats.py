@@ -130,3 +130,14 @@ def test_kde_against_numpy(spark):
     grid = np.linspace(x.min() - 3 * bw, x.max() + 3 * bw, 50)
     dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(1) / (len(x) * bw * np.sqrt(2 * np.pi))
     assert [r.density for r in k] == pytest.approx(list(dens), rel=1e-9)
+
+
+def test_kde_prebin_close_to_exact(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    exact = {(r.l_returnflag, r.grid_index): r.density for r in
+             charts.kde(li, "l_extendedprice", "l_returnflag", grid=50).collect()}
+    binned = {(r.l_returnflag, r.grid_index): r.density for r in
+              charts.kde(li, "l_extendedprice", "l_returnflag", grid=50, prebin=2000).collect()}
+    peak = max(exact.values())
+    assert exact.keys() == binned.keys()
+    assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
