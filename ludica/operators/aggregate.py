@@ -75,11 +75,22 @@ def top_k(df: DataFrame, col: str, k: int = 10, tie_break: str | None = None) ->
 
 # Summary tables (one row per group) at most this long are broadcast.
 MAX_BROADCAST_GROUPS = 100_000
+# ... and at most this long are rebuilt from their collected rows.
+MAX_LOCAL_GROUPS = 10_000
 
 
-def materialize_summary(summary: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint a per-group summary to the shared checkpoint folder and
-    return it with its row count (the size check for broadcasting it)."""
+def materialize_summary(summary: DataFrame,
+                        max_local_rows: int = MAX_LOCAL_GROUPS) -> tuple[DataFrame, int]:
+    """Materialize a per-group summary and return it with its row count.
+
+    One job collects at most ``max_local_rows + 1`` rows. If the summary fits,
+    it comes back as a local relation: no lineage to recompute, trivially
+    broadcast. Otherwise it is checkpointed to the shared folder and counted.
+    Either way the count is the size check for broadcasting it.
+    """
+    rows = summary.limit(max_local_rows + 1).collect()
+    if len(rows) <= max_local_rows:
+        return summary.sparkSession.createDataFrame(rows, summary.schema), len(rows)
     summary = summary.checkpoint(eager=True)
     return summary, summary.count()
 

@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 COUNT = "_n"
 CUM = "_cum"          # running count including the row's value
 BUCKET = "_bucket"
+# Up to this many distinct (group, value) rows a single partition per group
+# (or one exact ``percentile`` state per group) is small enough.
+SMALL_DISTINCT = 200_000
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -87,7 +90,12 @@ def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None
     g = _as_list(group)
     if materialize:
         vc = vc.checkpoint(eager=True)
-    nb = buckets if buckets is not None else default_buckets(vc)
+    if buckets is not None:
+        nb = buckets
+    elif materialize and vc.count() <= SMALL_DISTINCT:
+        nb = 1            # small: no bucket sketch needed
+    else:
+        nb = default_buckets(vc)
     inner = bucket_bounds(vc, value, nb)
     if inner:
         vd = "_v_double"
@@ -118,7 +126,11 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
               buckets: int | None = None) -> DataFrame:
     """Per-group quantiles of ``value`` as columns ``names``.
 
-    method ``exact``: rank selection over running counts (skew-safe, exact).
+    method ``exact``: the data is first reduced to distinct (group, value,
+      count) rows and materialized. When those are few (``SMALL_DISTINCT``),
+      linear quantiles come from Spark's exact ``percentile`` with the count
+      as frequency; otherwise (and for ``disc``) by rank selection over
+      bucketed running counts (skew-safe).
       ``linear`` interpolation equals numpy's default percentile / SQL
       ``percentile`` / DuckDB ``quantile_cont``; ``disc`` returns the value
       at 1-based rank ceil(p n), as ``percentile_disc`` and
@@ -146,7 +158,14 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    rc = running_counts(value_counts(df, value, g), value, g, buckets=buckets)
+    vc = value_counts(df, value, g).checkpoint(eager=True)
+    small = buckets is None and vc.count() <= SMALL_DISTINCT
+    if small and interpolation == "linear":
+        # exact percentile over (value, count) rows; state bounded by the check
+        return vc.groupBy(*g).agg(*[
+            F.percentile(v, float(p), F.col(COUNT)).cast("double").alias(n)
+            for p, n in zip(probs, names)])
+    rc = running_counts(vc, value, g, buckets=1 if small else buckets, materialize=False)
     total = F.col("_total").cast("double")
     aggs = []
     for i, p in enumerate(probs):

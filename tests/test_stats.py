@@ -68,7 +68,7 @@ def test_degenerate_groups_give_null(spark):
     assert stats.welch_anova(df, "v", "g").first().F_statistic is None   # zero variance
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 16])
+@pytest.mark.parametrize("buckets", [None, 1, 3, 16])
 @pytest.mark.parametrize("interp", ["linear", "disc"])
 def test_exact_quantiles_skewed(spark, buckets, interp):
     df, pdf = _frame(spark, 11)
