@@ -97,13 +97,16 @@ def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None
     else:
         nb = default_buckets(vc)
     inner = bucket_bounds(vc, value, nb)
-    if inner:
-        vd = "_v_double"
-        bucketed = Bucketizer(splits=[-math.inf] + inner + [math.inf], inputCol=vd,
-                              outputCol=BUCKET, handleInvalid="keep").transform(
-            vc.withColumn(vd, F.col(value).cast("double"))).drop(vd)
-    else:   # one distinct value, or a single bucket requested
-        bucketed = vc.withColumn(BUCKET, F.lit(0.0))
+    if not inner:
+        # one bucket (small input or a single distinct value): plain windows,
+        # bounded by SMALL_DISTINCT rows per partition, and no offset join
+        w = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        return (vc.withColumn(CUM, F.sum(count).over(w))
+                  .withColumn("_total", F.sum(count).over(Window.partitionBy(*g))))
+    vd = "_v_double"
+    bucketed = Bucketizer(splits=[-math.inf] + inner + [math.inf], inputCol=vd,
+                          outputCol=BUCKET, handleInvalid="keep").transform(
+        vc.withColumn(vd, F.col(value).cast("double"))).drop(vd)
 
     totals = bucketed.groupBy(*g, BUCKET).agg(F.sum(count).alias("_bt"))
     wg = Window.partitionBy(*g).orderBy(BUCKET)
