@@ -84,7 +84,7 @@ def materialize_summary(summary: DataFrame,
     """Materialize a per-group summary and return it with its row count.
 
     One job collects at most ``max_local_rows + 1`` rows. If the summary fits,
-    it comes back as a local relation: no lineage to recompute, trivially
+    it is rebuilt from those rows: no lineage to recompute, trivially
     broadcast. Otherwise it is checkpointed to the shared folder and counted.
     Either way the count is the size check for broadcasting it.
     """
