@@ -456,8 +456,9 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------- ingest
 
 def catalog_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 over event-stream lines derived from the catalogue."""
-    return messages.sse_to_messages(messages.catalog_to_sse_lines(games(spark, sf_dir)))
+    """S1 over event-stream lines derived from the landed catalogue rows,
+    re-deliveries included (ingest lands everything; analyses dedupe)."""
+    return messages.sse_to_messages(messages.catalog_to_sse_lines(raw_games(spark, sf_dir)))
 
 
 @query

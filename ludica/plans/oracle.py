@@ -386,7 +386,7 @@ SELECT appID, name, releaseDate, estimatedOwners,
        averagePlaytime, averagePlaytime2W, medianPlaytime, medianPlaytime2W,
        CAST(NULL AS VARCHAR) AS packages, developers, publishers, categories, genres,
        CAST(NULL AS VARCHAR) AS screenshots, CAST(NULL AS VARCHAR) AS movies, tags
-FROM games
+FROM raw
 WHERE peakCCU IS NOT NULL AND requiredAge IS NOT NULL AND price IS NOT NULL AND dlcCount IS NOT NULL
   AND supportWindows IS NOT NULL AND supportMac IS NOT NULL AND supportLinux IS NOT NULL
   AND metacriticScore IS NOT NULL AND userScore IS NOT NULL AND positive IS NOT NULL

@@ -129,8 +129,11 @@ def landed_path(spark: SparkSession, sf_dir: str) -> str:
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, "landed-games")
-        games_from_tables(read_table(spark, sf_dir, "part"),
-                          read_table(spark, sf_dir, "lineitem")).write.parquet(path)
+        # one file per core: later scans (CPU-heavy ingest parsing included)
+        # get one split per core instead of whatever AQE coalesced the write to
+        (games_from_tables(read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "lineitem"))
+         .repartition(max(1, spark.sparkContext.defaultParallelism))
+         .write.parquet(path))
         _LANDED[key] = path
     return path
 
