@@ -214,3 +214,13 @@ def messages_to_rows(msgs: DataFrame, value: str = "value",
                      malformed: str = "null_row") -> DataFrame:
     """M1-M8 in one plan: message text -> landed rows."""
     return map_game_fields(decode_messages(msgs, value, malformed))
+
+
+def quarantine_split(msgs: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """M1 ``quarantine`` policy as two outputs: (landed rows, quarantined
+    messages with their raw inner text). Both come from one decode."""
+    decoded = decode_messages(msgs, value, malformed="quarantine")
+    good = map_game_fields(decoded.where(~F.col("_malformed")))
+    bad = decoded.where(F.col("_malformed")).select(F.col(value).alias("raw_message"),
+                                                    F.col("_inner").alias("raw_record"))
+    return good, bad
