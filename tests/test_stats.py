@@ -141,3 +141,35 @@ def test_kde_prebin_close_to_exact(spark):
     peak = max(exact.values())
     assert exact.keys() == binned.keys()
     assert max(abs(exact[k] - binned[k]) for k in exact) < 1e-3 * peak
+
+
+def test_levene_mean_centre_matches_numpy(spark):
+    df, pdf = _frame(spark, 21, hot=False)
+    got = stats.levene(df, "v", "g", center="mean").first().statistic
+    gs = {g: s.v.to_numpy() for g, s in pdf.groupby("g")}
+    z = {g: np.abs(x - x.mean()) for g, x in gs.items()}
+    n = np.array([len(v) for v in z.values()], float)
+    zb = np.array([v.mean() for v in z.values()])
+    N, k = n.sum(), len(z)
+    zall = (n * zb).sum() / N
+    ssw = sum(((v - v.mean()) ** 2).sum() for v in z.values())
+    want = (N - k) / (k - 1) * (n * (zb - zall) ** 2).sum() / ssw
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("interp", ["linear", "disc"])
+def test_builtin_and_approx_quantile_methods(spark, interp):
+    df, pdf = _frame(spark, 22)
+    probs, names = [0.25, 0.5, 0.75], ["a", "b", "c"]
+    exact = {r.g: r for r in quantiles(df, "v", probs, names, group="g",
+                                       interpolation=interp).collect()}
+    builtin = {r.g: r for r in quantiles(df, "v", probs, names, group="g", method="builtin",
+                                         interpolation=interp).collect()}
+    approx = {r.g: r for r in quantiles(df, "v", probs, names, group="g", method="approx",
+                                        accuracy=100000).collect()}
+    for g in exact:
+        assert [getattr(builtin[g], n) for n in names] == pytest.approx(
+            [getattr(exact[g], n) for n in names])
+        if interp == "disc":   # the sketch returns data points: equal at this accuracy
+            assert [getattr(approx[g], n) for n in names] == pytest.approx(
+                [getattr(exact[g], n) for n in names])
