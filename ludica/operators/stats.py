@@ -87,9 +87,13 @@ def welch_anova(df: DataFrame, value: str, group: str, with_p: bool = True) -> D
 
     With w_i = n_i / s_i^2, W = sum w_i, the weighted between-group sum of
     squares and Welch's correction term are expanded into plain sums so the
-    k group rows combine in a single aggregate.
+    k group rows combine in a single aggregate (after the group means are
+    shifted by their average, which the statistic does not depend on).
     """
     st = _group_stats(df, value, group)
+    # shift the k group means by their average before the sums of squares,
+    # so large means with small differences do not cancel catastrophically
+    st = st.withColumn("mean", F.col("mean") - F.avg("mean").over(Window.partitionBy()))
     n, m, var = F.col("n"), F.col("mean"), F.col("var")
     w = _div(n, var)
     s = st.agg(
@@ -131,6 +135,8 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
     z = attach_summary(base, centre, group).select(
         group, F.abs(F.col(value).cast(_D) - F.col("_c")).alias("_z"))
     zs = _group_stats(z, "_z", group)
+    # shift the k group means of z (ANOVA on z is shift-invariant) - see welch_anova
+    zs = zs.withColumn("mean", F.col("mean") - F.avg("mean").over(Window.partitionBy()))
     n, zbar = F.col("n"), F.col("mean")
     s = zs.agg(F.count(F.lit(1)).cast(_D).alias("k"), F.sum(n).alias("N"),
                F.sum(n * zbar).alias("Snz"), F.sum(n * zbar * zbar).alias("Snz2"),

@@ -173,3 +173,17 @@ def test_builtin_and_approx_quantile_methods(spark, interp):
         if interp == "disc":   # the sketch returns data points: equal at this accuracy
             assert [getattr(approx[g], n) for n in names] == pytest.approx(
                 [getattr(exact[g], n) for n in names])
+
+
+def test_large_offset_means_keep_precision(spark):
+    # means ~1e9 that differ by ~1: unshifted sums of squares would cancel
+    rng = np.random.default_rng(3)
+    rows = [(g, 1e9 + gi * 0.5 + float(x)) for gi, g in enumerate(["a", "b", "c"])
+            for x in rng.normal(0, 1, 200)]
+    import pandas as pd
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    df = spark.createDataFrame(pdf)
+    f, _ = N.welch(pdf.assign(v=pdf.v - 1e9), "v", "g")       # exact reference on shifted data
+    assert stats.welch_anova(df, "v", "g").first().F_statistic == pytest.approx(f, rel=1e-6)
+    w, _ = N.levene(pdf.assign(v=pdf.v - 1e9), "v", "g")
+    assert stats.levene(df, "v", "g").first().statistic == pytest.approx(w, rel=1e-6)
