@@ -62,14 +62,22 @@ def corr_long(df: DataFrame, cols: Sequence[str], listwise: bool = False,
 
 
 def corr_wide(df: DataFrame, cols: Sequence[str], listwise: bool = True,
-              method: str = "sql") -> DataFrame:
+              method: str | None = None) -> DataFrame:
     """The square matrix as rows: ``feature`` + one DOUBLE column per feature.
 
-    The upper triangle (with diagonal) is computed once, mirrored and
-    pivoted; the pivot runs over at most columns^2 rows.
+    ``ml`` (default when ``listwise``): Spark ML ``Correlation.corr`` on the
+    assembled vectors - column statistics and a centred Gramian by tree
+    aggregation, BLAS-backed; only the columns^2 matrix reaches the driver,
+    where it becomes a small frame. ``sql``: the upper triangle by grouped
+    ``corr`` (pairwise deletion unless ``listwise``), mirrored and pivoted
+    over at most columns^2 rows.
     """
     cols = list(cols)
+    if method is None:
+        method = "ml" if listwise else "sql"
     if method == "ml":
+        if not listwise:
+            raise ValueError("the ml method deletes rows listwise")
         return _corr_wide_ml(df, cols)
     tri = corr_long(df, cols, listwise=listwise, include_diagonal=True)
     # each triangle row also yields its mirror (one pass over ``tri``; the

@@ -50,3 +50,13 @@ def test_inspect_and_views(spark):
     q["sql_over_views"](spark, SF_CHECK)
     names = {t.name for t in spark.catalog.listTables()}
     assert {"popularity_table", "anova_platform_table", "mann_whitney_genre_table"} <= names
+
+
+def test_corr_wide_ml_equals_sql(spark):
+    from ludica.operators import correlation
+    from ludica.plans.analyses import NUMERIC
+    g = games(spark, SF_CHECK)
+    a = {r.feature: r for r in correlation.corr_wide(g, NUMERIC, method="ml").collect()}
+    b = {r.feature: r for r in correlation.corr_wide(g, NUMERIC, method="sql").collect()}
+    for f in NUMERIC:
+        assert [a[f][c] for c in NUMERIC] == pytest.approx([b[f][c] for c in NUMERIC], abs=1e-9)
