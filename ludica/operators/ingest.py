@@ -93,9 +93,12 @@ def to_bool_or_false(v: Column) -> Column:
     return F.coalesce(F.lower(v) == F.lit("true"), F.lit(False))
 
 
+_JAVA_WHITESPACE = "".join(chr(i) for i in range(0x21))
+
+
 def java_trim(c: Column) -> Column:
     """Strip leading/trailing characters <= U+0020 (Java ``String.trim``)."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.trim(c, F.lit(_JAVA_WHITESPACE))
 
 
 # ------------------------------------------------------------------ M1 / M2
