@@ -20,7 +20,7 @@ from ludica.session import scratch_path
 from ludica.sources import messages
 from ludica.streaming import pipeline
 from ludica.schema import ANALYSIS_SCHEMA, numeric_columns
-from ludica.sources.games import games, raw_games, register_views
+from ludica.sources.games import deduped_games, games, raw_games, register_views
 from ludica.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,8 +88,8 @@ def dedupe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1 + S6 shape: the deduplicated 31-column analysis table."""
-    return games(spark, sf_dir)
+    """R1 on the landed rows: the deduplicated 31-column analysis table."""
+    return deduped_games(spark, sf_dir)
 
 
 def platform_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,7 +143,25 @@ def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_games(spark, landed_path(spark, sf_dir))
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated catalogue (R1 applied), the input of every analysis."""
+def deduped_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 applied to the landed rows (one shuffle, copies collapsed map-side)."""
     from ludica.operators.clean import dedupe
     return dedupe(raw_games(spark, sf_dir))
+
+
+_ANALYSIS: dict[tuple[str, str], str] = {}
+
+
+def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysis table: the deduplicated catalogue, written once per
+    session as Parquet under the shared checkpoint folder (persisted after
+    the dedupe, so the analyses do not each repeat its shuffle and their
+    filters and projections reach a plain Parquet scan)."""
+    from ludica.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _ANALYSIS.get(key)
+    if path is None:
+        path = scratch_path(spark, "analysis-games")
+        deduped_games(spark, sf_dir).write.parquet(path)
+        _ANALYSIS[key] = path
+    return load_games(spark, path)

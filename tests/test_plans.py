@@ -19,7 +19,7 @@ def _formatted(df) -> str:
     return df._jdf.queryExecution().explainString(mode)
 
 
-def test_filters_reach_the_parquet_scan_below_dedupe(spark):
+def test_filters_reach_the_parquet_scan(spark):
     text = _formatted(Q["platform_filtered"](spark, SF_SMALL))
     assert "GreaterThan(price,0.0)" in text and "GreaterThan(averagePlaytime,0)" in text
 
@@ -69,3 +69,8 @@ def test_exact_quantiles_do_not_use_unpartitioned_windows(spark):
     for line in plan.split("\n"):
         if "Window [" in line and "_cin" in line:
             assert "_bucket" in line   # running counts are partitioned by bucket
+
+
+def test_dedupe_is_one_partial_aggregate_shuffle(spark):
+    plan = _plan(Q["dedupe_rows"](spark, SF_SMALL))
+    assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2
