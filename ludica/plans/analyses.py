@@ -47,6 +47,7 @@ def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def popularity_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 / V7: the ten most popular games (F1-F4 score)."""
     top = agg.top_k(popularity(spark, sf_dir), "popularityScore", 10, tie_break="appID")
     return top.select("appID", "name", r6("popularityScore").alias("popularityScore"))
 
@@ -60,6 +61,7 @@ def popularity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sentiment_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """positive share of reviews and its category."""
     df = feat.with_sentiment(games(spark, sf_dir), method="ratio")
     return df.select("appID", "positive", "negative", r6("sentimentRatio").alias("sentimentRatio"),
                      "sentimentCategory")
@@ -67,12 +69,14 @@ def sentiment_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sentiment_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive minus negative reviews and its category."""
     df = feat.with_sentiment(games(spark, sf_dir), method="difference")
     return df.select("appID", "positive", "negative", "sentimentScore", "sentimentCategory")
 
 
 @query
 def owners_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lower bound of the estimated-owners range as a number."""
     df = games(spark, sf_dir)
     return df.select("appID", "estimatedOwners", feat.owners_num().alias("estimatedOwnersNum"))
 
@@ -105,11 +109,13 @@ def platform_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def platform_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 + F5: the ANOVA input (paid games with playtime, by platform)."""
     return platform_table(spark, sf_dir)
 
 
 @query
 def platform_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games per platform (Mac Only excluded), largest first."""
     return agg.group_counts(platform_groups(spark, sf_dir), "platform", "count")
 
 
@@ -122,6 +128,7 @@ def genre_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def genre_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 + R5: Action / Strategy games with playtime."""
     return genre_table(spark, sf_dir).drop("appID")
 
 
@@ -157,6 +164,7 @@ def regression_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + R8: the seeded 10 % regression sample."""
     return regression_rows(spark, sf_dir)
 
 
