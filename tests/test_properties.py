@@ -42,3 +42,38 @@ def test_mann_whitney_matches_brute_force(spark, a, b, buckets):
     s = stats.mann_whitney(df, "v", "g", "b", "a", buckets=buckets).first()
     assert r.U_statistic + s.U_statistic == pytest.approx(len(a) * len(b))
     assert 0.0 <= r.P_value <= 1.0 and r.P_value == pytest.approx(s.P_value)
+
+
+groups = st.lists(st.lists(st.floats(-1e3, 1e3, allow_nan=False, width=32), min_size=3, max_size=25),
+                  min_size=2, max_size=4)
+
+
+@SETTINGS
+@given(gs=groups)
+def test_welch_levene_ttest_match_numpy(spark, gs):
+    from pyspark.sql import functions as F
+
+    from tools import naive_twin as N
+    rows = [(f"g{i}", float(x)) for i, xs in enumerate(gs) for x in xs]
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    df = spark.createDataFrame(pdf)
+    var_ok = all(np.var(np.array(xs, float), ddof=1) > 1e-9 for xs in gs)
+    w = stats.welch_anova(df, "v", "g").first()
+    if var_ok:
+        f, p = N.welch(pdf, "v", "g")
+        assert w.F_statistic == pytest.approx(f, rel=1e-6, abs=1e-9)
+        assert w.P_value == pytest.approx(p, rel=1e-5, abs=1e-12)
+    else:
+        assert w.F_statistic is None
+    z_ok = any(np.var(np.abs(np.array(xs, float) - np.median(xs)), ddof=1) > 1e-9 for xs in gs)
+    if z_ok:
+        lv = stats.levene(df, "v", "g").first()
+        wl, _ = N.levene(pdf, "v", "g")
+        assert lv.statistic == pytest.approx(wl, rel=1e-6, abs=1e-9)
+    if var_ok:
+        t = stats.welch_t_test(df, "v", F.col("g") == "g0").first()
+        a = np.array(gs[0], float)
+        b = np.concatenate([np.array(x, float) for x in gs[1:]])
+        tt, dd, pp = N.welch_t(a, b)
+        assert t.t_statistic == pytest.approx(tt, rel=1e-6, abs=1e-9)
+        assert t.df == pytest.approx(dd, rel=1e-6)
