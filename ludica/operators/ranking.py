@@ -39,10 +39,19 @@ def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Buckets per prefix sum: a few per shuffle partition of the session."""
+ROWS_PER_BUCKET = 500_000
+MAX_BUCKETS = 65_536
+
+
+def default_buckets(df: DataFrame, n_rows: int | None = None) -> int:
+    """Buckets for a prefix sum over ``n_rows`` distinct rows: about
+    ``ROWS_PER_BUCKET`` rows each (so one window partition stays small),
+    at least 8, at most ``MAX_BUCKETS`` sketch points to the driver. Without a
+    row count, a few per shuffle partition of the session."""
+    if n_rows is not None:
+        return int(min(MAX_BUCKETS, max(8, math.ceil(n_rows / ROWS_PER_BUCKET))))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, 4 * parts)
+    return int(min(MAX_BUCKETS, max(8, 4 * parts)))
 
 
 def value_counts(df: DataFrame, value: str, group: str | Sequence[str] | None = None,
@@ -90,12 +99,13 @@ def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None
     g = _as_list(group)
     if materialize:
         vc = vc.checkpoint(eager=True)
+    n_rows = vc.count() if materialize and buckets is None else None
     if buckets is not None:
         nb = buckets
-    elif materialize and vc.count() <= SMALL_DISTINCT:
+    elif n_rows is not None and n_rows <= SMALL_DISTINCT:
         nb = 1            # small: no bucket sketch needed
     else:
-        nb = default_buckets(vc)
+        nb = default_buckets(vc, n_rows)
     inner = bucket_bounds(vc, value, nb)
     if not inner:
         # one bucket (small input or a single distinct value): plain windows,
