@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--out", required=True)
     ing.add_argument("--checkpoint", default=None)
     ing.add_argument("--trigger", default="availableNow")
+    ing.add_argument("--landing-date", action="store_true",
+                     help="partition the landed files by ingest date")
     ing.add_argument("--until-close", action="store_true",
                      help="stop after the batch carrying the close sentinel")
     args = ap.parse_args(argv)
@@ -73,7 +75,8 @@ def main(argv: list[str] | None = None) -> int:
         trigger = "1 second" if args.trigger == "availableNow" else args.trigger
         pipeline.ingest_until_close(source, args.out, ckpt, trigger=trigger)
     else:
-        pipeline.ingest_stream(source, args.out, ckpt, trigger=args.trigger).awaitTermination()
+        pipeline.ingest_stream(source, args.out, ckpt, trigger=args.trigger,
+                               landing_date=args.landing_date).awaitTermination()
     return 0
 
 

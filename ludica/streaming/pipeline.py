@@ -31,14 +31,20 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 
 def ingest_stream(source: DataFrame, path: str, checkpoint: str,
                   trigger: str | None = "availableNow", malformed: str = "null_row",
-                  partition_by: list[str] | None = None):
+                  partition_by: list[str] | None = None, landing_date: bool = False):
     """Append mapped rows of every micro-batch to Parquet at ``path``.
 
     ``trigger``: ``"availableNow"`` processes what is there and stops (bounded
     runs, tests); any other string is a processing-time interval such as
     ``"30 seconds"`` (longer intervals mean fewer, larger files).
+    ``landing_date`` adds an ``ingest_date`` directory partition (the date a
+    batch landed), so later reads of recent data prune whole folders;
+    ``load_landed`` drops the column again.
     """
     rows = messages_to_rows(source, malformed=malformed)
+    if landing_date:
+        rows = rows.withColumn("ingest_date", F.current_date())
+        partition_by = list(partition_by or []) + ["ingest_date"]
     w = (rows.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint).option("path", path))
     if partition_by:

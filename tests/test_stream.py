@@ -51,3 +51,15 @@ def test_close_sentinel_stops_after_batch(spark):
     assert closed == 1
     ids = sorted(r.appID for r in pipeline.load_landed(spark, out).collect())
     assert ids == ["1", "2"]          # the rest of the closing batch is still written
+
+
+def test_landing_date_partitions(spark):
+    root = tempfile.mkdtemp(prefix="ludica-date-")
+    msgs, src = _write_messages(spark, root, parts=2)
+    out, ckpt = os.path.join(root, "out"), os.path.join(root, "ckpt")
+    stream = read_message_files(spark, src, streaming=True)
+    pipeline.ingest_stream(stream, out, ckpt, landing_date=True).awaitTermination()
+    assert any(d.startswith("ingest_date=") for d in os.listdir(out))
+    landed = pipeline.load_landed(spark, out)
+    assert landed.columns == [c for c, _ in LANDED_COLUMNS]
+    assert landed.count() == messages_to_rows(msgs).count()
