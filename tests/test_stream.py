@@ -63,3 +63,16 @@ def test_landing_date_partitions(spark):
     landed = pipeline.load_landed(spark, out)
     assert landed.columns == [c for c, _ in LANDED_COLUMNS]
     assert landed.count() == messages_to_rows(msgs).count()
+
+
+def test_compaction_keeps_rows(spark):
+    root = tempfile.mkdtemp(prefix="ludica-compact-")
+    msgs, src = _write_messages(spark, root, parts=4)
+    out, ckpt = os.path.join(root, "out"), os.path.join(root, "ckpt")
+    stream = read_message_files(spark, src, streaming=True, max_files_per_trigger=1)
+    pipeline.ingest_stream(stream, out, ckpt).awaitTermination()
+    compacted = os.path.join(root, "compacted")
+    pipeline.compact(spark, out, compacted, files=2)
+    assert len([f for f in os.listdir(compacted) if f.endswith(".parquet")]) == 2
+    assert _sorted(pipeline.load_landed(spark, compacted).collect()) == \
+        _sorted(pipeline.load_landed(spark, out).collect())
