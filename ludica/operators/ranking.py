@@ -6,7 +6,9 @@ rows) into one task. Here the work is split in three steps:
 
 1. ``value_counts``: one row per distinct (group, value) with its count.
    Partial aggregation collapses duplicates map-side, so a hot value costs
-   one row per map task.
+   one row per map task. The table is materialized and counted; when it is
+   small (``SMALL_DISTINCT``) a single window or ``percentile`` state per
+   group is bounded and the bucketing below is skipped.
 2. ``running_counts``: the distinct values are cut into value-range buckets
    whose bounds come from an approximate quantile sketch (a bounded number of
    doubles reaches the driver). A window per (group, bucket) gives running
@@ -172,13 +174,15 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
         raise ValueError(f"unknown quantile method {method!r}")
 
     vc = value_counts(df, value, g).checkpoint(eager=True)
-    small = buckets is None and vc.count() <= SMALL_DISTINCT
+    n_distinct = vc.count()
+    small = buckets is None and n_distinct <= SMALL_DISTINCT
     if small and interpolation == "linear":
         # exact percentile over (value, count) rows; state bounded by the check
         return vc.groupBy(*g).agg(*[
             F.percentile(v, float(p), F.col(COUNT)).cast("double").alias(n)
             for p, n in zip(probs, names)])
-    rc = running_counts(vc, value, g, buckets=1 if small else buckets, materialize=False)
+    nb = buckets if buckets is not None else (1 if small else default_buckets(vc, n_distinct))
+    rc = running_counts(vc, value, g, buckets=nb, materialize=False)
     total = F.col("_total").cast("double")
     aggs = []
     for i, p in enumerate(probs):
