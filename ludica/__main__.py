@@ -2,6 +2,7 @@
 
   python -m ludica list
   python -m ludica run <query> [--sf-dir DIR] [--rows N]
+  python -m ludica views [--sf-dir DIR] [--sql "SELECT ... FROM predictions_table"]
   python -m ludica ingest --files DIR | --kafka SERVERS [--topic T]
                           --out PATH [--checkpoint PATH] [--trigger availableNow|"30 seconds"]
                           [--until-close]
@@ -33,6 +34,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("query")
     run.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     run.add_argument("--rows", type=int, default=20)
+    views = sub.add_parser("views", help="register the eight named views, run SQL over them")
+    views.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    views.add_argument("--sql", default=None, help="a query over the views to show")
     ing = sub.add_parser("ingest", help="stream messages into landed Parquet")
     src = ing.add_mutually_exclusive_group(required=True)
     src.add_argument("--files", help="folder of message files (one message per line)")
@@ -62,6 +66,15 @@ def main(argv: list[str] | None = None) -> int:
         QUERIES[args.query](spark, args.sf_dir).show(args.rows, truncate=False)
         return 0
 
+    if args.cmd == "views":
+        from ludica.plans.analyses import register_analysis_views
+        spark = _session("ludica-views")
+        for name in register_analysis_views(spark, args.sf_dir, results=True):
+            print(name)
+        if args.sql:
+            spark.sql(args.sql).show(truncate=False)
+        return 0
+
     from ludica.sources import messages
     from ludica.streaming import pipeline
     spark = _session("ludica-ingest")

@@ -569,13 +569,30 @@ def inspect_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspect(spark, landed_path(spark, sf_dir), 10)
 
 
-def register_analysis_views(spark: SparkSession, sf_dir: str) -> None:
-    """The named result views of the analyses."""
-    register_views({
+def register_analysis_views(spark: SparkSession, sf_dir: str, results: bool = False) -> list[str]:
+    """The named views of the analyses.
+
+    The three input views are lazy. With ``results`` the five result views
+    are added too (correlation matrix, test results, regression and forest
+    predictions); those fit the models, so they run jobs while registering.
+    """
+    views = {
         "popularity_table": popularity(spark, sf_dir),
         "anova_platform_table": platform_table(spark, sf_dir),
         "mann_whitney_genre_table": genre_table(spark, sf_dir).drop("appID"),
-    })
+    }
+    if results:
+        model, data = _regression(spark, sf_dir)
+        _, rf_pred = _forest(spark, sf_dir)
+        views.update({
+            "correlation_matrix_table": correlation.corr_wide(games(spark, sf_dir), NUMERIC),
+            "anova_platform_results_table": anova_platform_results(spark, sf_dir),
+            "mann_whitney_genre_results": mann_whitney_genre_results(spark, sf_dir),
+            "predictions_table": model.transform(data),
+            "rf_predictions_table": rf_pred,
+        })
+    register_views(views)
+    return list(views)
 
 
 @query

@@ -27,3 +27,15 @@ def test_ingest_files(spark):
                  "--checkpoint", os.path.join(root, "ckpt")]) == 0
     rows = spark.read.parquet(out).collect()
     assert [(r.appID, r.peakCCU) for r in rows] == [("1", 5)]
+
+
+def test_eight_views(spark, capsys):
+    assert main(["views", "--sf-dir", SF_SMALL,
+                 "--sql", "SELECT positive AS real_positive, prediction FROM predictions_table"]) == 0
+    out = capsys.readouterr().out
+    for v in ["correlation_matrix_table", "popularity_table", "anova_platform_table",
+              "anova_platform_results_table", "mann_whitney_genre_table",
+              "mann_whitney_genre_results", "predictions_table", "rf_predictions_table"]:
+        assert v in out
+    assert "real_positive" in out
+    assert spark.sql("SELECT label, prediction FROM rf_predictions_table").count() > 0
