@@ -55,8 +55,8 @@ def popularity_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def popularity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: the whole popularity table, best first (ties by appID)."""
-    pop = popularity(spark, sf_dir).withColumn("popularityScore", r6("popularityScore"))
-    return agg.sort_desc(pop, "popularityScore", tie_break="appID")
+    ranked = agg.sort_desc(popularity(spark, sf_dir), "popularityScore", tie_break="appID")
+    return ranked.withColumn("popularityScore", r6("popularityScore"))
 
 
 @query
