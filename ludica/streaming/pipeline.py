@@ -73,8 +73,19 @@ def ingest_until_close(source: DataFrame, path: str, checkpoint: str,
     q = (source.writeStream.foreachBatch(land)
                .option("checkpointLocation", checkpoint)
                .trigger(processingTime=trigger).start())
-    closed.wait(timeout_s)
-    q.stop()
+    waited = 0.0
+    try:
+        while not closed.wait(1.0):
+            waited += 1.0
+            if not q.isActive:           # the query failed or was stopped elsewhere
+                err = q.exception()
+                if err is not None:
+                    raise RuntimeError(f"ingest stream failed: {err}")
+                break
+            if timeout_s is not None and waited >= timeout_s:
+                break
+    finally:
+        q.stop()
     return 1 if closed.is_set() else 0
 
 
