@@ -1,7 +1,7 @@
 """Command line: run the analyses or the ingest stream.
 
   python -m ludica list
-  python -m ludica run <query> [--sf-dir DIR] [--rows N]
+  python -m ludica run <query> [--sf-dir DIR] [--rows N] [--explain]
   python -m ludica views [--sf-dir DIR] [--sql "SELECT ... FROM predictions_table"]
   python -m ludica ingest --files DIR | --kafka SERVERS [--topic T]
                           --out PATH [--checkpoint PATH] [--trigger availableNow|"30 seconds"]
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("query")
     run.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     run.add_argument("--rows", type=int, default=20)
+    run.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     views = sub.add_parser("views", help="register the eight named views, run SQL over them")
     views.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     views.add_argument("--sql", default=None, help="a query over the views to show")
@@ -63,7 +64,10 @@ def main(argv: list[str] | None = None) -> int:
             print(f"unknown query {args.query!r}; see `python -m ludica list`", file=sys.stderr)
             return 2
         spark = _session(f"ludica-{args.query}")
-        QUERIES[args.query](spark, args.sf_dir).show(args.rows, truncate=False)
+        df = QUERIES[args.query](spark, args.sf_dir)
+        if args.explain:
+            df.explain("formatted")
+        df.show(args.rows, truncate=False)
         return 0
 
     if args.cmd == "views":

@@ -11,8 +11,9 @@ def test_list_and_run(spark, capsys):
     assert main(["list"]) == 0
     out = capsys.readouterr().out
     assert "welch_platform" in out and "ingest_stream" in out
-    assert main(["run", "welch_platform", "--sf-dir", SF_SMALL]) == 0
-    assert "F_statistic" in capsys.readouterr().out
+    assert main(["run", "welch_platform", "--sf-dir", SF_SMALL, "--explain"]) == 0
+    out = capsys.readouterr().out
+    assert "F_statistic" in out and "Physical Plan" in out
     assert main(["run", "no_such_query"]) == 2
 
 
