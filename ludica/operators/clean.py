@@ -170,7 +170,13 @@ def downsample(df: DataFrame, n: int, seed: int = 42, key: str = "appID",
     """
     h = "_h"
     hashed = df.withColumn(h, seeded_hash(key, seed))
-    total = hashed.count()
+
+    def prefix_counts(base: DataFrame, plen: int) -> list[tuple[str, int]]:
+        return sorted((r[0], r[1]) for r in
+                      base.groupBy(F.substring(h, 1, plen).alias("_p")).count().collect())
+
+    counts = prefix_counts(hashed, 3)          # also gives the total: no separate count
+    total = sum(c for _, c in counts)
     if n > total:
         raise ValueError(f"cannot take {n} rows without replacement from {total}")
     if n == total:
@@ -180,12 +186,10 @@ def downsample(df: DataFrame, n: int, seed: int = 42, key: str = "appID",
     kept_below = None          # rows kept whole: hash < boundary prefix
     prefix = ""
     remaining = n
-    base = hashed
     while True:
         plen = len(prefix) + 3
-        counts = sorted(
-            (r[0], r[1]) for r in
-            base.groupBy(F.substring(h, 1, plen).alias("_p")).count().collect())
+        if prefix:
+            counts = prefix_counts(hashed.where(F.col(h).startswith(prefix)), plen)
         cum = 0
         boundary, in_bucket = None, 0
         for p, c in counts:
