@@ -411,6 +411,16 @@ def regression_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "prediction")
 
 
+@query
+def regression_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 points: (real, predicted) thinned by the seeded sample (P1, 50 %)."""
+    rows = regression_rows(spark, sf_dir)
+    data = ml.poly_expand(ml.assemble(rows, POLY_INPUTS)).select("appID", "poly_features", "positive")
+    model = ml.fit_regression(data, "poly_features", "positive")
+    thinned = clean.sample_fraction(data, 0.5, seed=7, key="appID")
+    return ml.predictions(model, thinned, "positive")
+
+
 def classifier_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """L1 + P2: labelled feature vectors, seeded 80/20 train/test split."""
     df = ml.assemble(labeled_games(spark, sf_dir), CLASSIFIER_INPUTS).select(
