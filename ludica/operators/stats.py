@@ -85,27 +85,25 @@ def with_decision(df: DataFrame, alpha: float = 0.05, p: str = "p_value") -> Dat
 def welch_anova(df: DataFrame, value: str, group: str, with_p: bool = True) -> DataFrame:
     """Welch's one-way ANOVA (unequal variances): F_statistic, df1, df2, P_value.
 
-    With w_i = n_i / s_i^2, W = sum w_i, the weighted between-group sum of
-    squares and Welch's correction term are expanded into plain sums so the
-    k group rows combine in a single aggregate (after the group means are
-    shifted by their average, which the statistic does not depend on).
+    With w_i = n_i / s_i^2, W = sum w_i and the weighted mean m = sum w_i m_i / W
+    (window aggregates over the k group rows), the per-group terms
+    w_i (m_i - m)^2 and (1 - w_i / W)^2 / (n_i - 1) are summed directly - no
+    expanded sums that cancel when one group's weight dominates.
     """
     st = _group_stats(df, value, group)
-    # shift the k group means by their average before the sums of squares,
-    # so large means with small differences do not cancel catastrophically
-    st = st.withColumn("mean", F.col("mean") - F.avg("mean").over(Window.partitionBy()))
     n, m, var = F.col("n"), F.col("mean"), F.col("var")
+    allw = Window.partitionBy()
     w = _div(n, var)
+    st = st.withColumn("_w", w).withColumn("_wsum", F.sum("_w").over(allw))
+    st = st.withColumn("_mbar", F.sum(F.col("_w") * m).over(allw) / F.col("_wsum"))
     s = st.agg(
         F.count(F.lit(1)).cast(_D).alias("k"),
-        F.sum(w).alias("W"), F.sum(w * m).alias("Swm"), F.sum(w * m * m).alias("Swm2"),
-        F.sum(_div(F.lit(1.0), n - 1)).alias("S1"),
-        F.sum(_div(w, n - 1)).alias("Sw1"),
-        F.sum(_div(w * w, n - 1)).alias("Sw2"),
+        F.sum(F.col("_w") * (m - F.col("_mbar")) * (m - F.col("_mbar"))).alias("_ssb"),
+        F.sum(_div((1 - F.col("_w") / F.col("_wsum")) * (1 - F.col("_w") / F.col("_wsum")),
+                   n - 1)).alias("_lam"),
         F.bool_and((n > 1) & (var > 0)).alias("_valid"))
-    k, W = F.col("k"), F.col("W")
-    a = _div(F.col("Swm2") - _div(F.col("Swm") * F.col("Swm"), W), k - 1)
-    lam = F.col("S1") - 2 * _div(F.col("Sw1"), W) + _div(F.col("Sw2"), W * W)
+    k, lam = F.col("k"), F.col("_lam")
+    a = _div(F.col("_ssb"), k - 1)
     f = _div(a, 1 + 2 * (k - 2) * _div(lam, k * k - 1))
     ok = F.col("_valid") & (k >= 2)
     out = s.select(F.when(ok, f).alias("F_statistic"), F.when(ok, k - 1).alias("df1"),
@@ -135,15 +133,15 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
     z = attach_summary(base, centre, group).select(
         group, F.abs(F.col(value).cast(_D) - F.col("_c")).alias("_z"))
     zs = _group_stats(z, "_z", group)
-    # shift the k group means of z (ANOVA on z is shift-invariant) - see welch_anova
-    zs = zs.withColumn("mean", F.col("mean") - F.avg("mean").over(Window.partitionBy()))
     n, zbar = F.col("n"), F.col("mean")
+    allw = Window.partitionBy()
+    # overall mean of z over the k group rows, then direct per-group terms
+    zs = zs.withColumn("_zall", F.sum(n * zbar).over(allw) / F.sum(n).over(allw))
     s = zs.agg(F.count(F.lit(1)).cast(_D).alias("k"), F.sum(n).alias("N"),
-               F.sum(n * zbar).alias("Snz"), F.sum(n * zbar * zbar).alias("Snz2"),
+               F.sum(n * (zbar - F.col("_zall")) * (zbar - F.col("_zall"))).alias("SSB"),
                F.sum(F.coalesce((n - 1) * F.col("var"), F.lit(0.0))).alias("SSW"))
     k, N = F.col("k"), F.col("N")
-    ssb = F.col("Snz2") - _div(F.col("Snz") * F.col("Snz"), N)
-    w = _div((N - k) * ssb, (k - 1) * F.col("SSW"))
+    w = _div((N - k) * F.col("SSB"), (k - 1) * F.col("SSW"))
     ok = (k >= 2) & (N > k)
     out = s.select(F.when(ok, w).alias("statistic"), F.when(ok, k - 1).alias("df1"),
                    F.when(ok, N - k).alias("df2"))
