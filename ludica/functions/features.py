@@ -2,7 +2,7 @@
 
 Everything is a built-in Catalyst expression, so it stays inside
 whole-stage codegen. Under ANSI mode plain ``/``, int overflow and bad casts
-raise; the reference (Spark 3.5, non-ANSI) got NULL or wrap-around instead,
+raise; the original analysis (Spark 3.5, non-ANSI) got NULL or wrap-around instead,
 so ``try_divide``/``try_cast`` and widening keep its results.
 """
 
