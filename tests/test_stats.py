@@ -187,3 +187,11 @@ def test_large_offset_means_keep_precision(spark):
     assert stats.welch_anova(df, "v", "g").first().F_statistic == pytest.approx(f, rel=1e-6)
     w, _ = N.levene(pdf.assign(v=pdf.v - 1e9), "v", "g")
     assert stats.levene(df, "v", "g").first().statistic == pytest.approx(w, rel=1e-6)
+
+
+def test_t_statistic_changes_sign_when_samples_swap(spark):
+    df, _ = _frame(spark, 31, sizes=(30, 20), hot=False)
+    a = stats.welch_t_test(df, "v", F.col("g") == "g0").first()
+    b = stats.welch_t_test(df, "v", F.col("g") != "g0").first()
+    assert a.t_statistic == pytest.approx(-b.t_statistic)
+    assert a.df == pytest.approx(b.df) and a.p_value == pytest.approx(b.p_value)
