@@ -220,3 +220,16 @@ def mann_whitney(df: DataFrame, value: str, group: str, first: str, second: str,
         out = out.withColumn("P_value", pvalues.mwu_p(F.col("U_statistic"), F.col("n_first"),
                                                       F.col("n_second"), F.col("tie_term")))
     return out
+
+
+def tukey_after_welch(df: DataFrame, value: str, group: str,
+                      alpha: float = 0.05) -> DataFrame:
+    """T2 -> T3 as the analysis chains them: the Tukey comparison only when
+    Welch's ANOVA rejects at ``alpha``; otherwise an empty frame of the same
+    schema. One small job decides (the one-row ANOVA result)."""
+    anova = welch_anova(df, value, group).first()
+    pairs = tukey_hsd(df, value, group, alpha=alpha)
+    p = anova.P_value if anova is not None else None
+    if p is not None and p < alpha:
+        return pairs
+    return pairs.limit(0)

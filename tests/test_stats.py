@@ -195,3 +195,13 @@ def test_t_statistic_changes_sign_when_samples_swap(spark):
     b = stats.welch_t_test(df, "v", F.col("g") != "g0").first()
     assert a.t_statistic == pytest.approx(-b.t_statistic)
     assert a.df == pytest.approx(b.df) and a.p_value == pytest.approx(b.p_value)
+
+
+def test_tukey_only_after_significant_welch(spark):
+    far = spark.createDataFrame([(g, float(v) + off) for g, off in [("a", 0.0), ("b", 50.0)]
+                                 for v in range(10)], "g string, v double")
+    near = spark.createDataFrame([(g, float(v)) for g in ["a", "b"] for v in range(10)],
+                                 "g string, v double")
+    assert stats.tukey_after_welch(far, "v", "g").count() == 1
+    got = stats.tukey_after_welch(near, "v", "g")
+    assert got.count() == 0 and "p_adj" in got.columns
