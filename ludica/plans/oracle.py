@@ -491,3 +491,30 @@ SELECT min(averagePlaytime) AS min_averagePlaytime, max(averagePlaytime) AS max_
        min(negative) AS min_negative, max(negative) AS max_negative
 FROM games
 """))
+
+
+def _sse_messages() -> str:
+    """Envelope texts of the event-stream records built from the landed rows:
+    the record under its source keys (json_object keeps key order and writes
+    SQL NULL as JSON null), with the same alternative spellings."""
+    from ludica.operators.ingest import RENAMES
+    from ludica.schema import ANALYSIS_COLUMNS
+    key = "CAST(appID AS BIGINT)"
+    spell = {
+        "peakCCU": f"CASE WHEN {key} % 7 = 0 THEN concat(CAST(peakCCU AS VARCHAR), '.0') "
+                   "ELSE CAST(peakCCU AS VARCHAR) END",
+        "supportMac": f"CASE WHEN supportMac IS NULL THEN NULL WHEN {key} % 11 = 0 "
+                      "THEN upper(CAST(supportMac AS VARCHAR)) ELSE CAST(supportMac AS VARCHAR) END",
+        "supportLinux": f"CASE WHEN supportLinux IS NULL THEN NULL WHEN {key} % 13 = 0 THEN 'yes' "
+                        "ELSE CAST(supportLinux AS VARCHAR) END",
+        "achievements": f"CASE WHEN achievements IS NULL THEN NULL WHEN {key} % 17 = 0 "
+                        "THEN concat(' ', CAST(achievements AS VARCHAR)) "
+                        "ELSE CAST(achievements AS VARCHAR) END",
+    }
+    pairs = [f"'{src}', {spell.get(dst, f'CAST({dst} AS VARCHAR)')}"
+             for src, dst in RENAMES if dst in ANALYSIS_COLUMNS]
+    inner = "json_object(" + ", ".join(pairs) + ")"
+    return q(f"\nSELECT CAST(json_object('data', CAST({inner} AS VARCHAR)) AS VARCHAR) AS value FROM raw\n")
+
+
+register("sse_messages", _sse_messages())
