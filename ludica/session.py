@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +38,33 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per Spark context.
+
+    Python workers unpickle UDFs by import, and they neither share the
+    driver's ``sys.path`` nor its working folder, so the package goes along as
+    a zip through Spark's own file distribution. A package that was already
+    submitted as a zip (``--py-files``) is left to that.
+    """
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_ludica_shipped", False) or not os.path.isdir(package):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="ludica-code-"), "ludica-code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("ludica", os.path.relpath(path, package)))
+    sc.addPyFile(target)
+    sc._ludica_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root, setting a scratch one only if unset.
 
