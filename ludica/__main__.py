@@ -1,14 +1,15 @@
 """Command line: run the analyses or the ingest stream.
 
   python -m ludica list
-  python -m ludica run <query> [--sf-dir DIR] [--rows N] [--explain]
-  python -m ludica views [--sf-dir DIR] [--sql "SELECT ... FROM predictions_table"]
+  python -m ludica run <query> --sf-dir DIR [--rows N] [--explain]
+  python -m ludica views --sf-dir DIR [--sql "SELECT ... FROM predictions_table"]
   python -m ludica ingest --files DIR | --kafka SERVERS [--topic T]
                           --out PATH [--checkpoint PATH] [--trigger availableNow|"30 seconds"]
                           [--until-close]
 
 Without a configured ``spark.checkpoint.dir`` a local run uses a scratch
-folder; on a cluster set it to a shared folder.
+folder; on a cluster set it to a shared folder. The ingest checkpoint lies
+in the output folder unless one is named, so a second run appends.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ import sys
 def _session(app: str):
     from pyspark.sql import SparkSession
 
-    from ludica.session import ensure_checkpoint_dir
+    from ludica.session import ensure_checkpoint_dir, ship_code
     spark = SparkSession.builder.appName(app).getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -32,11 +34,11 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("list", help="registered analyses")
     run = sub.add_parser("run", help="run one analysis and show its rows")
     run.add_argument("query")
-    run.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    run.add_argument("--sf-dir", required=True, help="folder of the input tables")
     run.add_argument("--rows", type=int, default=20)
     run.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     views = sub.add_parser("views", help="register the eight named views, run SQL over them")
-    views.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    views.add_argument("--sf-dir", required=True, help="folder of the input tables")
     views.add_argument("--sql", default=None, help="a query over the views to show")
     ing = sub.add_parser("ingest", help="stream messages into landed Parquet")
     src = ing.add_mutually_exclusive_group(required=True)
@@ -87,12 +89,11 @@ def main(argv: list[str] | None = None) -> int:
     else:
         kw = {"topic": args.topic} if args.topic else {}
         source = messages.read_kafka(spark, args.kafka, **kw)
-    ckpt = args.checkpoint or pipeline.checkpoint_location(spark, "ingest")
     if args.until_close:
         trigger = "1 second" if args.trigger == "availableNow" else args.trigger
-        pipeline.ingest_until_close(source, args.out, ckpt, trigger=trigger)
+        pipeline.ingest_until_close(source, args.out, args.checkpoint, trigger=trigger)
     else:
-        pipeline.ingest_stream(source, args.out, ckpt, trigger=args.trigger,
+        pipeline.ingest_stream(source, args.out, args.checkpoint, trigger=args.trigger,
                                landing_date=args.landing_date).awaitTermination()
     return 0
 

@@ -18,6 +18,7 @@ POPULARITY_WEIGHTS = (0.4, 0.3, 0.3)      # owners, userScore, totalPlaytime
 POPULARITY_LABEL_BOUNDS = (100, 1000)     # peakCCU < 100: 0, < 1000: 1, else 2
 POPULARITY_LABEL_NAMES = ["Low", "Medium", "High"]
 METACRITIC_HIGH_ABOVE = 75
+PLATFORM_LABELS = ("All Platforms", "Windows & Mac", "Windows & Linux", "Windows Only", "Mac Only", "Linux Only", "Unknown")
 
 
 def _c(c: str | Column) -> Column:
@@ -87,13 +88,11 @@ def platform(win: str = "supportWindows", mac: str = "supportMac",
     """first matching label; NULL flags count as false; Mac wins over Linux."""
     w, m, lx = (F.coalesce(_c(win), F.lit(False)), F.coalesce(_c(mac), F.lit(False)),
                 F.coalesce(_c(lin), F.lit(False)))
-    return (F.when(w & m & lx, "All Platforms")
-            .when(w & m, "Windows & Mac")
-            .when(w & lx, "Windows & Linux")
-            .when(w, "Windows Only")
-            .when(m, "Mac Only")
-            .when(lx, "Linux Only")
-            .otherwise("Unknown"))
+    conditions = (w & m & lx, w & m, w & lx, w, m, lx)
+    label = F.lit(PLATFORM_LABELS[-1])
+    for condition, name in reversed(tuple(zip(conditions, PLATFORM_LABELS))):
+        label = F.when(condition, name).otherwise(label)
+    return label
 
 
 def game_type(genres: str | Column = "genres") -> Column:
@@ -117,7 +116,3 @@ def with_platform(df: DataFrame) -> DataFrame:
 
 def with_game_type(df: DataFrame) -> DataFrame:
     return df.withColumn("gameType", game_type())
-
-
-def with_popularity_label(df: DataFrame) -> DataFrame:
-    return df.withColumn("popularity_label", popularity_label())

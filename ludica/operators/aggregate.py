@@ -19,11 +19,6 @@ def _as_list(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def row_count(df: DataFrame, name: str = "n") -> DataFrame:
-    """G1 as a one-row DataFrame (lazy)."""
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def group_counts(df: DataFrame, group: str | Sequence[str], name: str = "count",
                  descending: bool = True) -> DataFrame:
     """Rows per group, largest first (ties by key)."""
@@ -39,18 +34,6 @@ def distinct_labels(df: DataFrame, group: str) -> DataFrame:
     return df.select(group).distinct()
 
 
-def group_moments(df: DataFrame, value: str, group: str | Sequence[str] | None = None,
-                  prefix: str = "") -> DataFrame:
-    """N, mean, sample variance and stddev per group in one pass."""
-    v = F.col(value).cast("double")
-    return df.groupBy(*_as_list(group)).agg(
-        F.count(v).alias(f"{prefix}n"),
-        F.avg(v).alias(f"{prefix}mean"),
-        F.var_samp(v).alias(f"{prefix}var"),
-        F.stddev_samp(v).alias(f"{prefix}sd"),
-    )
-
-
 def min_max(df: DataFrame, *cols: str) -> DataFrame:
     """Min and max of each column, one row."""
     aggs = []

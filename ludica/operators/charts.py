@@ -58,25 +58,29 @@ def histogram_edges(df: DataFrame, value: str, bins: int) -> tuple[float, float]
 
 def histogram(df: DataFrame, value: str, group: str | None, bins: int) -> DataFrame:
     """V2: counts over ``bins`` equal-width bins with edges shared by all
-    groups; the last bin is closed on the right. Only non-empty bins."""
+    groups; the last bin is closed on the right. Every bin of every group has
+    a row, empty ones with count 0."""
     lo, hi = histogram_edges(df, value, bins)
     step = (hi - lo) / bins
     v = F.col(value).cast(_D)
     idx = F.least(F.floor((v - F.lit(lo)) * F.lit(bins / (hi - lo))), F.lit(bins - 1)).cast("int")
     keys = ([group] if group else [])
-    out = (df.where(v.isNotNull() & (v >= lo) & (v <= hi))
-             .groupBy(*keys, idx.alias("bin"))
-             .agg(F.count(F.lit(1)).alias("count")))
+    counted = (df.where(v.isNotNull() & (v >= lo) & (v <= hi))
+               .groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    # a group's bins as one map, laid out over all bins: no join, bins entries a group
+    whole = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("_bins"))
+    out = whole.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_bins")
     return out.select(*keys, "bin",
                       (F.lit(lo) + F.col("bin") * F.lit(step)).alias("bin_lo"),
                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(step)).alias("bin_hi"),
-                      "count")
+                      F.coalesce(F.try_element_at("_bins", F.col("bin")), F.lit(0)).cast("long").alias("count"))
 
 
-def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 3.0,
+def kde(df: DataFrame, value: str, group: str, grid: int = 200, cut: float = 0.0,
         prebin: int | None = None) -> DataFrame:
     """V3: Gaussian KDE per group on ``grid`` points spanning
-    [min - cut*bw, max + cut*bw], bandwidth = Scott's factor n^(-1/5) times
+    [min - cut*bw, max + cut*bw] (``cut`` 0, as for the curve drawn over a
+    histogram: it ends at the data), bandwidth = Scott's factor n^(-1/5) times
     the sample standard deviation.
 
     Data rows are first reduced to distinct (group, value, count); each such

@@ -115,9 +115,10 @@ def percentile_trim(df: DataFrame, col: str, lo: float = 5, hi: float = 95,
 
 def seeded_hash(key: str | Column, seed: int | str) -> Column:
     """md5 of ``'<seed>|<key>'`` as lowercase hex: a per-row draw that does
-    not depend on partitioning and that any SQL engine can reproduce."""
+    not depend on partitioning and that any SQL engine can reproduce. A NULL
+    key draws as the empty text, so its rows are drawn like any other key's."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}|"), k.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(k.cast("string"), F.lit(""))))
 
 
 def _threshold(fraction: float) -> str:
@@ -148,7 +149,8 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int = 42, key: str = "
 
 def split(df: DataFrame, fraction: float = 0.8, seed: int = 1234, key: str = "appID",
           mode: str = "hash") -> tuple[DataFrame, DataFrame]:
-    """(first, rest) with ``fraction`` of the rows in the first part."""
+    """(first, rest) with ``fraction`` of the rows in the first part; every
+    row is in exactly one of them, whatever its key."""
     if mode == "random":
         a, b = df.randomSplit([fraction, 1 - fraction], seed=seed)
         return a, b
@@ -156,24 +158,33 @@ def split(df: DataFrame, fraction: float = 0.8, seed: int = 1234, key: str = "ap
     return df.where(cond), df.where(~cond)
 
 
-def downsample(df: DataFrame, n: int, seed: int = 42, key: str = "appID",
-               max_final_rows: int = 1_000_000) -> DataFrame:
+#: Downsampling refines the boundary bucket until at most this many rows are ranked.
+EDGE_ROWS = 100_000
+_EDGE = "_edge_hash"
+
+
+def downsample(df: DataFrame, n: int, seed: int = 42, key: str = "appID", edge_rows: int = EDGE_ROWS) -> DataFrame:
     """Exactly ``n`` rows without replacement - the ``n`` smallest seeded
-    hashes (ties by key).
-
-    Never ranks the whole input in one task: hex prefixes of the hash split
-    the rows into 4096 near-equal buckets (the hash is uniform); bucket
-    counts (<= 4096 numbers) locate the bucket holding rank ``n``; everything
-    below it is kept by a plain filter, and only that bucket - refined again
-    while it holds more than ``max_final_rows`` - is ranked by a window.
-    Raises if fewer than ``n`` rows exist, as a draw without replacement must.
+    hashes (ties by a hash of the whole row).
+
+    Never ranks the whole input in one task: the hash of the key, continued by
+    a hash of the row, is uniform also where many rows share a key, and its
+    hex prefixes split the rows into 4096 near-equal buckets. Bucket counts
+    (<= 4096 numbers) locate the bucket holding rank ``n``; everything below
+    it is kept by a plain filter, and only that bucket is refined further,
+    until it holds at most ``edge_rows`` rows. Those are ranked by a window;
+    rows that agree in the whole hash are copies of each other, and are taken
+    by their count. Raises if fewer than ``n`` rows exist, as a draw without
+    replacement must.
     """
-    h = "_h"
-    hashed = df.withColumn(h, seeded_hash(key, seed))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    digest = F.concat(seeded_hash(key, seed), F.lower(F.lpad(F.hex(F.xxhash64(*columns)), 16, "0")))
+    hashed = df.withColumn(_EDGE, digest)
+    length = 48
 
     def prefix_counts(base: DataFrame, plen: int) -> list[tuple[str, int]]:
         return sorted((r[0], r[1]) for r in
-                      base.groupBy(F.substring(h, 1, plen).alias("_p")).count().collect())
+                      base.groupBy(F.substring(_EDGE, 1, plen).alias("_p")).count().collect())
 
     counts = prefix_counts(hashed, 3)          # also gives the total: no separate count
     total = sum(c for _, c in counts)
@@ -183,28 +194,26 @@ def downsample(df: DataFrame, n: int, seed: int = 42, key: str = "appID",
         return df
     if n <= 0:
         return df.limit(0)
-    kept_below = None          # rows kept whole: hash < boundary prefix
-    prefix = ""
-    remaining = n
-    while True:
-        plen = len(prefix) + 3
+    prefix, remaining, edge = "", n, total
+    kept_below = hashed.where(F.lit(False))
+    while edge > edge_rows and len(prefix) < length:
         if prefix:
-            counts = prefix_counts(hashed.where(F.col(h).startswith(prefix)), plen)
-        cum = 0
-        boundary, in_bucket = None, 0
-        for p, c in counts:
-            if cum + c >= remaining:
-                boundary, in_bucket = p, c
+            counts = prefix_counts(hashed.where(F.col(_EDGE).startswith(prefix)), len(prefix) + 3)
+        below = 0
+        for boundary, edge in counts:
+            if below + edge >= remaining:
                 break
-            cum += c
-        below = hashed.where((F.col(h) < F.lit(boundary)) & F.col(h).startswith(prefix)) \
-            if prefix else hashed.where(F.col(h) < F.lit(boundary))
-        kept_below = below if kept_below is None else kept_below.unionByName(below)
-        remaining -= cum
-        base = hashed.where(F.col(h).startswith(boundary))
+            below += edge
+        # hashes under the boundary: no string under it starts with it
+        kept_below = hashed.where(F.col(_EDGE) < F.lit(boundary))
+        remaining -= below
         prefix = boundary
-        if in_bucket <= max_final_rows or plen >= 30:
-            break
-    w = Window.orderBy(F.col(h), F.col(key))
-    edge = base.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= remaining).drop("_r")
-    return kept_below.unionByName(edge).drop(h)
+    base = hashed.where(F.col(_EDGE).startswith(prefix))
+    if edge <= edge_rows:
+        w = Window.orderBy(_EDGE)
+        last = base.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= remaining).drop("_r")
+    else:
+        copies = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_n"))
+        last = (copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.col("_n"), F.lit(remaining)).cast("int"))))
+                .drop("_n", "_copy"))
+    return kept_below.unionByName(last).drop(_EDGE)

@@ -78,14 +78,27 @@ COERCED_SOURCE_KEYS = [SOURCE_OF[f.name] for f in LANDED_SCHEMA.fields
 # ------------------------------------------------------------ scalar rules
 
 def to_int_or_zero(v: Column) -> Column:
-    """M4: optional sign and ASCII digits within int range, else 0."""
-    ok = v.rlike(r"^[+-]?[0-9]+$")
+    """M4: optional sign and ASCII digits within int range, else 0. (Digits of
+    other scripts, which the JVM's parser would take, count as unparseable.)"""
+    ok = v.rlike(r"\A[+-]?[0-9]+\z")
     return F.coalesce(F.when(ok, v.try_cast("int")), F.lit(0))
 
 
+# The JVM's float syntax - white space up to U+0020 around an
+# optional sign and a decimal or hexadecimal number with optional f/d suffix.
+_FLOAT_TEXT = (r"\A[\x00-\x20]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+               r"|0[xX]([0-9a-fA-F]+\.?|[0-9a-fA-F]*\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?[\x00-\x20]*\z")
+_SPECIAL_TEXT = r"\A[\x00-\x20]*([+-]?)(NaN|Infinity)[\x00-\x20]*\z"
+
+
 def to_float_or_zero(v: Column) -> Column:
-    """M5: float text (spaces, exponent, f/d suffix accepted), else 0.0."""
-    return F.coalesce(v.try_cast("float"), F.lit(0.0).cast("float"))
+    """M5: float text (spaces, exponent, f/d suffix; NaN and Infinity only as
+    spelled here), else 0.0."""
+    special = F.concat(F.when(F.regexp_extract(v, _SPECIAL_TEXT, 1) == "-", F.lit("-")).otherwise(F.lit("")),
+                       F.regexp_extract(v, _SPECIAL_TEXT, 2))
+    value = (F.when(v.rlike(_FLOAT_TEXT), java_trim(v).try_cast("float"))
+             .when(v.rlike(_SPECIAL_TEXT), F.regexp_replace(special, "^-NaN$", "NaN").try_cast("float")))
+    return F.coalesce(value, F.lit(0.0).cast("float"))
 
 
 def to_bool_or_false(v: Column) -> Column:

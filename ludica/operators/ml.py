@@ -113,12 +113,13 @@ def accuracy_value(pred: DataFrame, label: str = "label", prediction: str = "pre
 
 def confusion(pred: DataFrame, classes: Sequence[int], names: Sequence[str],
               label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row per true label, one count column per predicted class
-    (zeros included), via a pivot with the class list given."""
-    p = pred.select(F.col(label).cast("int").alias("label"),
-                    F.col(prediction).cast("int").alias("_pred"))
-    wide = p.groupBy("label").pivot("_pred", list(classes)).count().na.fill(0)
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("label") + 1)
-    return wide.select("label", name.alias("label_name"),
-                       *[F.col(str(c)).cast("long").alias(f"predicted_{n}")
-                         for c, n in zip(classes, names)])
+    """One row per class as the true label, one count column per class as
+    the prediction: the whole grid, zeros included, in one aggregate of
+    classes x classes conditional counts."""
+    true, said = F.col(label).cast("int"), F.col(prediction).cast("int")
+    counts = pred.agg(*[F.count_if((true == a) & (said == b)).alias(f"_{i}_{j}")
+                        for i, a in enumerate(classes) for j, b in enumerate(classes)])
+    rows = [F.struct(F.lit(a).alias("label"), F.lit(names[i]).alias("label_name"),
+                     *[F.col(f"_{i}_{j}").alias(f"predicted_{n}") for j, n in enumerate(names)])
+            for i, a in enumerate(classes)]
+    return counts.select(F.inline(F.array(*rows)))

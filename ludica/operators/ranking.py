@@ -6,9 +6,7 @@ rows) into one task. Here the work is split in three steps:
 
 1. ``value_counts``: one row per distinct (group, value) with its count.
    Partial aggregation collapses duplicates map-side, so a hot value costs
-   one row per map task. The table is materialized and counted; when it is
-   small (``SMALL_DISTINCT``) a single window or ``percentile`` state per
-   group is bounded and the bucketing below is skipped.
+   one row per map task. The table is materialized and counted.
 2. ``running_counts``: the distinct values are cut into value-range buckets
    whose bounds come from an approximate quantile sketch (a bounded number of
    doubles reaches the driver). A window per (group, bucket) gives running
@@ -30,9 +28,6 @@ from pyspark.sql import functions as F
 COUNT = "_n"
 CUM = "_cum"          # running count including the row's value
 BUCKET = "_bucket"
-# Up to this many distinct (group, value) rows a single partition per group
-# (or one exact ``percentile`` state per group) is small enough.
-SMALL_DISTINCT = 200_000
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -101,24 +96,15 @@ def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None
     g = _as_list(group)
     if materialize:
         vc = vc.checkpoint(eager=True)
-    n_rows = vc.count() if materialize and buckets is None else None
-    if buckets is not None:
-        nb = buckets
-    elif n_rows is not None and n_rows <= SMALL_DISTINCT:
-        nb = 1            # small: no bucket sketch needed
-    else:
-        nb = default_buckets(vc, n_rows)
+    nb = buckets if buckets is not None else default_buckets(vc, vc.count() if materialize else None)
     inner = bucket_bounds(vc, value, nb)
-    if not inner:
-        # one bucket (small input or a single distinct value): plain windows,
-        # bounded by SMALL_DISTINCT rows per partition, and no offset join
-        w = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return (vc.withColumn(CUM, F.sum(count).over(w))
-                  .withColumn("_total", F.sum(count).over(Window.partitionBy(*g))))
     vd = "_v_double"
-    bucketed = Bucketizer(splits=[-math.inf] + inner + [math.inf], inputCol=vd,
-                          outputCol=BUCKET, handleInvalid="keep").transform(
-        vc.withColumn(vd, F.col(value).cast("double"))).drop(vd)
+    if inner:
+        bucketed = Bucketizer(splits=[-math.inf] + inner + [math.inf], inputCol=vd,
+                              outputCol=BUCKET, handleInvalid="keep").transform(
+            vc.withColumn(vd, F.col(value).cast("double"))).drop(vd)
+    else:                 # a single distinct value, or none
+        bucketed = vc.withColumn(BUCKET, F.lit(0.0))
 
     totals = bucketed.groupBy(*g, BUCKET).agg(F.sum(count).alias("_bt"))
     wg = Window.partitionBy(*g).orderBy(BUCKET)
@@ -130,9 +116,15 @@ def running_counts(vc: DataFrame, value: str, group: str | Sequence[str] | None
     )
     wb = Window.partitionBy(*g, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     within = bucketed.withColumn("_cin", F.sum(count).over(wb))
-    return (within.join(offsets, on=[*g, BUCKET], how="inner")
+    # null-safe: a NULL group is a group
+    to = offsets.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)],
+                        F.col(BUCKET).alias("_b"), "_off", "_total")
+    same = F.col(BUCKET) == F.col("_b")
+    for i, c in enumerate(g):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return (within.join(to, same, "inner")
             .withColumn(CUM, F.col("_off") + F.col("_cin"))
-            .drop("_off", "_cin"))
+            .drop("_off", "_cin", "_b", *[f"_g{i}" for i in range(len(g))]))
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
@@ -142,10 +134,8 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
     """Per-group quantiles of ``value`` as columns ``names``.
 
     method ``exact``: the data is first reduced to distinct (group, value,
-      count) rows and materialized. When those are few (``SMALL_DISTINCT``),
-      linear quantiles come from Spark's exact ``percentile`` with the count
-      as frequency; otherwise (and for ``disc``) by rank selection over
-      bucketed running counts (skew-safe).
+      count) rows and materialized, then ranks are selected over bucketed
+      running counts (skew-safe; NULL is a group like any other).
       ``linear`` interpolation equals numpy's default percentile / SQL
       ``percentile`` / DuckDB ``quantile_cont``; ``disc`` returns the value
       at 1-based rank ceil(p n), as ``percentile_disc`` and
@@ -174,14 +164,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
         raise ValueError(f"unknown quantile method {method!r}")
 
     vc = value_counts(df, value, g).checkpoint(eager=True)
-    n_distinct = vc.count()
-    small = buckets is None and n_distinct <= SMALL_DISTINCT
-    if small and interpolation == "linear":
-        # exact percentile over (value, count) rows; state bounded by the check
-        return vc.groupBy(*g).agg(*[
-            F.percentile(v, float(p), F.col(COUNT)).cast("double").alias(n)
-            for p, n in zip(probs, names)])
-    nb = buckets if buckets is not None else (1 if small else default_buckets(vc, n_distinct))
+    nb = buckets if buckets is not None else default_buckets(vc, vc.count())
     rc = running_counts(vc, value, g, buckets=nb, materialize=False)
     total = F.col("_total").cast("double")
     aggs = []

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludica.functions import pvalues
@@ -36,6 +36,15 @@ def _div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
+def _with_totals(summary: DataFrame, **totals: Column) -> DataFrame:
+    """Attach aggregates over all rows of a summary table to each of its rows:
+    the summary is materialized, its one row of totals becomes literals, and
+    its rows stay where they are however many groups there are."""
+    summary, _ = materialize_summary(summary)
+    row = summary.agg(*[c.cast(_D).alias(name) for name, c in totals.items()]).first()
+    return summary.withColumns({name: F.lit(row[name]).cast(_D) for name in totals})
+
+
 # ------------------------------------------------------------------ T5 / T6
 
 def welch_t_test(df: DataFrame, value: str, condition: Column, alpha: float = 0.05,
@@ -62,7 +71,7 @@ def welch_t_test(df: DataFrame, value: str, condition: Column, alpha: float = 0.
         F.sqrt("_va").alias(f"sd_{a}"), F.sqrt("_vb").alias(f"sd_{b}"),
         F.when(ok, t).alias("t_statistic"), F.when(ok, dof).alias("df"),
         F.when(ok, F.lit(None).cast("string"))
-         .otherwise(F.lit("Sample sizes too small for a meaningful T-test.")).alias("note"))
+         .otherwise(F.lit("a sample has fewer than two values")).alias("note"))
     if not with_p:
         return out.drop("note")
     out = out.withColumn("p_value", pvalues.t_test_p(F.col("t_statistic"), F.col("df")))
@@ -70,14 +79,11 @@ def welch_t_test(df: DataFrame, value: str, condition: Column, alpha: float = 0.
 
 
 def with_decision(df: DataFrame, alpha: float = 0.05, p: str = "p_value") -> DataFrame:
-    """Reject flag and decision text for a p-value column."""
+    """Reject flag and decision for a p-value column."""
     reject = F.col(p) < F.lit(alpha)
     return (df.withColumn("reject", reject)
               .withColumn("decision",
-                          F.when(reject, "We reject the null hypothesis: there is a "
-                                         "statistically significant difference.")
-                           .when(~reject, "We cannot reject the null hypothesis: there is no "
-                                          "statistically significant difference.")))
+                          F.when(reject, "difference").when(~reject, "no difference shown")))
 
 
 # ----------------------------------------------------------------------- T2
@@ -86,16 +92,14 @@ def welch_anova(df: DataFrame, value: str, group: str, with_p: bool = True) -> D
     """Welch's one-way ANOVA (unequal variances): F_statistic, df1, df2, P_value.
 
     With w_i = n_i / s_i^2, W = sum w_i and the weighted mean m = sum w_i m_i / W
-    (window aggregates over the k group rows), the per-group terms
+    (totals over the k group rows), the per-group terms
     w_i (m_i - m)^2 and (1 - w_i / W)^2 / (n_i - 1) are summed directly - no
     expanded sums that cancel when one group's weight dominates.
     """
-    st = _group_stats(df, value, group)
     n, m, var = F.col("n"), F.col("mean"), F.col("var")
-    allw = Window.partitionBy()
-    w = _div(n, var)
-    st = st.withColumn("_w", w).withColumn("_wsum", F.sum("_w").over(allw))
-    st = st.withColumn("_mbar", F.sum(F.col("_w") * m).over(allw) / F.col("_wsum"))
+    st = _group_stats(df, value, group).withColumn("_w", _div(n, var))
+    st = _with_totals(st, _wsum=F.sum("_w"), _wm=F.sum(F.col("_w") * m))
+    st = st.withColumn("_mbar", _div(F.col("_wm"), F.col("_wsum")))
     s = st.agg(
         F.count(F.lit(1)).cast(_D).alias("k"),
         F.sum(F.col("_w") * (m - F.col("_mbar")) * (m - F.col("_mbar"))).alias("_ssb"),
@@ -134,9 +138,9 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
         group, F.abs(F.col(value).cast(_D) - F.col("_c")).alias("_z"))
     zs = _group_stats(z, "_z", group)
     n, zbar = F.col("n"), F.col("mean")
-    allw = Window.partitionBy()
     # overall mean of z over the k group rows, then direct per-group terms
-    zs = zs.withColumn("_zall", F.sum(n * zbar).over(allw) / F.sum(n).over(allw))
+    zs = _with_totals(zs, _zsum=F.sum(n * zbar), _nsum=F.sum(n))
+    zs = zs.withColumn("_zall", _div(F.col("_zsum"), F.col("_nsum")))
     s = zs.agg(F.count(F.lit(1)).cast(_D).alias("k"), F.sum(n).alias("N"),
                F.sum(n * (zbar - F.col("_zall")) * (zbar - F.col("_zall"))).alias("SSB"),
                F.sum(F.coalesce((n - 1) * F.col("var"), F.lit(0.0))).alias("SSW"))
@@ -154,26 +158,23 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
 # ----------------------------------------------------------------------- T3
 
 def tukey_hsd(df: DataFrame, value: str, group: str, alpha: float = 0.05,
-              with_p: bool = True, max_groups: int = 1000) -> DataFrame:
+              with_p: bool = True) -> DataFrame:
     """Tukey-Kramer pairwise comparison of group means.
 
-    Pairs of *groups* (k(k-1)/2 rows) come from a self join of the k-row
-    statistics table on ``group1 < group2``; that table is materialized and
-    its size checked before it is broadcast. The pooled MSE is a window over
-    those k rows. Data rows are only touched by the first aggregate.
+    The result is one row per pair of *groups*; the pairs come from a self
+    join of the k-row statistics table on ``group1 < group2`` (broadcast where
+    the counted size allows it) and are dealt over the shuffle partitions
+    before their p-values are computed. Data rows are only touched by the
+    first aggregate.
     """
-    st, k = materialize_summary(_group_stats(df, value, group))
-    if k > max_groups:
-        raise ValueError(f"{k} groups: too many for pairwise comparison (max {max_groups})")
-    allw = Window.partitionBy()
-    st = (st.withColumn("_N", F.sum("n").over(allw))
-            .withColumn("_k", F.count(F.lit(1)).over(allw).cast(_D))
-            .withColumn("_mse", _div(F.sum((F.col("n") - 1) * F.col("var")).over(allw),
-                                     F.col("_N") - F.col("_k"))))
+    st = _with_totals(_group_stats(df, value, group), _N=F.sum("n"), _k=F.count(F.lit(1)),
+                      _ssw=F.sum((F.col("n") - 1) * F.col("var")))
+    st = st.withColumn("_mse", _div(F.col("_ssw"), F.col("_N") - F.col("_k")))
     a = st.select(F.col(group).alias("group1"), F.col("n").alias("_n1"),
                   F.col("mean").alias("_m1"), "_N", "_k", "_mse")
     b = st.select(F.col(group).alias("group2"), F.col("n").alias("_n2"), F.col("mean").alias("_m2"))
-    pairs = a.join(F.broadcast(b), F.col("group1") < F.col("group2"), "inner")
+    pairs = (a.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "group1")
+              .join(b, F.col("group1") < F.col("group2"), "inner"))
     meandiff = F.col("_m2") - F.col("_m1")
     se = F.sqrt(F.col("_mse") / 2 * (1 / F.col("_n1") + 1 / F.col("_n2")))
     out = pairs.select("group1", "group2", meandiff.alias("meandiff"),

@@ -155,9 +155,9 @@ def split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGRESSION_INPUTS = ["recommendations", "positive", "negative", "peakCCU"]
 
 
-def regression_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1 + R3 + R8: 10 % seeded sample, four int columns, listwise non-NULL."""
-    df = clean.sample_fraction(games(spark, sf_dir), 0.1, seed=42, key="appID")
+def regression_rows(spark: SparkSession, sf_dir: str, fraction: float = 1.0) -> DataFrame:
+    """R3 + R8 (and P1 below fraction 1): four int columns, listwise non-NULL."""
+    df = clean.sample_fraction(games(spark, sf_dir), fraction, seed=42, key="appID")
     df = df.select("appID", *[F.col(c).cast("int").alias(c) for c in REGRESSION_INPUTS])
     return clean.drop_nulls(df, REGRESSION_INPUTS)
 
@@ -165,7 +165,7 @@ def regression_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sample_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 + R8: the seeded 10 % regression sample."""
-    return regression_rows(spark, sf_dir)
+    return regression_rows(spark, sf_dir, 0.1)
 
 
 def playtime_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,6 +243,12 @@ def tukey_platform_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.tukey_hsd(platform_groups(spark, sf_dir), "averagePlaytime", "platform")
 
 
+@query
+def tukey_platform_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 -> T3 as the analysis chains them: pairs only where the ANOVA rejects."""
+    return stats.tukey_after_welch(platform_groups(spark, sf_dir), "averagePlaytime", "platform")
+
+
 def _mw(spark: SparkSession, sf_dir: str, downsampled: bool, with_p: bool) -> DataFrame:
     g = genre_table(spark, sf_dir)
     if downsampled:
@@ -413,12 +419,29 @@ def regression_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def regression_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5 points: (real, predicted) thinned by the seeded sample (P1, 50 %)."""
+    """V5 points: (appID, real, predicted) of every game."""
     rows = regression_rows(spark, sf_dir)
     data = ml.poly_expand(ml.assemble(rows, POLY_INPUTS)).select("appID", "poly_features", "positive")
     model = ml.fit_regression(data, "poly_features", "positive")
-    thinned = clean.sample_fraction(data, 0.5, seed=7, key="appID")
-    return ml.predictions(model, thinned, "positive")
+    return model.transform(data).select("appID", F.col("positive").alias("real_positive"), "prediction")
+
+
+@query
+def regression_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 checked by its defining property: every term of the fit has the same
+    sum of products with the predictions as with the label."""
+    rows = ml.poly_columns(regression_rows(spark, sf_dir), POLY_INPUTS, keep=["positive"])
+    names = ml.poly_names(POLY_INPUTS)
+    data = ml.assemble(rows, names, "terms")
+    pred = ml.fit_regression(data, "terms", "positive").transform(data).withColumn("intercept", F.lit(1.0))
+    terms = ["intercept", *names]
+    y = F.col("positive").cast("double")
+    sums = pred.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c) * y).alias(f"_y{i}") for i, c in enumerate(terms)],
+                    *[F.sum(F.col(c) * F.col("prediction")).alias(f"_p{i}") for i, c in enumerate(terms)])
+    each = [F.struct(F.lit(c).alias("term"), F.col("n"), F.col(f"_y{i}").alias("sum_xy"),
+                     F.round(F.try_divide(F.col(f"_p{i}"), F.col(f"_y{i}")), 4).alias("ratio"))
+            for i, c in enumerate(terms)]
+    return sums.select(F.inline(F.array(*each)))
 
 
 def classifier_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -471,6 +494,35 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.confusion(pred, [0, 1, 2], feat.POPULARITY_LABEL_NAMES)
 
 
+def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled games with a prediction made by a rule, which never says Medium."""
+    return labeled_games(spark, sf_dir).withColumn(
+        "prediction", F.when(F.coalesce(F.col("positive"), F.lit(0)) > F.coalesce(F.col("negative"), F.lit(0)), 2.0)
+        .otherwise(0.0))
+
+
+@query
+def accuracy_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L9 on given predictions."""
+    return _round_all(ml.accuracy(rule_predictions(spark, sf_dir)))
+
+
+@query
+def confusion_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L10 on given predictions, one class of which is never predicted."""
+    return ml.confusion(rule_predictions(spark, sf_dir), [0, 1, 2], feat.POPULARITY_LABEL_NAMES)
+
+
+@query
+def split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 where every sixth key is NULL: each row is in exactly one part."""
+    df = games(spark, sf_dir).select(F.when(F.col("appID").cast("long") % 6 != 0, F.col("appID")).alias("appID"))
+    a, b = clean.split(df, 0.8, seed=1234, key="appID")
+    count = lambda part, name: part.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("rows"),
+                                        F.count_if(F.col("appID").isNull()).alias("null_keys"))
+    return count(a, "train").unionByName(count(b, "test"))
+
+
 # ----------------------------------------------------------------------- ingest
 
 def catalog_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,14 +547,43 @@ def ingest_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 -> M1-M8 -> S5 as a Structured Streaming run (availableNow) over
     message files written from the catalogue; returns the landed table."""
-    src_dir = scratch_path(spark, "messages")
-    catalog_messages(spark, sf_dir).repartition(4).write.mode("overwrite").text(src_dir)
-    out, ckpt = scratch_path(spark, "landed"), pipeline.checkpoint_location(spark, "ingest")
-    source = messages.read_message_files(spark, src_dir, streaming=True, max_files_per_trigger=2)
-    pipeline.ingest_stream(source, out, ckpt, trigger="availableNow").awaitTermination()
+    src_dir, out = scratch_path(spark, "messages"), scratch_path(spark, "landed")
+    catalog_messages(spark, sf_dir).write.text(src_dir)
+    pipeline.ingest_stream(messages.read_message_files(spark, src_dir, streaming=True), out).awaitTermination()
+    return pipeline.load_landed(spark, out)
+
+
+@query
+def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 run twice into one folder, with more message files the second time:
+    the second run appends what is new."""
+    src_dir, out = scratch_path(spark, "messages"), scratch_path(spark, "landed")
+    texts = catalog_messages(spark, sf_dir)
+    for part in (0, 1):
+        texts.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part).write.mode("append").text(src_dir)
+        pipeline.ingest_stream(messages.read_message_files(spark, src_dir, streaming=True), out).awaitTermination()
     return pipeline.load_landed(spark, out)
 
 
+@query
+def ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M4, M5, M7 on messages of which most are malformed in some way."""
+    key = F.col("p_partkey")
+    record = lambda field, text: F.concat(F.lit('{"AppID":"'), key.cast("string"), F.lit(f'","{field}":{text}}}'))
+    inner = [F.lit("no json"), F.lit("null"), record("Price", "null"), F.lit("close"), None, None,
+             record("Positive", '"5\\n"'), record("Price", '"inf"'), record("Price", '"nan"'), record("Price", '"Infinity"'),
+             record("Price", '"NaN"'), record("Price", '" 1.5f "'), record("Positive", '"+7"'), record("Positive", '"1e3"')]
+    value = F.when(key % len(inner) == 4, F.lit('{"other":"x"}')).when(key % len(inner) == 5, F.lit("{oops"))
+    for k, text in enumerate(inner):
+        if text is not None:
+            value = value.when(key % len(inner) == k, F.to_json(F.struct(text.alias("data"))))
+    rows = ingest.messages_to_rows(read_table(spark, sf_dir, "part").select(value.alias("value")))
+    price = F.col("price")
+    finite = ~F.isnan(price) & (F.abs(price) != float("inf"))
+    return rows.select("appID", "positive", F.when(finite, price.cast("double")).alias("price"),
+                       F.when(F.isnan(price), "NaN").when(price == float("inf"), "Infinity").alias("price_special"))
+
+
 # --------------------------------------------------- operators on driver tables
 # The generic operators run unchanged on the large driver tables; these keep
 # the skew-safe rank and quantile paths honest on high-cardinality doubles.
@@ -548,6 +629,40 @@ def ttest_lineitem_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          with_p=False))
 
 
+@query
+def welch_orders_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + T6 on orders: F, its p-value and the decision."""
+    o = _table(spark, sf_dir, "orders", "o_totalprice", "o_orderpriority")
+    res = stats.welch_anova(o, "o_totalprice", "o_orderpriority")
+    return _round_all(stats.with_decision(res.withColumnRenamed("P_value", "p_value")).select(
+        "F_statistic", "p_value", "reject", "decision"))
+
+
+@query
+def levene_lineitem_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T6 on lineitem: statistic, p-value and decision."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_returnflag")
+    return _round_all(stats.with_decision(stats.levene(li, "l_extendedprice", "l_returnflag")).select(
+        "statistic", "p_value", "reject", "decision"))
+
+
+@query
+def ttest_lineitem_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + T6 on lineitem: t, p-value and decision."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_discount")
+    return _round_all(stats.welch_t_test(li, "l_extendedprice", F.col("l_discount") > 0.05).select(
+        "t_statistic", "p_value", "reject", "decision"))
+
+
+@query
+def mannwhitney_lineitem_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 + T6 on lineitem: U, p-value and decision."""
+    li = _table(spark, sf_dir, "lineitem", "l_extendedprice", "l_returnflag")
+    res = stats.mann_whitney(li, "l_extendedprice", "l_returnflag", "A", "R")
+    return _round_all(stats.with_decision(res.withColumnRenamed("P_value", "p_value")).select(
+        "U_statistic", "p_value", "reject", "decision"))
+
+
 @query
 def box_lineitem_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 on lineitem: extended price box statistics per return flag."""

@@ -1,8 +1,8 @@
 """DuckDB oracle SQL for the registered queries.
 
 Each text is the ``games`` view prefix (the same derivation as
-``ludica.sources.games.games_from_tables``, written independently in SQL)
-plus one final SELECT. Computed numbers are cast to DOUBLE and rounded to 6
+``ludica.sources.games.games_from_tables``: the definition of the catalogue
+fixture in SQL) plus one final SELECT. Computed numbers are cast to DOUBLE and rounded to 6
 decimals on both sides; counts are BIGINT.
 """
 
@@ -305,8 +305,11 @@ he AS (SELECT min(CAST({v} AS DOUBLE)) AS lo, max(CAST({v} AS DOUBLE)) AS hi FRO
 hb AS (SELECT {g}, CAST(least(floor((CAST({v} AS DOUBLE) - lo) * ({bins} / (hi - lo))), {bins - 1}) AS INT) AS bin,
               lo, (hi - lo) / {bins} AS step
        FROM {src}, he)
-SELECT {g}, bin, ROUND(lo + bin * step, 6) AS bin_lo, ROUND(lo + (bin + 1) * step, 6) AS bin_hi, count(*) AS count
-FROM hb GROUP BY {g}, bin, lo, step
+SELECT g.{g}, CAST(b.bin AS INT) AS bin, ROUND(he.lo + b.bin * ((he.hi - he.lo) / {bins}), 6) AS bin_lo,
+       ROUND(he.lo + (b.bin + 1) * ((he.hi - he.lo) / {bins}), 6) AS bin_hi, count(hb.bin) AS count
+FROM (SELECT DISTINCT {g} FROM {src}) g CROSS JOIN (SELECT range AS bin FROM range({bins})) b CROSS JOIN he
+LEFT JOIN hb ON hb.{g} = g.{g} AND hb.bin = b.bin
+GROUP BY 1, 2, 3, 4
 """
 
 
@@ -316,7 +319,7 @@ kp AS (SELECT {g}, CAST(count(*) AS DOUBLE) AS n, stddev_samp(CAST(averagePlayti
               min(CAST(averagePlaytime AS DOUBLE)) AS mn, max(CAST(averagePlaytime AS DOUBLE)) AS mx
        FROM {src} GROUP BY {g}),
 kp2 AS (SELECT *, sd * pow(n, -0.2) AS bw FROM kp),
-kp3 AS (SELECT *, mn - 3.0 * bw AS g0, (mx - mn + 6.0 * bw) / 199 AS step FROM kp2 WHERE bw > 0),
+kp3 AS (SELECT *, mn AS g0, (mx - mn) / 199 AS step FROM kp2 WHERE bw > 0),
 kv AS (SELECT {g}, CAST(averagePlaytime AS DOUBLE) AS v, CAST(count(*) AS DOUBLE) AS c FROM {src} GROUP BY 1, 2),
 grid AS (SELECT CAST(range AS INTEGER) AS i FROM range(200))
 SELECT {g}, i AS grid_index, ROUND(g0 + i * step, 6) AS x,
@@ -356,7 +359,9 @@ register("corr_wide", q(_LW, "\nUNION ALL\n".join(
         f"ROUND(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS {b}" for b in NUMERIC)
     + " FROM lw" for a in NUMERIC)))
 
-register("poly_features", q(REGRESSION, """
+REGRESSION_ALL = REGRESSION.replace("WHERE substring(md5(concat('42|', appID)), 1, 8) < '19999999'\n    AND", "WHERE")
+
+register("poly_features", q(REGRESSION_ALL, """
 SELECT appID, positive,
        CAST(recommendations AS DOUBLE) AS recommendations,
        CAST(recommendations AS DOUBLE) * recommendations AS recommendations_sq,
@@ -518,3 +523,85 @@ def _sse_messages() -> str:
 
 
 register("sse_messages", _sse_messages())
+
+
+_TERMS = {
+    "intercept": "1", "recommendations": "recommendations", "recommendations_sq": "recommendations * recommendations",
+    "negative": "negative", "recommendations_x_negative": "recommendations * negative", "negative_sq": "negative * negative",
+    "peakCCU": "peakCCU", "recommendations_x_peakCCU": "recommendations * peakCCU",
+    "negative_x_peakCCU": "negative * peakCCU", "peakCCU_sq": "peakCCU * peakCCU"}
+register("regression_normal_equations", q(REGRESSION_ALL, """,
+d AS (SELECT CAST(recommendations AS DOUBLE) AS recommendations, CAST(negative AS DOUBLE) AS negative,
+             CAST(peakCCU AS DOUBLE) AS peakCCU, CAST(positive AS DOUBLE) AS positive FROM reg)
+""", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS term, count(*) AS n, sum(({sql}) * positive) AS sum_xy, CAST(1.0 AS DOUBLE) AS ratio FROM d"
+    for name, sql in _TERMS.items())))
+
+RULE = LABELED + """,
+rule AS (SELECT label, CASE WHEN coalesce(positive, 0) > coalesce(negative, 0) THEN 2 ELSE 0 END AS said FROM labeled)
+"""
+register("accuracy_rule", q(RULE, """
+SELECT ROUND(avg(CASE WHEN label = said THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n FROM rule
+"""))
+register("confusion_rule", q(RULE, "\nUNION ALL\n".join(
+    f"SELECT CAST({k} AS INT) AS label, '{name}' AS label_name, "
+    + ", ".join(f"count(CASE WHEN label = {k} AND said = {i} THEN 1 END) AS predicted_{other}"
+                for i, other in enumerate(("Low", "Medium", "High"))) + " FROM rule"
+    for k, name in enumerate(("Low", "Medium", "High")))))
+
+register("split_null_keys", q(""",
+keyed AS (SELECT CASE WHEN CAST(appID AS BIGINT) % 6 <> 0 THEN appID END AS k FROM games)
+SELECT s.split, count(keyed.side) AS rows, count(CASE WHEN keyed.side IS NOT NULL AND k IS NULL THEN 1 END) AS null_keys
+FROM (VALUES ('train'), ('test')) s(split)
+LEFT JOIN (SELECT k, CASE WHEN substring(md5(concat('1234|', coalesce(k, ''))), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS side
+           FROM keyed) keyed ON keyed.side = s.split
+GROUP BY s.split
+"""))
+
+register("ingest_twice", ORACLE["ingest_map"])
+register("ingest_malformed", """
+SELECT CASE WHEN p_partkey % 14 > 0 THEN CAST(p_partkey AS VARCHAR) END AS appID,
+       CAST(CASE p_partkey % 14 WHEN 6 THEN 0 WHEN 12 THEN 7 WHEN 13 THEN 0 END AS INT) AS positive,
+       CAST(CASE WHEN p_partkey % 14 IN (7, 8) THEN 0.0 WHEN p_partkey % 14 = 11 THEN 1.5 END AS DOUBLE) AS price,
+       CASE p_partkey % 14 WHEN 9 THEN 'Infinity' WHEN 10 THEN 'NaN' END AS price_special
+FROM part WHERE p_partkey % 14 NOT IN (1, 2, 3, 4, 5)
+""")
+
+
+# p-values: the densities integrated by Simpson's rule from 0 to the statistic.
+
+def _p_value(stat: str, upper: str, density: str, sides: int, out: str) -> str:
+    """1 - sides * (integral of ``density`` over u from 0 to ``upper``) as p of the one row of ``stat``."""
+    exact = stat.replace("ROUND(", "(").replace(", 6)", ")")
+    n = 20_000
+    return f"""
+WITH st AS ({exact}),
+grid AS (SELECT st.*, ({upper}) * i / {n} AS u,
+                CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w, ({upper}) / {n} AS h
+         FROM st CROSS JOIN (SELECT range AS i FROM range({n} + 1)) r),
+p AS (SELECT greatest(0.0, 1 - {sides} * sum(w * ({density})) * any_value(h) / 3) AS p FROM grid)
+SELECT {out}, ROUND(p, 6) AS p_value, p < 0.05 AS reject,
+       CASE WHEN p < 0.05 THEN 'difference' ELSE 'no difference shown' END AS decision
+FROM st, p
+"""
+
+
+def _f_density(d1: str, d2: str) -> str:
+    return (f"exp(lgamma(({d1} + {d2}) / 2) - lgamma({d1} / 2) - lgamma({d2} / 2) + {d1} / 2 * ln({d1} / {d2})"
+            f" - ({d1} + {d2}) / 2 * ln(1 + {d1} * u / {d2})) * pow(u, {d1} / 2 - 1)")
+
+
+register("welch_orders_test", _p_value(ORACLE["welch_orders_priority"], "F_statistic", _f_density("df1", "df2"), 1,
+                                       "ROUND(F_statistic, 6) AS F_statistic"))
+register("levene_lineitem_test", _p_value(ORACLE["levene_lineitem_flag"], "statistic", _f_density("df1", "df2"), 1,
+                                          "ROUND(statistic, 6) AS statistic"))
+register("ttest_lineitem_test", _p_value(
+    ORACLE["ttest_lineitem_discount"], "abs(t_statistic)",
+    "exp(lgamma((df + 1) / 2) - lgamma(df / 2) - (df + 1) / 2 * ln(1 + u * u / df)) / sqrt(df * pi())", 2,
+    "ROUND(t_statistic, 6) AS t_statistic"))
+register("mannwhitney_lineitem_test", _p_value(
+    ORACLE["mannwhitney_lineitem_flag"],
+    "greatest(0, greatest(U_statistic, CAST(n_first AS DOUBLE) * n_second - U_statistic) - CAST(n_first AS DOUBLE) * n_second / 2 - 0.5)"
+    " / sqrt(CAST(n_first AS DOUBLE) * n_second / 12 * (n_first + n_second + 1"
+    " - tie_term / (CAST(n_first + n_second AS DOUBLE) * (n_first + n_second - 1))))",
+    "exp(-u * u / 2) / sqrt(2 * pi())", 2, "ROUND(U_statistic, 6) AS U_statistic"))

@@ -41,11 +41,11 @@ def _lineitem_by_part(lineitem: DataFrame) -> DataFrame:
     # Partial (map-side) aggregation runs before the shuffle on l_partkey,
     # so a hot part key costs one row per map task, not one per line.
     return lineitem.groupBy("l_partkey").agg(
-        F.sum("l_quantity").cast("int").alias("qty"),
-        F.sum(F.when(F.col("l_returnflag") == "N", 1).otherwise(0)).cast("int").alias("pos"),
-        F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).cast("int").alias("neg"),
-        F.sum("l_linenumber").cast("int").alias("lns"),
-        F.max("l_quantity").cast("int").alias("mq"),
+        F.sum("l_quantity").cast("long").alias("qty"),
+        F.sum(F.when(F.col("l_returnflag") == "N", 1).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("neg"),
+        F.sum("l_linenumber").alias("lns"),
+        F.max("l_quantity").cast("long").alias("mq"),
     )
 
 
@@ -59,6 +59,13 @@ def _genres(p_type: Column) -> Column:
             .otherwise(F.lit(None).cast("string")))
 
 
+def _saturated(c: Column, dtype) -> Column:
+    """Cast to a column's type; sums over very many lines stop at the largest int."""
+    if dtype.typeName() == "integer":
+        c = F.when(c > 2 ** 31 - 1, 2 ** 31 - 1).otherwise(c)
+    return c.cast(dtype)
+
+
 def games_from_tables(part: DataFrame, lineitem: DataFrame,
                       with_duplicates: bool = True) -> DataFrame:
     """Catalogue rows (analysis schema) built from ``part`` and ``lineitem``.
@@ -80,10 +87,10 @@ def games_from_tables(part: DataFrame, lineitem: DataFrame,
         "releaseDate": F.concat(F.lit("2024-01-"), (1 + pk % 28).cast("string")),
         "estimatedOwners": F.when(pk % 40 == 0, F.lit("unknown")).otherwise(
             F.concat((size * 100).cast("string"), F.lit(" - "), (size * 200).cast("string"))),
-        "peakCCU": F.floor(size * size * size / F.lit(50.0)).cast("int"),
-        "requiredAge": ((pk % 5) * 3).cast("int"),
+        "peakCCU": F.floor(size * size * size / F.lit(50.0)),
+        "requiredAge": (pk % 5) * 3,
         "price": (F.col("p_retailprice") - 900).cast("float"),
-        "dlcCount": (pk % 4).cast("int"),
+        "dlcCount": pk % 4,
         "languages": F.lit("English"),
         "fullAudioLanguages": F.lit("English"),
         "reviews": null_str,
@@ -97,7 +104,7 @@ def games_from_tables(part: DataFrame, lineitem: DataFrame,
         "negative": F.when(pk % 30 == 0, F.lit(0)).otherwise(F.col("neg")),
         "scoreRank": null_str,
         "achievements": F.col("lns") % 37,
-        "recommendations": (3 * F.col("pos") + F.floor(size * size / F.lit(10.0))).cast("int"),
+        "recommendations": 3 * F.col("pos") + F.floor(size * size / F.lit(10.0)),
         "averagePlaytime": F.greatest(F.lit(0), F.col("qty") - 600),
         "averagePlaytime2W": F.col("mq") % 7,
         "medianPlaytime": F.greatest(F.lit(0), F.col("qty") - 650),
@@ -112,10 +119,10 @@ def games_from_tables(part: DataFrame, lineitem: DataFrame,
     if with_duplicates:
         copies = F.when(pk % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         j = j.withColumn("_copy", F.explode(copies))
-    out = j.select(*[cols[c].cast(ANALYSIS_SCHEMA[c].dataType).alias(c) for c in ANALYSIS_COLUMNS])
-    return out
+    return j.select(*[_saturated(cols[c], ANALYSIS_SCHEMA[c].dataType).alias(c) for c in ANALYSIS_COLUMNS])
 
 
+ROWS_PER_FILE = 1_000_000
 _LANDED: dict[tuple[str, str], str] = {}
 
 
@@ -129,11 +136,12 @@ def landed_path(spark: SparkSession, sf_dir: str) -> str:
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, "landed-games")
-        # one file per core: later scans (CPU-heavy ingest parsing included)
-        # get one split per core instead of whatever AQE coalesced the write to
-        (games_from_tables(read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "lineitem"))
-         .repartition(max(1, spark.sparkContext.defaultParallelism))
-         .write.parquet(path))
+        # files of at most ROWS_PER_FILE rows, and at least one per core for the
+        # CPU-heavy parsing of the ingest queries
+        part = read_table(spark, sf_dir, "part")
+        files = max(spark.sparkContext.defaultParallelism, -(-part.count() // ROWS_PER_FILE))
+        (games_from_tables(part, read_table(spark, sf_dir, "lineitem"))
+         .repartition(files).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path))
         _LANDED[key] = path
     return path
 

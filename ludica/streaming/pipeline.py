@@ -6,10 +6,18 @@ Parquet file sink. The sink's metadata log plus the checkpoint make the
 landing exactly-once: a restart resumes from the committed offsets and a
 re-run of a batch never appends twice.
 
+The checkpoint belongs to the output: unless one is named it lies in
+``<path>/_checkpoint`` (readers skip it), so a later run into the same folder
+goes on where the last one stopped and appends what is new. A folder whose
+file-sink log was written under another checkpoint is refused, since the sink
+would take the new run's first batches for written already.
+
 ``ingest_until_close`` adds the sentinel rule of the original consumer:
 after a micro-batch that contained ``{"data": "close"}`` the query is
-stopped. It writes each micro-batch into its own ``batch=<id>`` directory
-with overwrite, so a replayed batch replaces rather than duplicates.
+stopped. It writes each micro-batch that has rows into a directory of its own,
+named by the query's id and the batch, with overwrite: a replayed batch
+replaces rather than duplicates, and a run under a new checkpoint, which is
+another query, adds to what is there.
 """
 
 from __future__ import annotations
@@ -21,15 +29,19 @@ from pyspark.sql import functions as F
 
 from ludica.operators.ingest import is_close, messages_to_rows
 from ludica.schema import LANDED_COLUMNS, LANDED_SCHEMA
-from ludica.session import scratch_path
 
 
-def checkpoint_location(spark: SparkSession, name: str) -> str:
-    """A checkpoint folder under the cluster's shared checkpoint root."""
-    return scratch_path(spark, f"stream-{name}")
+def checkpoint_of(path: str) -> str:
+    """The checkpoint folder that belongs to an output folder."""
+    return f"{path.rstrip('/')}/_checkpoint"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def ingest_stream(source: DataFrame, path: str, checkpoint: str,
+def ingest_stream(source: DataFrame, path: str, checkpoint: str | None = None,
                   trigger: str | None = "availableNow", malformed: str = "null_row",
                   partition_by: list[str] | None = None, landing_date: bool = False):
     """Append mapped rows of every micro-batch to Parquet at ``path``.
@@ -41,6 +53,11 @@ def ingest_stream(source: DataFrame, path: str, checkpoint: str,
     batch landed), so later reads of recent data prune whole folders;
     ``load_landed`` drops the column again.
     """
+    spark = source.sparkSession
+    checkpoint = checkpoint or checkpoint_of(path)
+    if _exists(spark, f"{path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} was written under another checkpoint than {checkpoint}: a run under a new one "
+                         "would skip its first batches; name the old checkpoint or another output folder")
     rows = messages_to_rows(source, malformed=malformed)
     if landing_date:
         rows = rows.withColumn("ingest_date", F.current_date())
@@ -56,7 +73,7 @@ def ingest_stream(source: DataFrame, path: str, checkpoint: str,
     return w.start()
 
 
-def ingest_until_close(source: DataFrame, path: str, checkpoint: str,
+def ingest_until_close(source: DataFrame, path: str, checkpoint: str | None = None,
                        trigger: str = "1 second", malformed: str = "null_row",
                        timeout_s: float | None = None) -> int:
     """M2: land batches until one carries the close sentinel; returns the
@@ -64,14 +81,19 @@ def ingest_until_close(source: DataFrame, path: str, checkpoint: str,
     closed = threading.Event()
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        saw_close = batch.where(is_close()).limit(1).count() > 0
-        rows = messages_to_rows(batch, malformed=malformed)
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        if saw_close:
-            closed.set()
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch = batch.persist()
+        try:
+            rows = messages_to_rows(batch, malformed=malformed)
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(f"{path}/batch={query_id}-{batch_id}")
+            if not batch.where(is_close()).isEmpty():
+                closed.set()
+        finally:
+            batch.unpersist()
 
     q = (source.writeStream.foreachBatch(land)
-               .option("checkpointLocation", checkpoint)
+               .option("checkpointLocation", checkpoint or checkpoint_of(path))
                .trigger(processingTime=trigger).start())
     waited = 0.0
     try:
@@ -97,9 +119,3 @@ def load_landed(spark: SparkSession, path: str) -> DataFrame:
 def compact(spark: SparkSession, path: str, out: str, files: int) -> None:
     """Rewrite a landed folder (many small per-batch files) as ``files`` files."""
     load_landed(spark, path).repartition(files).write.mode("overwrite").parquet(out)
-
-
-def batch_equivalent(messages: DataFrame, malformed: str = "null_row") -> DataFrame:
-    """The batch twin of ``ingest_stream`` (stream = batch tests)."""
-    return messages_to_rows(messages, malformed=malformed).select(
-        *[F.col(c) for c, _ in LANDED_COLUMNS])
