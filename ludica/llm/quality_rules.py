@@ -44,10 +44,10 @@ class Bands:
 
     level: int = 3
     whole: tuple[tuple[int, float, float], ...] = (
-        (128, 0.80, 2.6), (512, 1.10, 3.2), (1024, 1.20, 3.6),
-        (4096, 1.30, 4.2), (16384, 1.35, 5.0), (131072, 1.40, 6.0))
+        (128, 0.80, 2.6), (512, 1.10, 3.2), (1024, 1.35, 3.6),
+        (4096, 1.45, 4.2), (16384, 1.50, 5.0), (131072, 1.55, 6.0))
     chunk_bytes: int = 2048
-    chunk: tuple[float, float] = (1.15, 3.8)
+    chunk: tuple[float, float] = (1.35, 3.8)
     chunk_share: float = 0.25
 
 
