@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludica.functions import pvalues
-from ludica.operators.aggregate import attach_summary, materialize_summary
+from ludica.operators.aggregate import MAX_BROADCAST_GROUPS, attach_summary, materialize_summary
 from ludica.operators.ranking import COUNT, CUM, quantiles, running_counts
 
 _D = "double"
@@ -167,14 +167,14 @@ def tukey_hsd(df: DataFrame, value: str, group: str, alpha: float = 0.05,
     before their p-values are computed. Data rows are only touched by the
     first aggregate.
     """
-    st = _with_totals(_group_stats(df, value, group), _N=F.sum("n"), _k=F.count(F.lit(1)),
-                      _ssw=F.sum((F.col("n") - 1) * F.col("var")))
+    st, k = materialize_summary(_group_stats(df, value, group))
+    st = _with_totals(st, _N=F.sum("n"), _k=F.count(F.lit(1)), _ssw=F.sum((F.col("n") - 1) * F.col("var")))
     st = st.withColumn("_mse", _div(F.col("_ssw"), F.col("_N") - F.col("_k")))
     a = st.select(F.col(group).alias("group1"), F.col("n").alias("_n1"),
                   F.col("mean").alias("_m1"), "_N", "_k", "_mse")
     b = st.select(F.col(group).alias("group2"), F.col("n").alias("_n2"), F.col("mean").alias("_m2"))
     pairs = (a.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "group1")
-              .join(b, F.col("group1") < F.col("group2"), "inner"))
+              .join(F.broadcast(b) if k <= MAX_BROADCAST_GROUPS else b, F.col("group1") < F.col("group2"), "inner"))
     meandiff = F.col("_m2") - F.col("_m1")
     se = F.sqrt(F.col("_mse") / 2 * (1 / F.col("_n1") + 1 / F.col("_n2")))
     out = pairs.select("group1", "group2", meandiff.alias("meandiff"),

@@ -14,7 +14,7 @@ def test_list_and_run(spark, capsys):
     assert main(["run", "welch_platform", "--sf-dir", SF_SMALL, "--explain"]) == 0
     out = capsys.readouterr().out
     assert "F_statistic" in out and "Physical Plan" in out
-    assert main(["run", "no_such_query"]) == 2
+    assert main(["run", "no_such_query", "--sf-dir", SF_SMALL]) == 2
 
 
 def test_ingest_files(spark):
@@ -24,10 +24,14 @@ def test_ingest_files(spark):
     with open(os.path.join(src, "m.txt"), "w") as f:
         f.write('{"data":"{\\"AppID\\":\\"1\\",\\"Peak CCU\\":\\"5\\"}"}\n{"data":"close"}\n')
     out = os.path.join(root, "out")
-    assert main(["ingest", "--files", src, "--out", out,
-                 "--checkpoint", os.path.join(root, "ckpt")]) == 0
+    assert main(["ingest", "--files", src, "--out", out]) == 0
     rows = spark.read.parquet(out).collect()
     assert [(r.appID, r.peakCCU) for r in rows] == [("1", 5)]
+    # a second run with more files appends
+    with open(os.path.join(src, "n.txt"), "w") as f:
+        f.write('{"data":"{\\"AppID\\":\\"2\\"}"}\n')
+    assert main(["ingest", "--files", src, "--out", out]) == 0
+    assert sorted(r.appID for r in spark.read.parquet(out).collect()) == ["1", "2"]
 
 
 def test_eight_views(spark, capsys):

@@ -29,11 +29,18 @@ def test_forest_is_reproducible(spark):
 
 def test_confusion_covers_label_grid(spark):
     c = A.QUERIES["confusion"](spark, SF_CHECK).collect()
-    assert {r.label_name for r in c} <= {"Low", "Medium", "High"}
+    assert [r.label_name for r in c] == ["Low", "Medium", "High"]
     total = sum(r.predicted_Low + r.predicted_Medium + r.predicted_High for r in c)
     assert total == A.QUERIES["forest_accuracy"](spark, SF_CHECK).first().n
 
 
+def test_confusion_of_absent_classes(spark):
+    from ludica.operators.ml import confusion
+    pred = spark.createDataFrame([(0, 1.0), (2, 1.0), (2, 2.0), (None, 1.0), (0, None)], "label int, prediction double")
+    assert [tuple(r) for r in confusion(pred, [0, 1, 2], ["L", "M", "H"]).collect()] == [
+        (0, "L", 0, 1, 0), (1, "M", 0, 0, 0), (2, "H", 0, 1, 1)]
+
+
 def test_poly_feature_order(spark):
     from ludica.operators.ml import poly_names
     assert poly_names(["x", "y", "z"]) == ["x", "x_sq", "y", "x_x_y", "y_sq", "z", "x_x_z",

@@ -4,6 +4,8 @@ close sentinel stops the loop."""
 import os
 import tempfile
 
+import pytest
+
 from ludica.operators.ingest import messages_to_rows
 from ludica.schema import LANDED_COLUMNS
 from ludica.sources.games import games
@@ -76,3 +78,49 @@ def test_compaction_keeps_rows(spark):
     assert len([f for f in os.listdir(compacted) if f.endswith(".parquet")]) == 2
     assert _sorted(pipeline.load_landed(spark, compacted).collect()) == \
         _sorted(pipeline.load_landed(spark, out).collect())
+
+
+def _message(key):
+    return '{"data":"{\\"AppID\\":\\"%s\\"}"}\n' % key
+
+
+def _file(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+def test_two_runs_with_defaults_land_every_row(spark):
+    root = tempfile.mkdtemp(prefix="ludica-twice-")
+    src, out = os.path.join(root, "msgs"), os.path.join(root, "out")
+    for run, keys in enumerate(("12", "345", "")):
+        if keys:
+            _file(src, f"{run}.txt", "".join(map(_message, keys)))
+        pipeline.ingest_stream(read_message_files(spark, src, streaming=True), out).awaitTermination()
+    assert sorted(r.appID for r in pipeline.load_landed(spark, out).collect()) == list("12345")
+
+
+def test_a_foreign_checkpoint_is_refused(spark):
+    root = tempfile.mkdtemp(prefix="ludica-foreign-")
+    src, out = os.path.join(root, "msgs"), os.path.join(root, "out")
+    _file(src, "a.txt", _message(1))
+    pipeline.ingest_stream(read_message_files(spark, src, streaming=True), out).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        pipeline.ingest_stream(read_message_files(spark, src, streaming=True), out, os.path.join(root, "new"))
+
+
+def test_close_loop_keeps_earlier_runs_and_writes_no_empty_batches(spark):
+    root = tempfile.mkdtemp(prefix="ludica-close-twice-")
+    src, out = os.path.join(root, "msgs"), os.path.join(root, "out")
+    for run, keys in enumerate(("12", "34")):
+        _file(src, f"{run}.txt", "".join(map(_message, keys)) + '{"data":"close"}\n')
+        stream = read_message_files(spark, src, streaming=True)
+        checkpoint = os.path.join(root, f"ckpt{run}")     # another query each time
+        assert pipeline.ingest_until_close(stream, out, checkpoint, timeout_s=90) == 1
+    landed = sorted(r.appID for r in pipeline.load_landed(spark, out).collect())
+    assert landed == list("112234")      # the second query reads the first file again and adds
+    _file(os.path.join(root, "only-close"), "c.txt", '{"data":"close"}\n')
+    empty = os.path.join(root, "empty")
+    stream = read_message_files(spark, os.path.join(root, "only-close"), streaming=True)
+    assert pipeline.ingest_until_close(stream, empty, timeout_s=90) == 1
+    assert not [d for d in os.listdir(empty) if d.startswith("batch=")]
