@@ -164,6 +164,15 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
         raise ValueError(f"unknown quantile method {method!r}")
 
     vc = value_counts(df, value, g).checkpoint(eager=True)
+    return quantiles_of_counts(vc, value, probs, names, g, interpolation, buckets)
+
+
+def quantiles_of_counts(vc: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
+                        group: str | Sequence[str] | None = None, interpolation: str = "linear",
+                        buckets: int | None = None) -> DataFrame:
+    """Exact quantiles from a materialized table of distinct (group, value,
+    count) rows, as ``value_counts`` makes it."""
+    g = _as_list(group)
     nb = buckets if buckets is not None else default_buckets(vc, vc.count())
     rc = running_counts(vc, value, g, buckets=nb, materialize=False)
     total = F.col("_total").cast("double")
