@@ -4,15 +4,17 @@ Texts are cut into pre-tokens; each distinct pre-token of the whole input is
 encoded once; the ids go back to where the pre-token stands. What moves:
 
 1. Every task cuts its documents into blocks of about SLICE_BYTES of text and
-   numbers the distinct pre-tokens of a block. (block, number, pre-token) rows
-   are dealt by pre-token, so that equal ones meet in one task and are encoded
-   once there. A frequent pre-token is one row per block, not per occurrence.
-2. The ids go to (block, number); from a second pass over the input every
-   document goes there as the sequence of its pre-tokens' numbers. Sorted by
-   block, the ids come first, and each document is put together by position.
+   ranks the distinct pre-tokens of a block by frequency. They are dealt by
+   pre-token: hashed to buckets, one compressed row per (block, bucket), so
+   that equal ones of the whole input meet in one bucket and are encoded once
+   there. A frequent pre-token is one entry per block, not per occurrence.
+2. The ids go back to the blocks, a row per (block, bucket) again; from a
+   second pass over the input every document goes there as the sequence of
+   its pre-tokens' ranks. Sorted by block, the ids come first, and each
+   document is put together by position.
 
 The block's key is a hash of its texts (blocks of equal texts share their
-numbers); should the input's rows change between the passes, the numbers of a
+ranks); should the input's rows change between the passes, the numbers of a
 block are missing and the job fails rather than mix them up (write such an
 input first).
 
@@ -40,10 +42,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludica.llm.common import Coded, coded, ragged, ragged_take, slices
+from ludica.llm.common import SLICE_BYTES, Coded, ragged, ragged_take, slices
 
-WORDS = "block long, number int, word string"
-ROWS = "block long, number int, doc_id long, data binary"
+WORDS = "block long, bucket int, ranks binary, sizes binary, data binary"
+ROWS = "block long, bucket int, doc_id long, ranks binary, sizes binary, data binary"
+#: Sorts after every bucket: the row is a document.
+DOCUMENT = 2 ** 31 - 1
+# Fixed value: the pattern that cuts text before the merges of the rank files.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ENCODED = "doc_id long, n_tokens long, ids binary"
 
 
@@ -55,48 +61,55 @@ def load_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
+#: Texts that are matched whole: those with a NUL, or a space before other white space or at the end.
+_ODD = r"\x00| (?:\z|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
+#: PATTERN for pieces of text that a NUL ends; the NUL is a match of its own.
+_PIECES = regex.compile(r"""\x00|'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x00]+|\s+(?![^\s\x00])|\s+""")
+
+
 def pre_tokens(texts: pa.Array, pattern: regex.Pattern) -> tuple[Coded, np.ndarray]:
     """All pre-tokens of the texts, coded, and how often each distinct one occurs.
 
-    No match of the pattern reaches across a space that stands before a
-    character that is no white space, so a text can be cut there and each
-    distinct piece matched once. Texts in which a space precedes other white
-    space, or ends the text, are matched whole.
+    No match of PATTERN reaches across a space that stands before a character
+    that is no white space, so texts are cut there and each distinct piece is
+    matched once, all of them in one go.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
-    odd = pc.match_substring_regex(texts, r" (?:$|[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])")
-    odd = odd.to_numpy(zero_copy_only=False)
-    lists = pc.split_pattern(texts, " ")
-    offsets = np.asarray(lists.offsets, dtype=np.int64)
+    odd = pc.match_substring_regex(texts, _ODD) if pattern.pattern == PATTERN else pa.array([True] * len(texts))
+    lists = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+    at = np.asarray(lists.offsets, dtype=np.int64)
     pieces = lists.flatten().dictionary_encode()
     codes = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    offsets = offsets - offsets[0]
-    first = np.zeros(len(codes) + 1, bool)
-    first[offsets] = True
-    first = first[:-1]
-    # a text's first piece has no space before it
+    # a text's first piece has no space before it: numbered apart
     n = len(pieces.dictionary)
-    keys, codes = np.unique(codes + n * first, return_inverse=True)
+    heads = at[:-1] - at[0]
+    first, codes[heads] = np.unique(codes[heads], return_inverse=True)
+    codes[heads] += n
     shown = pieces.dictionary.to_pylist()
-    numbers: dict[str, int] = {}
-    find = pattern.findall
-
-    def number(text: str) -> list[int]:
-        return [numbers.setdefault(w, len(numbers)) for w in find(text)]
-
-    per_piece = [number(shown[k - n] if k >= n else f" {shown[k]}") for k in keys.tolist()]
-    flat, ends = ragged_take(*ragged(per_piece, np.int64), codes)
-    bounds = ends[offsets]
-    if odd.any():
-        lists_ = [flat[bounds[k]:bounds[k + 1]] if not odd[k] else np.array(number(texts[k].as_py()), np.int64)
-                  for k in range(len(texts))]
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists_])])
-        flat = np.concatenate(lists_)
-    return Coded(pa.array(list(numbers), pa.string()), flat, bounds), np.bincount(flat, minlength=len(numbers))
+    joined = "".join([*(f" {p}\x00" for p in shown), *(f"{shown[k]}\x00" for k in first.tolist())])
+    flat = pa.array(_PIECES.findall(joined), pa.string()).dictionary_encode()
+    own = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.flatnonzero(own == pc.index(flat.dictionary, "\x00").as_py()) if len(own) else own
+    # per piece: its pre-tokens, the NUL left out
+    bounds = np.concatenate([[0], ends + 1])
+    values, offsets = ragged_take(np.delete(own, ends), bounds - np.arange(len(bounds)), codes)
+    offsets = offsets[at - at[0]]
+    words = flat.dictionary
+    if pc.any(odd).as_py():
+        whole = [pattern.findall(t) for t in texts.filter(odd).to_pylist()]
+        both = pa.concat_arrays([words, pa.array([w for x in whole for w in x], pa.string())]).dictionary_encode()
+        renumbered = both.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        values = np.concatenate([renumbered[:len(words)][values], renumbered[len(words):]])
+        offsets = np.concatenate([offsets, offsets[-1] + np.cumsum([len(x) for x in whole])])
+        # back to the order of the texts
+        place = np.argsort(np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+        values, offsets = ragged_take(values, offsets, place)
+        words = both.dictionary
+    return Coded(words, values, offsets), np.bincount(values, minlength=len(words))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, pa.RecordBatch, Coded, np.ndarray]]:
-    """(block key, rows, pre-tokens, number of each distinct one: the frequent first, -1 if unused)."""
+    """(block key, rows, pre-tokens, rank of each distinct one by frequency, -1 if unused)."""
     compiled = regex.compile(pattern)
     for batch in batches:
         for piece in slices(batch):
@@ -122,93 +135,122 @@ def _unsqueeze(data: bytes, unpack) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
+def _buckets(words: pa.Array, n: int) -> np.ndarray:
+    """The bucket of each word, by a hash of its bytes."""
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(w) for w in words.cast(pa.binary()).to_pylist()), np.uint64, len(words)) % np.uint64(n)
+
+
 def encode(docs: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of every document."""
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = 4 * width
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(tokens)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
         for block, _, found, rank in _blocks(batches, pattern):
-            for at in range(0, len(rank), 50_000):
-                part = pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rank[at:at + 50_000]), block)), pa.array(rank[at:at + 50_000].astype(np.int32)),
-                     found.distinct.slice(at, 50_000)], names=["block", "number", "word"])
-                yield part.filter(pc.greater_equal(part.column("number"), 0))
+            bucket = _buckets(found.distinct, n_buckets).astype(np.int64)
+            order = np.lexsort((rank, bucket))
+            order = order[rank[order] >= 0]
+            shown = found.distinct.cast(pa.binary()).take(pa.array(order)).to_pylist()
+            own = bucket[order]
+            cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)] if len(own) else [0]
+            out = []
+            for a, b in zip(cuts, cuts[1:]):
+                part = shown[a:b]
+                out.append((block, int(own[a]), _squeeze(np.diff(rank[order[a:b]], prepend=0), pack),
+                            _squeeze(np.fromiter(map(len, part), np.int64, b - a), pack), pack(b"".join(part))))
+            yield _batch(out, [("block", pa.int64()), ("bucket", pa.int32()), ("ranks", pa.binary()),
+                               ("sizes", pa.binary()), ("data", pa.binary())])
 
     def ids_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
         whole = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks={t: i for i, t in enumerate(shared.value)},
                                   special_tokens={})
-        last, ids = None, b""
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+        unpack = zstandard.ZstdDecompressor().decompress
+        bucket, known = None, {}
         for batch in batches:
             out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(whole.encode_ordinary(word), dtype="<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("number"), pa.nulls(len(out), pa.int64()), pa.array(out, pa.binary())],
-                names=["block", "number", "doc_id", "data"])
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    bucket, known = row["bucket"], {}
+                data, ends = unpack(row["data"]), np.cumsum(_unsqueeze(row["sizes"], unpack)).tolist()
+                ids = []
+                for a, b in zip([0, *ends], ends):
+                    word = data[a:b]
+                    if (found := known.get(word)) is None:
+                        found = known[word] = whole.encode_ordinary(word.decode())
+                    ids.append(found)
+                flat, offsets = ragged(ids, np.uint32)
+                out.append((row["block"], bucket, None, row["ranks"], _squeeze(np.diff(offsets), pack), _squeeze(flat, pack)))
+            yield _batch(out, _ROW_TYPES)
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
         for block, piece, found, rank in _blocks(batches, pattern):
             own = rank[found.codes]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(piece.num_rows, block)), pa.array(np.full(piece.num_rows, -1, np.int32)), piece.column("doc_id"),
-                 pa.array([_squeeze(own[a:b], pack) for a, b in zip(found.offsets, found.offsets[1:])], pa.binary())],
-                names=["block", "number", "doc_id", "data"])
+            yield _batch([(block, DOCUMENT, doc_id, None, None, _squeeze(own[a:b], pack)) for doc_id, a, b in
+                          zip(piece.column("doc_id").to_pylist(), found.offsets, found.offsets[1:])], _ROW_TYPES)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         block, have, table = None, [], None
         for batch in batches:
-            keys = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                if keys[a] != block:
-                    block, have, table = keys[a], [], None
-                number = part.column("number").to_numpy()
-                split = int(np.searchsorted(number < 0, True)) if (number < 0).any() else len(number)
-                if split:
-                    have.append(part.slice(0, split))
-                if split == len(number):
+            out, n = [], 0
+            for row in batch.to_pylist():
+                if row["block"] != block:
+                    block, have, table = row["block"], [], None
+                if row["bucket"] != DOCUMENT:
+                    have.append((np.cumsum(_unsqueeze(row["ranks"], unpack)), _unsqueeze(row["sizes"], unpack),
+                                 _unsqueeze(row["data"], unpack).astype(np.uint32)))
                     continue
                 if table is None:
-                    table = _id_table(have)
-                    have = []
-                docs_ = part.slice(split)
-                out = []
-                for data in docs_.column("data").to_pylist():
-                    numbers = _unsqueeze(data, unpack)
-                    if len(numbers) and numbers.max() >= len(table[1]) - 1:
-                        raise RuntimeError("the input changed between two passes; write it to a table first")
-                    out.append(ragged_take(*table, numbers)[0].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [docs_.column("doc_id"), pa.array([len(o) // 4 for o in out], pa.int64()), pa.array(out, pa.binary())],
-                    names=["doc_id", "n_tokens", "ids"])
-
-    ids = (rows.mapInArrow(words, WORDS).repartition(width, "word").sortWithinPartitions("word")
+                    table, have = _id_table(have), []
+                ranks = _unsqueeze(row["data"], unpack)
+                if len(ranks) and ranks.max() >= len(table[1]) - 1:
+                    raise RuntimeError(CHANGED)
+                out.append((row["doc_id"], ragged_take(*table, ranks)[0].tobytes()))
+                n += len(out[-1][1])
+                if n > SLICE_BYTES:
+                    yield _encoded(out)
+                    out, n = [], 0
+            if out:
+                yield _encoded(out)
+
+    ids = (rows.mapInArrow(words, WORDS).repartition(width, "bucket").sortWithinPartitions("bucket")
            .mapInArrow(ids_of_words, ROWS))
-    # numbers are 0 and up for ids, -1 for documents: ids come first
     return (ids.unionAll(rows.mapInArrow(sequences, ROWS)).repartition(width, "block")
-            .sortWithinPartitions("block", F.col("number") < 0, "number").mapInArrow(assemble, ENCODED))
+            .sortWithinPartitions("block", "bucket").mapInArrow(assemble, ENCODED))
+
+
+CHANGED = "the input changed between two passes; write it to a table first"
+_ROW_TYPES = [("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("ranks", pa.binary()),
+              ("sizes", pa.binary()), ("data", pa.binary())]
+
+
+def _batch(rows: list[tuple], types: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, types)], names=[n for n, _ in types])
+
 
+def _encoded(rows: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
+    return _batch([(i, len(ids) // 4, ids) for i, ids in rows],
+                  [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
-def _id_table(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of a block's pre-tokens by number, as flat array and offsets."""
-    data = pa.concat_arrays([p.column("data") for p in parts]) if parts else pa.array([], pa.binary())
-    number = np.concatenate([p.column("number").to_numpy() for p in parts]) if parts else np.zeros(0, np.int32)
-    number, first = np.unique(number, return_index=True)
-    data = data.take(pa.array(first))
-    if not (number == np.arange(len(number))).all():
-        raise RuntimeError("the input changed between two passes; write it to a table first")
-    flat = np.frombuffer(b"".join(data.to_pylist()), "<u4")
-    sizes = pc.binary_length(data).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-    return flat, np.concatenate([[0], np.cumsum(sizes)])
+
+def _id_table(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a block's pre-tokens by rank, as flat array and offsets,
+    from (ranks, sizes, ids) of its buckets."""
+    none = np.zeros(0, np.int64)
+    ranks, sizes, ids = (np.concatenate(x) for x in zip(*parts)) if parts else (none, none, none.astype(np.uint32))
+    ranks, first = np.unique(ranks, return_index=True)
+    if not (ranks == np.arange(len(ranks))).all():
+        raise RuntimeError(CHANGED)
+    return ragged_take(ids, np.concatenate([[0], np.cumsum(sizes)]), first)
 
 
 class ByteTable:
@@ -239,21 +281,28 @@ def decode(encoded: DataFrame, tokens: list[bytes]) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(look_up, ENCODED + ", bytes binary")
 
 
-def digests(decoded: DataFrame, vocabulary: int) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256."""
+def digests(encoded: DataFrame, tokens: list[bytes]) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and
+    decoded_sha256 (of the decoded bytes) of ``encoded``, a part at a time."""
+    shared = encoded.sparkSession.sparkContext.broadcast(tokens)
+
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ByteTable([b"%d," % i for i in range(vocabulary)])
+        decimal, table = ByteTable([b"%d," % i for i in range(len(shared.value))]), ByteTable(shared.value)
         for batch in batches:
-            shown = []
+            shown, decoded = [], []
             for ids in batch.column("ids").to_pylist():
                 h, held = hashlib.sha256(), b""
-                for part in table.join(ids):
+                for part in decimal.join(ids):
                     h.update(held)
                     held = part
                 h.update(held[:-1])
                 shown.append(h.hexdigest())
+                h = hashlib.sha256()
+                for part in table.join(ids):
+                    h.update(part)
+                decoded.append(h.hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(shown, pa.string()), batch.column("decoded_sha256")],
+                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(shown, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return (decoded.select("doc_id", "n_tokens", "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
-            .mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
+        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -17,7 +17,7 @@ from ludica.session import scratch_path
 #: Words of the contracts: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Text bytes that a task works on at a time (a longer text stays whole).
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 

@@ -64,7 +64,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents, decoded again, as digests."""
     tokens = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, tokens), len(tokens))
+    return byte_bpe.digests(encoded, tokens)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
