@@ -485,6 +485,10 @@ SELECT name, price, averagePlaytime, platform FROM anova WHERE platform <> 'Mac
 
 register("sql_top_popularity", ORACLE["popularity_top10"])
 
+register("inspect_landed", q("""
+SELECT * FROM raw ORDER BY appID LIMIT 10
+"""))
+
 register("platform_labels", q(PLATFORM, """
 SELECT DISTINCT platform FROM anova_nm
 """))
