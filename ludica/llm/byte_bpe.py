@@ -201,7 +201,9 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:
         block, have, table = None, [], None
         for batch in batches:
             out, n = [], 0
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                # a row at a time: a batch of long documents is not held twice
+                row = {name: column[k].as_py() for name, column in zip(batch.schema.names, batch.columns)}
                 if row["block"] != block:
                     block, have, table = row["block"], [], None
                 if row["bucket"] != DOCUMENT:
@@ -260,7 +262,7 @@ class ByteTable:
         self.flat = np.frombuffer(b"".join(strings), np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
 
-    def join(self, ids: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    def join(self, ids: bytes, step: int = 1 << 17) -> Iterator[bytes]:
         """The strings of ids one after the other, ``step`` ids at a time."""
         numbers = np.frombuffer(ids, "<u4")
         for at in range(0, len(numbers), step):
@@ -290,7 +292,8 @@ def digests(encoded: DataFrame, tokens: list[bytes]) -> DataFrame:
         decimal, table = ByteTable([b"%d," % i for i in range(len(shared.value))]), ByteTable(shared.value)
         for batch in batches:
             shown, decoded = [], []
-            for ids in batch.column("ids").to_pylist():
+            for value in batch.column("ids"):
+                ids = value.as_py()
                 h, held = hashlib.sha256(), b""
                 for part in decimal.join(ids):
                     h.update(held)
