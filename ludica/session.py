@@ -42,14 +42,21 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+#: Bytes of a batch that goes to a Python worker: the workers of an executor
+#: hold a few batches each, however long the texts are.
+ARROW_BATCH_BYTES = 8 << 20
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors this package, once per Spark context.
+    """Give the executors this package, once per Spark context, and bound the
+    batches that go to their Python workers.
 
     Python workers unpickle UDFs by import, and they neither share the
     driver's ``sys.path`` nor its working folder, so the package goes along as
     a zip through Spark's own file distribution. A package that was already
     submitted as a zip (``--py-files``) is left to that.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     sc = spark.sparkContext
     package = os.path.dirname(os.path.abspath(__file__))
     if getattr(sc, "_ludica_shipped", False) or not os.path.isdir(package):
