@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -35,6 +36,21 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         stop = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, "right")))
         yield batch.slice(at, stop - at)
         at = stop
+    _give_back()
+
+
+def _give_back() -> None:
+    """Hand freed memory back to the system: Python workers are kept from task
+    to task, and those of an executor share its memory."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # no glibc: nothing to trim
+    _LIBC = None
 
 
 class Coded(NamedTuple):
