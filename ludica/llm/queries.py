@@ -18,7 +18,7 @@ END_ID = 2
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, bit-packed to files and read back."""
     return token_output.read_digests(token_output.tokenize_to_files(
-        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID))
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, added_tokens=True))
 
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,7 +260,10 @@ class WordBpe:
     the other. A chunk whose characters normalise one by one (ASCII and
     Latin-1 letters) is split by the tokenizer's own pattern and its parts go
     straight to the library's BPE model; any other chunk takes the library's
-    full path. Strings of special tokens count as ordinary text.
+    full path. With ``added_tokens``, a text that holds an added token's string
+    (as it is, before any lower-casing) goes whole through the library with its
+    default settings, which give that token's id; without, such strings count
+    as ordinary text.
     """
 
     #: A stop after a letter, at a chunk's end, is a pre-token of its own.
@@ -269,10 +272,12 @@ class WordBpe:
     _split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]"
                         "|[^a-z0-9\xdf-\xf6\xf8-\xff]+").findall
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer_json)
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        # a chunk is lower-cased already, which must not make an added token of it
         self._tokenizer.encode_special_tokens = True
         self._tokenize = self._tokenizer.model.tokenize
         self._alphabet = _byte_alphabet()
@@ -295,39 +300,58 @@ class WordBpe:
         self._chunks[chunk] = ids
         return ids
 
+    def _whole(self, text: str) -> np.ndarray:
+        """Ids of a text by the library's default settings."""
+        self._tokenizer.encode_special_tokens = False
+        try:
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        finally:
+            self._tokenizer.encode_special_tokens = True
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids begin (and the end)."""
         if len(self._chunks) > CACHE_CHUNKS:
             self._chunks.clear()
             self._parts.clear()
-        lower = pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))
-        words = coded_words(pc.replace_substring_regex(lower, *self._STOP))
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        whole = np.zeros(len(texts), bool)
+        for content in self._added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        rest = pc.if_else(pa.array(whole), "", texts) if whole.any() else texts
+        words = coded_words(pc.replace_substring_regex(pc.ascii_lower(rest), *self._STOP))
         have = self._chunks.get
         lists = [have(w) or self._chunk(w) for w in words.distinct.to_pylist()]
         ids, ends = ragged_take(*ragged(lists, np.uint32), words.codes)
-        return ids, ends[words.offsets]
+        at = ends[words.offsets]
+        if not whole.any():
+            return ids, at
+        parts = [self._whole(texts[k].as_py()) if whole[k] else ids[at[k]:at[k + 1]] for k in range(len(texts))]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
-#: A worker's encoders by the tokenizer's text: kept from task to task.
-_ENCODERS: dict[str, WordBpe] = {}
+#: A worker's encoders by the tokenizer's text and setting: kept from task to task.
+_ENCODERS: dict[tuple[str, bool], WordBpe] = {}
 
 
-def word_bpe(tokenizer_json: str) -> WordBpe:
-    if tokenizer_json not in _ENCODERS:
+def word_bpe(tokenizer_json: str, added_tokens: bool = False) -> WordBpe:
+    key = (tokenizer_json, added_tokens)
+    if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[tokenizer_json] = WordBpe(tokenizer_json)
-    return _ENCODERS[tokenizer_json]
+        _ENCODERS[key] = WordBpe(tokenizer_json, added_tokens)
+    return _ENCODERS[key]
 
 
-def tokenize_to_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
+def tokenize_to_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None,
+                      added_tokens: bool = False) -> DataFrame:
     """Encode every document with the tokenizer in ``tokenizer_path``, append
     ``end_id``, write the shard files to ``folder`` (default: a new folder
-    under spark.checkpoint.dir) and return the manifest."""
+    under spark.checkpoint.dir) and return the manifest. ``added_tokens``: see
+    ``WordBpe``."""
     from tokenizers import Tokenizer
 
     with open(tokenizer_path, encoding="utf-8") as f:
         text = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(text)
     folder = folder or scratch_path(docs.sparkSession, "token-files")
-    return write_tokens(docs, lambda: word_bpe(shared.value),
+    return write_tokens(docs, lambda: word_bpe(shared.value, added_tokens),
                         Tokenizer.from_str(text).get_vocab_size(), end_id, folder)

@@ -86,3 +86,30 @@ def test_query(spark, small_docs):
     for doc_id, n, crc in expected(sorted((r["doc_id"], r["text"]) for r in small_docs.collect())):
         assert (got[doc_id]["start"], got[doc_id]["n_tokens"], got[doc_id]["ids_crc32"]) == (start, n, crc)
         start += n
+
+
+ADDED = ["one two<|endoftext|>three <|startoftext|> four", "<|endoftext|>", " a.<|endoftext|> B's  x, ", "<|ENDOFTEXT|> <|EndOfText|>",
+         "日<|ENDOFTEXT|>本 É", "日本<|startoftext|>語 é", "<|endoftext|><|endoftext|>", "< |endoftext|>", "plain words"]
+
+
+def by_default(text):
+    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_as_the_library_by_default(odd_texts):
+    texts = [*ADDED, *odd_texts]
+    ids, at = T.WordBpe(open(PATH, encoding="utf-8").read(), added_tokens=True)(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == by_default(text), text
+
+
+def test_query_takes_added_tokens(spark):
+    folder = scratch_path(spark, "test-added")
+    spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in op1_token_files(spark, folder).collect())
+    want, start = [], 0
+    for k, text in enumerate(ADDED):
+        ids = np.array([*by_default(text), END_ID], "<u4")
+        want.append((k, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert got == want
