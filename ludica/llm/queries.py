@@ -27,7 +27,8 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turns of all conversations as linked, ordered and validated calls."""
+    """The user and assistant turns of all conversations as linked and
+    validated calls; other roles are left out, and no call points forward."""
     return tool_calls.link_calls(*tool_calls.calls_of_conversations(read_table(spark, sf_dir, "conversations")),
                                  tool_calls.REPLY_SCHEMAS)
 
