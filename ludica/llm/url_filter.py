@@ -33,19 +33,60 @@ MAX_LABELLED = 20_000
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
-# A small labelled table of URLs (1: block).
-LABELLED = [(f"http://{host}{path}", label) for label, hosts in (
-    (1, ("cheap-pills.example.com", "www.pills-online.example.net", "casino-win.example.net", "best-casino.example.com",
-         "free-bets.example.net", "bets-now.example.org", "adult-x.example.com", "blog.adult-cams.example.net",
-         "spam-farm.example.org", "link-farm.example.com", "ads-track.example.com", "m.track-ads.example.net",
-         "win-prizes.example.com", "free-money.example.net", "crack-keys.example.org", "replica-shop.example.com")),
-    (0, ("www.news.example.com", "blog.garden.example.net", "m.weather.example.org", "library.example.org",
-         "museum.example.net", "docs.example.com", "www.thesis.example.org", "recipes.example.com",
-         "the-times.example.net", "travel.example.org", "wiki.example.com", "www.nation.example.net",
-         "theatre.example.com", "blog.thread.example.org", "m.station.example.com", "history.example.net",
-         "forum.example.org", "thing.example.com", "blog.trees.example.net", "m.others.example.org",
-         "mathematics.example.net", "school.example.com", "www.rivers.example.org", "health.example.net")))
-    for host in hosts for path in ("/en/12", "/es/830.html", "/fr/7/?page=2", "/de/415#top")]
+# A small labelled table of URLs (1: block), written from common
+# kinds of unwanted and ordinary sites and from no page of the test tables.
+# Hosts tell (with paths that both labels have), paths tell (on hosts that both
+# labels have), or both; an unwanted path blocks an ordinary host too.
+_BAD_HOSTS = (
+    "onlinepharmacy.biz", "pharma-discount.info", "buy-pills24.net", "www.generic-pills.com", "cheapmeds.org", "m.cheap-tablets.net",
+    "casinoroyal.com", "www.mega-casino.info", "m.casino-slots.net", "pokerwinners.org", "winbig-jackpot.com", "free-spins.biz",
+    "sportsbets.net", "www.livebets24.com", "betting-tips.info", "blog.freebies-win.org", "freecash.net", "www.free-ringtones.biz",
+    "adultvideos.com", "www.adult-dating.net", "xxx-movies.org", "m.sexcams.com", "blog.adultchat.info", "hot-escorts.biz",
+    "spamlinks.net", "www.mailspam.org", "blog.spam-directory.com", "linkfarm24.info", "content-farms.net", "seo-linkfarm.org",
+    "adstracker.com", "www.ads-server.net", "m.popup-ads.info", "clicktrack.biz", "tracking-pixel.com", "adsclicks.org",
+    "payday-loans.biz", "www.fastloans24.net", "replicawatches.com", "fake-rolex.org", "warez-downloads.net", "crackz-serials.info",
+    "verify-account-login.com", "www.secure-bank-update.net", "miracle-diet.info", "weightloss-trick.biz")
+_GOOD_HOSTS = (
+    "cityherald.com", "www.dailynews.net", "m.morningpost.org", "blog.gardening.net", "weather.info", "www.cityweather.org",
+    "publiclibrary.org", "www.artmuseum.net", "docs.software.org", "developer.tools.com", "university.org", "www.physics.net",
+    "blog.cooking.com", "recipebook.net", "m.travelguide.com", "mountainhikes.org", "www.railways.net", "bicycles.com",
+    "encyclopedia.org", "www.dictionary.com", "history.info", "blog.astronomy.net", "chemistry.org", "maths.info",
+    "theatre.net", "www.concerthall.com", "m.cinema.org", "booksellers.com", "poetry.net", "blog.photography.com",
+    "townhall.org", "www.parliament.net", "hospital.org", "m.dentist.com", "kindergarten.net", "www.highschool.org",
+    "footballclub.com", "swimming.info", "blog.chess.net", "www.gymnastics.org", "furniture.com", "carpenter.net",
+    "bakery.org", "m.coffeehouse.com", "farmersmarket.net", "www.veterinary.org", "forum.parents.com", "insurance.net",
+    "statistics.org", "www.economics.com", "openstandards.info", "blog.gamedesign.net", "radio.org", "m.television.com",
+    "therapists.net", "www.nationalpark.org", "stationery.com", "blog.knitting.info", "harbour.net", "www.lighthouse.org")
+_ANY_HOSTS = (
+    "host1.net", "www.site.org", "pages.com", "blog.users.info", "m.home.net", "server.org", "www.portal.com", "web.biz",
+    "my.space.net", "cloud.info", "www.domain.com", "storage.org")
+_ANY_PATHS = ("", "/", "/index.html", "/en/3", "/fr/204/", "/de/77.html", "/es/518")
+_BAD_PATHS = (
+    "/casino/slots.html", "/online-casino/bonus", "/poker/free-spins", "/jackpot/win-money", "/bets/live", "/betting/today.html",
+    "/buy/pills-online", "/pharmacy/no-prescription", "/pills/discount.html", "/cheap-meds/order", "/adult/cams", "/adult-videos/12",
+    "/xxx/movies.html", "/sex/chat", "/spam/links.php", "/link-farm/7", "/ads/click.php", "/track/pixel.gif", "/ads-popup/banner",
+    "/loans/payday-cash", "/replica/watches.html", "/crack/serial-keys", "/warez/download", "/account/verify-login.php",
+    "/diet/miracle-pills", "/free-money/claim")
+_GOOD_PATHS = (
+    "/news/2019/05/election", "/articles/garden-roses.html", "/docs/install", "/docs/reference/api.html", "/recipes/bread",
+    "/about", "/contact.html", "/team/history", "/library/catalogue", "/weather/forecast", "/travel/italy/rome", "/science/physics",
+    "/blog/2021/our-summer", "/events/concert.html", "/sports/football/results", "/school/timetable", "/health/vaccines",
+    "/products/chairs", "/help/faq", "/music/piano", "/books/review-17", "/maps/city", "/archive/1998/letters", "/download/manual.pdf",
+    "/farming/wheat", "/track-and-field/records")
+
+
+def _labelled() -> list[tuple[str, int]]:
+    rows = [(host, path, label) for label, hosts in ((1, _BAD_HOSTS), (0, _GOOD_HOSTS)) for host in hosts for path in _ANY_PATHS]
+    rows += [(host, path, 0) for host in _ANY_HOSTS for path in _ANY_PATHS]  # nothing tells: allowed
+    for label, paths in ((1, _BAD_PATHS), (0, _GOOD_PATHS)):
+        rows += [(host, path, label) for host in _ANY_HOSTS for path in paths]
+        # some of the ordinary hosts with each path, in turn
+        rows += [(_GOOD_HOSTS[(5 * k + 7 * i) % len(_GOOD_HOSTS)], path, label) for k, path in enumerate(paths) for i in range(6)]
+    rows += [(host, _BAD_PATHS[(5 * k + i) % len(_BAD_PATHS)], 1) for k, host in enumerate(_BAD_HOSTS) for i in range(3)]
+    return [(f"http://{host}{path}", label) for host, path, label in rows]
+
+
+LABELLED = _labelled()
 
 
 def host_of(url: Column) -> Column:

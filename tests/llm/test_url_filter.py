@@ -68,3 +68,35 @@ def test_one_sided_labels_allow(spark):
     m = U.train(spark.createDataFrame([("http://a.net/", 1), (None, 0), ("http://b.net/", None)], "url string, label int"))
     assert (m.probability(["a.net"], ["/"]) < 0.5).all()
     assert np.isfinite(m.weights).all()
+
+
+# None of these hosts is in the labelled table, and neither are the bad stems of the test pages.
+STEMS = ("cheap-pills", "casino-win", "free-bets", "adult-x", "spam-farm", "ads-track")
+HELD_BAD = ["mypharmacy.example.com", "bestcasino.example.net", "www.adult-films.example.org", "bets4u.example.com",
+            "spam-mails.example.net", "m.ads-tracker.example.org", "poker-room.example.com", "payday-cash.example.net"]
+HELD_GOOD = ["gardencentre.example.com", "www.newsroom.example.net", "citylibrary.example.org", "blog.mathematics.example.com",
+             "museums.example.net", "m.weatherstation.example.org", "www.schools.example.com", "cookbook.example.net"]
+BAD_PATHS = ["/casino/free-bets", "/en/online-casino.html", "/shop/cheap-pills/9", "/adult/live-cams", "/spam/farm.html",
+             "/ads/track.php", "/poker/bonus", "/payday-loans"]
+GOOD_PATHS = ["/articles/garden", "/docs/library.html", "/news/weather/9", "/recipes/cakes", "/travel/france", "/science/history",
+              "/en/12", "/about/team"]
+
+
+def test_labelled_table_is_apart_from_the_pages(spark):
+    hosts = {split(url)[0] for url, _ in U.LABELLED}
+    pages = {split(r["url"])[0] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect()}
+    assert not hosts & (pages | set(HELD_BAD + HELD_GOOD))
+    assert not [u for u, _ in U.LABELLED if any(s in u for s in STEMS)]
+    assert not {split(u)[1] for u, _ in U.LABELLED} & set(BAD_PATHS)
+
+
+def test_held_out_hosts(model):
+    assert (model.probability(HELD_BAD, ["/en/9"] * 8) >= 0.5).sum() >= 5
+    assert (model.probability(HELD_GOOD, ["/en/9"] * 8) < 0.5).all()
+    assert (model.probability([f"{s}.example.net" for s in STEMS], ["/en/9"] * 6) >= 0.5).all()
+
+
+def test_a_path_alone_decides(model):
+    for host in ("neutral.example.net", "www.example.com"):
+        assert (model.probability([host] * 8, BAD_PATHS) >= 0.5).all()
+        assert (model.probability([host] * 8, GOOD_PATHS) < 0.5).all()
