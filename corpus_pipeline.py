@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     ship_code(spark)
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,7 +70,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents and the benchmark items that they contain."""
-    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                            short_items=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

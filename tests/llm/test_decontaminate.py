@@ -5,6 +5,7 @@ import pytest
 
 from ludica.llm import decontaminate as D
 from ludica.llm.queries import op10_decontaminate
+from ludica.session import scratch_path
 
 
 def shingles(text):
@@ -82,3 +83,49 @@ def test_odd_documents(spark, odd_docs, no_docs, rows_of):
     kept = D.drop_contaminated(odd_docs, items)
     assert kept.dtypes == odd_docs.dtypes and kept.count() == len(rows_of) - 1
     assert D.drop_contaminated(odd_docs, items.limit(0)).count() == len(rows_of)
+
+
+def brute_short(docs, items):
+    """As ``brute``, and items of one to four words where they stand in one piece."""
+    out = []
+    for doc_id, text in docs:
+        shown = f" {' '.join(re.findall(r'\w+', (text or '').lower()))} "
+        for item_id, item in set(items):
+            words = re.findall(r"\w+", (item or "").lower())
+            if 0 < len(words) < 5 and f" {' '.join(words)} " in shown:
+                out.append(str((doc_id, item_id, 1, 1)))
+    return sorted(out + brute(docs, items))
+
+
+@pytest.mark.parametrize("chars", [200, 4_000_000])
+def test_short_items_equal_brute_force(spark, planted, monkeypatch, chars):
+    monkeypatch.setattr(D, "BLOCK_CHARS", chars)
+    docs, items = planted
+    docs = [*docs, (900, "他说今天天气很好，我们去公园。"), (901, "今天天气很好我们去公园")]
+    items = [*items, (30, "我们去公园"), (31, "...")]
+    got = D.contaminated_pairs(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+                               spark.createDataFrame(items, "item_id long, text string"), short_items=True)
+    want = brute_short(docs, items)
+    assert pairs(got) == want and len(want) > len(brute(docs, items)) + 10 and str((900, 30, 1, 1)) in want
+
+
+def test_query_finds_a_short_item(spark):
+    folder = scratch_path(spark, "test-short-items")
+    spark.createDataFrame([(0, "so: One two, three FOUR."), (1, "one two four three")], "doc_id long, text string").write.parquet(
+        f"{folder}/documents.parquet")
+    spark.createDataFrame([(7, "one two three four")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    assert [(r["doc_id"], r["item_id"]) for r in op10_decontaminate(spark, folder).collect()] == [(0, 7)]
+
+
+def test_ids_of_one_text_are_dealt_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_IDS", 20)
+    monkeypatch.setattr(D, "BLOCK_CHARS", 300)
+    monkeypatch.setattr(D, "BATCH_PAIRS", 5)
+    text = "one two three four five six"
+    items = spark.createDataFrame([(i, text) for i in [*range(400), None]], "item_id long, text string")
+    blocks = [b for b in D.benchmark_blocks(items) if b.ids]
+    assert len(blocks) > 3 and max(sum(map(len, b.ids)) for b in blocks) < 200
+    assert all(len(ids) <= 40 for b in blocks for ids in b.ids)
+    docs = spark.createDataFrame([(5, "zero " + text), (6, text), (7, "no")], "doc_id long, text string")
+    got = D.contaminated_pairs(docs, items).collect()
+    assert sorted(str((r["doc_id"], r["item_id"])) for r in got) == sorted(str((d, i)) for d in (5, 6) for i in [*range(400), None])
