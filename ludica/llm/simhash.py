@@ -155,9 +155,34 @@ def _chained(key: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def spanning_forest(left: np.ndarray, right: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _chain_masks(start: int) -> list[tuple[np.uint64, int]]:
+    """(bits, budget) of the chains of 3 and 4 segments from a start."""
+    out = []
+    for length in (3, 4):
+        segments = [SEGMENTS[(start + k) % len(SEGMENTS)] for k in range(length)]
+        out.append((np.uint64(sum(((1 << width) - 1) << low for low, width in segments)), length * MAX_BITS // len(SEGMENTS)))
+    return out
+
+
+def spanning_forest(left: np.ndarray, right: np.ndarray, key: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links between left and right that connect what all their links connect:
-    breadth first, each fingerprint against those not yet reached."""
+    breadth first, each fingerprint against those not yet reached. With the
+    group's key, only links within the chains of 3 and 4 segments from its
+    start count (any link is within those of one of its starts)."""
+    chains = [] if key is None else _chain_masks(key >> 26)
+
+    def linked(others: np.ndarray, node: np.uint64) -> np.ndarray:
+        x = others ^ node
+        at = None
+        for bits, budget in chains:
+            ok = np.bitwise_count((x if at is None else x[at]) & bits) <= budget
+            at = np.flatnonzero(ok) if at is None else at[ok]
+        if at is None:
+            return _near(others, node)
+        hit = np.zeros(len(x), bool)
+        hit[at] = np.bitwise_count(x[at]) <= MAX_BITS
+        return hit
+
     edges: list[tuple[np.ndarray, np.ndarray]] = []
     waiting = {0: left, 1: right}
     while len(waiting[1]):
@@ -168,7 +193,7 @@ def spanning_forest(left: np.ndarray, right: np.ndarray) -> list[tuple[np.ndarra
             other = waiting[1 - side]
             if not len(other):
                 continue
-            hit = _near(other, node)
+            hit = linked(other, node)
             if hit.any():
                 found = other[hit]
                 waiting[1 - side] = other[~hit]
@@ -199,7 +224,7 @@ def _links_of_groups(key: np.ndarray, fps: np.ndarray, role: np.ndarray, starts:
         edges.append((fps[i[hit]], fps[j[hit]]))
     for g in np.flatnonzero((right >= SMALL_GROUP) & (left > 0)):
         a, b = starts[g], starts[g] + right[g]
-        edges += spanning_forest(fps[b:ends[g]], fps[a:b])
+        edges += spanning_forest(fps[b:ends[g]], fps[a:b], int(key[a]))
     return edges
 
 

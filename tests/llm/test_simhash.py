@@ -106,3 +106,20 @@ def test_pigeonring_chain_holds_for_linked_pairs():
         keys, fps, looked = S._keys(np.array([b], np.uint64))
         met = set(S._filed(np.array([a], np.uint64)).reshape(-1).tolist()) & set(keys.tolist())
         assert any(S._chained(np.array([k]), x)[0] for k in met)
+
+
+def test_large_groups_keep_to_the_chains():
+    """Pairs of one key that are near but outside its chains: 3 bits in the third segment of the start."""
+    rng = random.Random(4)
+    base = rng.getrandbits(64)
+    fps = sorted({base} | {base ^ sum(1 << b for b in rng.sample(range(26, 64), rng.randrange(1, 4))) for _ in range(40)})
+    fps = np.array(fps, np.uint64)
+    key = int(S._filed(fps)[0][0])
+    assert (S._filed(fps)[0] == key).all() and len(fps) >= S.SMALL_GROUP
+    n = len(fps)
+    found = S._links_of_groups(np.full(2 * n, key), np.tile(fps, 2), np.repeat([0, 1], n), np.array([0]))
+    x = np.concatenate([a ^ b for a, b in found])
+    assert len(x) and S._chained(np.full(len(x), key), x).all()
+    near = fps[:, None] ^ fps[None, :]
+    near = near[np.bitwise_count(near) <= S.MAX_BITS]
+    assert not S._chained(np.full(len(near), key), near).all()
