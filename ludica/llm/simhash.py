@@ -16,7 +16,10 @@ and 4 prune what meets under a key before the full distance is taken.
 
 Skew. Exact copies share a fingerprint and count once. A key under which more
 than ``TILE`` fingerprints are filed (a large group of near copies) is dealt
-as tiles of at most about ``TILE`` x ``TILE``, so no task holds the group; a
+as tiles, and so are the 12 or 13 keys that the group is looked up under, each
+side by its own count: a tile has at most about ``TILE`` filed rows and as many
+of the group, beside at most 13 * ``TILE`` rows of smaller groups. Under a key
+of these without a filed row nothing can link, and its rows are left out. A
 tile returns a spanning forest of its links, never all its pairs, which keeps
 the components exact.
 
@@ -228,6 +231,29 @@ def _links_of_groups(key: np.ndarray, fps: np.ndarray, role: np.ndarray, starts:
     return edges
 
 
+def _tiles(filed: DataFrame) -> DataFrame:
+    """(key, rights, lefts): tiles of each side of the keys with more than
+    TILE filed fingerprints and of the keys that those are looked up under
+    (every other key has at most 14 * TILE rows in all). ``filed``: key, count.
+    ``rights`` is 0 for a key under which nothing is filed."""
+    heavy = materialize(filed.where(F.col("count") > TILE), "simhash-heavy")
+    none = heavy.select("key", F.lit(0).alias("rights"), F.lit(0).alias("lefts"))
+    if heavy.isEmpty():
+        return none
+    widths = ", ".join(str(SEGMENTS[(s + 1) % len(SEGMENTS)][1]) for s in range(len(SEGMENTS)))
+    looked = (heavy.select(F.explode(F.expr(
+        f"transform(sequence(0, element_at(array({widths}), int(shiftright(key, 26)) + 1) - 1), b -> key ^ shiftleft(1L, b))"))
+        .alias("key"), "count").groupBy("key").agg(F.sum("count").alias("looked")))
+    # both sides of a key are known from the heavy keys; its own rows may be few
+    keys = heavy.select("key").union(looked.select("key")).distinct()
+    own = filed.join(keys, "key", "left_semi")
+    count, more = F.coalesce("count", F.lit(0)), F.coalesce("looked", F.lit(0))
+    return materialize(
+        keys.join(own, "key", "left").join(looked, "key", "left")
+        .select("key", F.ceil(count / TILE).cast("int").alias("rights"), F.ceil((count + more) / TILE).cast("int").alias("lefts")),
+        "simhash-tiles")
+
+
 def _edges(prints: DataFrame) -> DataFrame:
     """(a, b) links between distinct fingerprints (column fp), enough to
     connect whatever all links connect."""
@@ -246,17 +272,17 @@ def _edges(prints: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(fp.view(np.int64)), pa.array(looked)], names=["key", "fp", "looked"])
 
-    tiles = materialize(prints.select("fp").mapInArrow(file, "key long").groupBy("key").count()
-                        .where(F.col("count") > TILE)
-                        .select("key", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), "simhash-tiles")
-    rows = prints.select("fp").mapInArrow(look, "key long, fp long, looked boolean").join(tiles, "key", "left")
-    side = F.pmod(F.xxhash64(F.col("fp"), F.lit(1)), F.col("tiles")).cast("int")
-    every = F.sequence(F.lit(0), F.col("tiles") - 1)
+    rows = (prints.select("fp").mapInArrow(look, "key long, fp long, looked boolean")
+            .join(_tiles(prints.select("fp").mapInArrow(file, "key long").groupBy("key").count()), "key", "left"))
+    hashed = F.xxhash64(F.col("fp"), F.lit(1))
+    right, left = (F.pmod(hashed, F.greatest(F.col(n), F.lit(1))).cast("int") for n in ("rights", "lefts"))
+    # no filed row: nothing to link with, so the looked-up rows go
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
     # (tile of the right side, tile of the left side, role): a filed row is on both sides
-    as_right = F.transform(every, lambda t: F.struct(side.alias("r"), t.alias("l"), F.lit(0).alias("role")))
-    as_left = F.transform(every, lambda t: F.struct(t.alias("r"), side.alias("l"), F.lit(1).alias("role")))
+    as_right = F.transform(upto("lefts"), lambda t: F.struct(right.alias("r"), t.alias("l"), F.lit(0).alias("role")))
+    as_left = F.transform(upto("rights"), lambda t: F.struct(t.alias("r"), left.alias("l"), F.lit(1).alias("role")))
     one = lambda role: F.array(F.struct(F.lit(0).alias("r"), F.lit(0).alias("l"), F.lit(role).alias("role")))
-    placed = (F.when(F.col("tiles").isNull(), F.when(F.col("looked"), one(1)).otherwise(F.concat(one(0), one(1))))
+    placed = (F.when(F.col("rights").isNull(), F.when(F.col("looked"), one(1)).otherwise(F.concat(one(0), one(1))))
               .when(F.col("looked"), as_left).otherwise(F.concat(as_right, as_left)))
     dealt = (rows.select("key", "fp", F.explode(placed).alias("p"))
              .select("key", "fp", "p.r", "p.l", "p.role")

@@ -123,3 +123,12 @@ def test_large_groups_keep_to_the_chains():
     near = fps[:, None] ^ fps[None, :]
     near = near[np.bitwise_count(near) <= S.MAX_BITS]
     assert not S._chained(np.full(len(near), key), near).all()
+
+
+def test_the_keys_a_large_group_is_looked_up_under(spark, monkeypatch):
+    monkeypatch.setattr(S, "TILE", 10)
+    key, alone, beside = (1 << 26) | 5, (1 << 26) | 1000, (1 << 26) | 4
+    filed = spark.createDataFrame([(key, 35), (alone, 3), (beside, 2)], "key long, count long")
+    got = {r["key"]: (r["rights"], r["lefts"]) for r in S._tiles(filed).collect()}
+    assert got == {key: (4, 4), beside: (1, 4)} | {key ^ (1 << b): (0, 4) for b in range(1, 13)}
+    assert S._tiles(filed.where("count < 10")).collect() == []
