@@ -73,12 +73,12 @@ def test_many_matches(spark):
     assert row["spans"].count("iban") == 700 and row["spans"].endswith(f"iban:{len(text) - 23}:{len(text) - 1}")
 
 
-@pytest.mark.parametrize("text", ["x" * 1_000_000, "1" * 1_000_000, "1 " * 500_000, "a@" + "a." * 500_000, "+1" + "(" * 500_000,
-                                  "1." * 200_000, "+" * 500_000, "A1" * 300_000, "0123-456-" * 50_000])
-def test_long_runs_neither_overflow_nor_take_long(spark, text):
+@pytest.mark.parametrize("text, spans", [
+    ("x" * 1_000_000, 0), ("1" * 1_000_000, 0), ("1 " * 500_000, 0), ("a@" + "a." * 500_000, 1), ("+1" + "(" * 500_000, 0),
+    ("1." * 200_000, 50_000), ("+" * 500_000, 0), ("A1" * 300_000, 0), ("0123-456-" * 50_000, 0)])
+def test_long_runs_neither_overflow_nor_take_long(spark, text, spans):
     row = found(spark, [text])[0]
-    if len(text) <= 500_000 or "@" in text:
-        check(row, text)
+    assert (row["spans"].count(":") // 2) == row["n_email"] + row["n_ip"] == spans
 
 
 def test_odd_documents(odd_docs, rows_of, no_docs):
