@@ -21,12 +21,12 @@ are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +52,7 @@ SCRIPTS = (
     ("Han", 0x3400, 0x9FFF), ("Hangul", 0xAC00, 0xD7AF), ("Han", 0x20000, 0x2FA1F),
 )
 SCRIPT_NAMES = tuple(dict.fromkeys(s[0] for s in SCRIPTS)) + ("Other",)
-_letters = re.compile(r"[^\W\d_]+").findall
+_letters = regex.compile(r"\p{L}+").findall
 _FIRST = np.array([s[1] for s in SCRIPTS])
 _LAST = np.array([s[2] for s in SCRIPTS])
 _NAME = np.array([SCRIPT_NAMES.index(s[0]) for s in SCRIPTS])
@@ -141,7 +141,7 @@ def word_scores(chunks: list[str], model: Model) -> tuple[np.ndarray, np.ndarray
     stripped = _stripped(chunks)
     row, bucket = hashed_ngrams([f"<{w}>" if w else "" for w in stripped], NGRAMS, BUCKETS)
     scores = np.stack([np.bincount(row, model.weights[bucket, k], len(chunks))
-                       for k in range(len(model.languages))], axis=1)
+                       for k in range(len(model.languages))], axis=1).astype(float)  # counts of nothing are whole numbers
     letters = scripts_of([w.replace(" ", "") for w in stripped])
     n = letters.sum(axis=1)
     allowed = model.uses[letters.argmax(axis=1)]

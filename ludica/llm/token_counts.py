@@ -129,7 +129,10 @@ class Counter:
         pieces, score = sums[:, 1].astype(np.int64), sums[:, 0]
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
         pieces[empty], score[empty] = 0, 0.0
-        for k in np.flatnonzero(odd):
+        marked = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(marked):  # a marker of the text's own may join what a cut would part
+            score[k], pieces[k] = self.best(SPACE + texts[k].as_py().replace(" ", SPACE))
+        for k in np.flatnonzero(odd & ~marked):
             found = [segment(s.replace(" ", SPACE)) for s in _segments(" " + texts[k].as_py())]
             pieces[k], score[k] = sum(f[1] for f in found), sum(f[0] for f in found)
         return pieces, score

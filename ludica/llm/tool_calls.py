@@ -29,6 +29,7 @@ columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,21 +43,24 @@ _KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null":
 
 def _is(value, kind: str) -> bool:
     if kind in ("integer", "number"):
-        return (isinstance(value, int) or kind == "number" and isinstance(value, float)) and not isinstance(value, bool)
+        whole = isinstance(value, int) or isinstance(value, float) and (kind == "number" or value.is_integer())
+        return whole and not isinstance(value, bool)
     return isinstance(value, _KINDS[kind])
 
 
 def violation(value, schema: dict, at: str = "$") -> str | None:
     """The first way in which a value breaks a schema, or None. Known: type,
-    enum, minimum, maximum, minLength, maxLength, required, properties,
+    enum, minimum, maximum, minLength, maxLength, pattern, required, properties,
     additionalProperties (false), items."""
     kinds = schema.get("type")
     if kinds and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return f"{at}: not of type {kinds}"
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(v == value and isinstance(v, bool) == isinstance(value, bool) for v in schema["enum"]):
         return f"{at}: not one of the values"
     if isinstance(value, str) and not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", len(value)):
         return f"{at}: length {len(value)}"
+    if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
+        return f"{at}: does not match the pattern"
     if _is(value, "number") and not schema.get("minimum", value) <= value <= schema.get("maximum", value):
         return f"{at}: out of range"
     if isinstance(value, dict):
@@ -79,21 +83,35 @@ def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def _no_json(constant: str):
+    raise ValueError(f"{constant} is no JSON")
+
+
+def _checked(schemas: dict[str, dict], own: str | None, tool: str | None, given: str | None, content: str | None) -> tuple:
+    """(valid, error, canonical json) of one call. Arguments that are no JSON
+    (NaN and Infinity are none, nor are halves of surrogate pairs, which no
+    UTF-8 can hold) or nested too deeply stand in the json as the text they are."""
+    def row(value, error: str | None) -> tuple:
+        return error is None, error, canonical({"arguments": value, "id": own, "name": tool, "result": content})
+    try:
+        value = json.loads(given, parse_constant=_no_json) if given is not None else None
+        error = (violation(value, {"type": "object", **schemas[tool]}) if tool in schemas
+                 else "no schema" if tool is not None else "no call")
+        out = row(value, error)
+        out[2].encode()
+        return out
+    except RecursionError:
+        return row(given, "$: nested too deeply")
+    except ValueError:
+        return row(given, "$: no JSON")
+
+
 def serialised(schemas: dict[str, dict], call_id: Column, name: Column, arguments: Column, result: Column) -> Column:
     """valid, error and canonical json of linked calls."""
     @F.arrow_udf("valid boolean, error string, json string")
     def check(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for columns in batches:
-            out = []
-            for own, tool, given, content in zip(*(c.to_pylist() for c in columns)):
-                try:
-                    value = json.loads(given) if given is not None else None
-                except ValueError:
-                    value, error = given, "$: no JSON"
-                else:
-                    error = (violation(value, {"type": "object", **schemas[tool]}) if tool in schemas
-                             else "no schema" if tool is not None else "no call")
-                out.append((error is None, error, canonical({"arguments": value, "id": own, "name": tool, "result": content})))
+            out = [_checked(schemas, *row) for row in zip(*(c.to_pylist() for c in columns))]
             yield pa.StructArray.from_arrays(
                 [pa.array([o[0] for o in out], pa.bool_()), pa.array([o[1] for o in out], pa.string()),
                  pa.array([o[2] for o in out], pa.string())], ["valid", "error", "json"])

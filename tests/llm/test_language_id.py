@@ -73,3 +73,31 @@ def test_odd_documents(spark, odd_docs, no_docs, rows_of, model):
     assert L.identify(no_docs, model).collect() == []
     untrained = L.train(odd_docs)
     assert {r["lang_pred"] for r in L.identify(odd_docs, untrained).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("texts", [["123 456"], ["..."], ["½ ²"], ["Ⅷ ① ½"], ["", None, "7"]])
+def test_batches_without_a_letter(model, texts):
+    assert [r["lang_pred"] for r in L.label(pa.array(texts, pa.string()), model).to_pylist()] == ["und"] * len(texts)
+
+
+def test_no_letter_in_the_table(spark, model):
+    df = spark.createDataFrame([(1, "123 456"), (2, "..."), (3, None)], "doc_id long, text string").repartition(3)
+    assert {r["lang_pred"] for r in L.identify(df, model).collect()} == {"und"}
+
+
+def test_numerals_are_no_letters(model):
+    """Numerals neither count as letters nor keep the letters beside them from counting."""
+    both = L.label(pa.array(["the house ½ ² Ⅷ", "the house"]), model).to_pylist()
+    assert both[0]["lang_pred"] == both[1]["lang_pred"] != "und"
+    assert sum(s["letters"] for s in both[0]["spans"]) == sum(s["letters"] for s in both[1]["spans"]) == 8
+
+
+def test_scores_against_a_plain_count(model):
+    """The score of a word is the mean log-likelihood of its n-grams, counted one by one."""
+    scores, letters = L.word_scores(["house", "42", "año"], model)
+    for i, word in enumerate(["house", "", "año"]):
+        grams = [b for n in L.NGRAMS for b in L.hashed_ngrams([f"<{word}>"] if word else [], (n,), L.BUCKETS)[1].tolist()]
+        want = sum((model.weights[b] for b in grams), np.zeros(len(model.languages)))
+        own = model.uses[L.SCRIPT_NAMES.index("Latin")] if word else np.ones(len(model.languages), bool)
+        assert np.allclose(scores[i][own], want[own])
+    assert letters.tolist() == [5, 0, 3]

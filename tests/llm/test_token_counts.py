@@ -55,3 +55,11 @@ def test_ties_and_unknowns_equal_the_library():
             text = "".join(rng.choice("ab c") for _ in range(rng.randrange(1, 12)))
             normal = "▁" + text.replace(" ", "▁")
             assert counter.best(normal)[1] == len(library.encode(normal).ids), (vocab, normal)
+
+
+def test_markers_in_the_text(library):
+    """A literal U+2581 beside spaces: the smallest case, and random ones."""
+    rng = random.Random(4)
+    texts = ["▁ ", "▁", " ▁", "a▁ b", "▁▁ a", "a ▁b"] + ["".join(rng.choice("▁ ab▁  é") for _ in range(rng.randrange(1, 14))) for _ in range(2000)]
+    pieces, _ = C.Counter(*C.load_pieces(PATH)).texts(pa.array(texts))
+    assert pieces.tolist() == [library(t) for t in texts]

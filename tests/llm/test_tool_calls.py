@@ -84,3 +84,20 @@ def test_a_chain_needs_no_rounds(spark, n):
     calls = [(1, str(i), i, "add", '{"a":1}', [str(i - 1)] if i else []) for i in range(n)]
     got = C.link_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), SCHEMAS).collect()
     assert {r["level"] for r in got} == {0}
+
+
+def test_arguments_that_no_json_can_hold(spark):
+    deep = '{"a":' + "[" * 100_000 + "]" * 100_000 + "}"
+    given = {"deep": deep, "half": '{"a":"\\ud800"}', "nan": '{"a":NaN}', "inf": '{"a":-Infinity}', "pair": '{"a":"\\ud83d\\ude00"}'}
+    calls = [(1, k, i, "any", v, []) for i, (k, v) in enumerate(given.items())]
+    got = {r["call_id"]: r for r in C.link_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), {"any": {}}).collect()}
+    assert {k: r["error"] for k, r in got.items()} == {"deep": "$: nested too deeply", "half": "$: no JSON", "nan": "$: no JSON",
+                                                       "inf": "$: no JSON", "pair": None}
+    assert all(json.loads(r["json"])["arguments"] == given[k] for k, r in got.items() if k != "pair")
+    assert "\U0001f600" in got["pair"]["json"]
+
+
+def test_schema_kinds():
+    assert C.violation(True, {"enum": [1]}) and C.violation(1, {"enum": [True]}) and C.violation(1.0, {"enum": [1]}) is None
+    assert C.violation(2.0, {"type": "integer"}) is None and C.violation(2.5, {"type": "integer"})
+    assert C.violation("ab1", {"pattern": "^[a-z]+$"}) and C.violation("ab", {"pattern": "^[a-z]+$"}) is None
