@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludica.operators.aggregate import attach_summary
-from ludica.operators.ranking import COUNT, quantiles, quantiles_of_counts, value_counts
+from ludica.operators.ranking import COUNT, quantiles, value_counts
 
 _D = "double"
 
@@ -26,27 +26,20 @@ def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5,
     Whiskers are the most extreme data points within ``whis`` IQR of the box,
     the matplotlib/seaborn rule; points beyond them are outliers.
     """
-    base = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    if method == "exact":
-        # the rows are read once: everything follows from the distinct values and their counts
-        rows = value_counts(base, value, group).checkpoint(eager=True)
-        times = F.col(COUNT)
-        q = quantiles_of_counts(rows, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], group)
-    else:
-        rows, times = base, F.lit(1)
-        q = quantiles(base, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], group=group, method=method)
+    # own names: the table may have columns called like the statistics
+    base = (df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+            .select(F.col(group).alias("_group"), F.col(value).alias("_value")))
+    q = quantiles(base, "_value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], group="_group", method=method)
     q = q.withColumn("_lo", F.col("q1") - whis * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
-    v = F.col(value).cast(_D)
-    j = attach_summary(rows, q, group)
-    inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    return j.groupBy(group).agg(
-        F.sum(times).cast("long").alias("n"),
-        (F.sum(v * times) / F.sum(times)).alias("mean"),
+    v = F.col("_value").cast(_D)
+    inside = ~F.isnan(v) & (v >= F.col("_lo")) & (v <= F.col("_hi"))
+    return attach_summary(base, q, "_group").groupBy(F.col("_group").alias(group)).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"),
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(times)).cast("long").alias("n_outliers"),
+        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"),
     )
 
 

@@ -1,8 +1,10 @@
 """Message decoding and field mapping (M1-M8) as column expressions.
 
 Works the same on a batch or a streaming DataFrame with a ``value STRING``
-column (Kafka value, text file line). Everything is built-in JSON / map /
-cast expressions; no per-row Python.
+column (Kafka value, text file line). Messages are parsed to VARIANT (binary
+JSON); one cast takes a record apart into a struct with a VARIANT field for
+each key that is asked for, so a column is a field access and not a look-up. A field
+tells a missing key (NULL) from a JSON null (variant null). No per-row Python.
 """
 
 from __future__ import annotations
@@ -60,11 +62,14 @@ ENVELOPE_KEY = "data"
 CLOSE_SENTINEL = "close"
 
 SOURCE_OF = {dst: src for src, dst in RENAMES}
-MAP_TYPE = T.MapType(T.StringType(), T.StringType())
-JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
-RECORD = "_record"     # parsed inner map
-DUPKEYS = "_dupkeys"   # the record repeats a key
+RECORD = "_record"     # struct of variants, one for each of RECORD_KEYS
+DOTTED = "_dotted"     # the record's text may hold an unquoted number with a point
+#: Keys that are read from a record: the source keys, then those spelled like a column.
+RECORD_KEYS = list(dict.fromkeys([src for src, _ in RENAMES] + [f.name for f in LANDED_SCHEMA.fields]))
+# a cast by name takes the record apart; keys that differ by case alone need names of their own afterwards
+_BY_KEY = "struct<" + ", ".join(f"`{k}`: variant" for k in RECORD_KEYS) + ">"
+_BY_PLACE = "struct<" + ", ".join(f"k{i}: variant" for i in range(len(RECORD_KEYS))) + ">"
 
 
 def _coerced(dtype: T.DataType) -> bool:
@@ -134,29 +139,27 @@ def _keep_rows(df: DataFrame, keep: Column, cols: list[Column], passthrough: lis
 
 def decode_messages(msgs: DataFrame, value: str = "value", malformed: str = "null_row",
                     keep_raw: bool = False) -> DataFrame:
-    """M1 + M2: envelope ``{"data": "<json text>"}`` -> parsed record map.
+    """M1 + M2: envelope ``{"data": "<json text>"}`` -> parsed record (RECORD).
 
     Kept: messages whose outer JSON is an object with a non-NULL ``data``.
     Dropped: invalid outer JSON, missing or NULL ``data``, inner literal
     ``null``, and the ``close`` sentinel (see ``is_close``). Inner text that
-    is not a JSON object becomes an empty record (one all-NULL row) under
+    is not a JSON object becomes a record without keys (one all-NULL row) under
     ``malformed='null_row'``, is dropped under ``'drop'``, and is marked in
     ``_malformed`` under ``'quarantine'`` (rows kept with their raw text).
     """
     if malformed not in ("null_row", "drop", "quarantine"):
         raise ValueError(f"unknown malformed policy {malformed!r}")
-    outer = F.from_json(F.col(value), MAP_TYPE, JSON_OPTIONS)
-    inner = outer[ENVELOPE_KEY]
-    parsed = F.from_json(inner, MAP_TYPE, JSON_OPTIONS)
-    keep = (outer.isNotNull() & F.map_contains_key(outer, ENVELOPE_KEY) & inner.isNotNull()
-            & (inner != F.lit(CLOSE_SENTINEL))
+    _last_of_repeated_keys(msgs)
+    inner = _envelope_text(value)
+    # not a JSON object: NULL, and then every key is missing
+    record = F.try_variant_get(F.try_parse_json(inner), "$", _BY_KEY).cast(_BY_PLACE)
+    keep = (inner.isNotNull() & (inner != F.lit(CLOSE_SENTINEL))
             & ~inner.rlike(r"(?s)^[\x00-\x20]*null([\x00-\x20].*)?$"))
-    bad = parsed.isNull()
+    bad = record.isNull()
     if malformed == "drop":
         keep = keep & ~bad
-    rec = F.coalesce(parsed, F.create_map().cast(MAP_TYPE))
-    keys = F.map_keys(rec)
-    cols = [rec.alias(RECORD), (F.size(keys) != F.size(F.array_distinct(keys))).alias(DUPKEYS)]
+    cols = [record.alias(RECORD), inner.rlike(r":[\x00-\x20]*-?[0-9]+\.").alias(DOTTED)]
     if malformed == "quarantine":
         cols.append(bad.alias("_malformed"))
     if keep_raw or malformed == "quarantine":
@@ -166,41 +169,50 @@ def decode_messages(msgs: DataFrame, value: str = "value", malformed: str = "nul
 
 def is_close(value: str = "value") -> Column:
     """M2: the message is the ``{"data": "close"}`` sentinel."""
-    outer = F.from_json(F.col(value), MAP_TYPE, JSON_OPTIONS)
-    return F.coalesce(outer[ENVELOPE_KEY] == F.lit(CLOSE_SENTINEL), F.lit(False))
+    return F.coalesce(_envelope_text(value) == F.lit(CLOSE_SENTINEL), F.lit(False))
+
+
+def _envelope_text(value: str) -> Column:
+    """The envelope's text (a record that is no string as its JSON); NULL if
+    there is none, it is a JSON null, or the envelope is no JSON object."""
+    return F.try_variant_get(F.try_parse_json(F.col(value)), f"$.{ENVELOPE_KEY}", "string")
+
+
+def _last_of_repeated_keys(df: DataFrame) -> None:
+    """Of repeated keys the last one counts, as in most JSON readers; by default
+    Spark takes such an object for malformed."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 # ------------------------------------------------------------------ M3-M8
 
-def _lookup(key: str) -> Column:
-    """Value of ``key``; when the record repeats keys, the last one wins."""
-    m = F.col(RECORD)
-    last = F.try_element_at(
-        F.transform(F.filter(F.map_entries(m), lambda e: e["key"] == F.lit(key)),
-                    lambda e: e["value"]),
-        F.lit(-1))
-    return F.when(F.col(DUPKEYS), last).otherwise(m[key])
+def _field(key: str) -> Column:
+    """The value of ``key``: NULL if it is missing, a variant null if it is a JSON null."""
+    return F.col(f"{RECORD}.k{RECORD_KEYS.index(key)}")
 
 
-def _has(key: str) -> Column:
-    return F.map_contains_key(F.col(RECORD), key)
+def _text(value: Column) -> Column:
+    """A string as it is, other JSON as its text (numbers as Spark writes them), null as NULL."""
+    return value.cast("string")
 
 
-def _coerce(dtype: T.DataType, v: Column) -> Column:
+def _coerce(dtype: T.DataType, value: Column) -> Column:
     if isinstance(dtype, T.IntegerType):
-        return to_int_or_zero(v)
+        # an unquoted 5.0 is no integer text, but as a variant it is written like one
+        decimal = F.col(DOTTED) & F.schema_of_variant(value).startswith("DECIMAL")
+        return F.when(decimal, F.lit(0)).otherwise(to_int_or_zero(_text(value)))
     if isinstance(dtype, T.FloatType):
-        return to_float_or_zero(v)
+        return to_float_or_zero(_text(value))
     if isinstance(dtype, T.BooleanType):
-        return to_bool_or_false(v)
-    return v
+        return to_bool_or_false(_text(value))
+    return _text(value)
 
 
 def null_poisoned() -> Column:
     """M7: a coercing source key is present with a JSON null."""
     cond = F.lit(False)
     for k in COERCED_SOURCE_KEYS:
-        cond = cond | (_has(k) & _lookup(k).isNull())
+        cond = cond | F.is_variant_null(_field(k))
     return cond
 
 
@@ -212,11 +224,14 @@ def mapped_column(field: T.StructField) -> Column:
     with ``try_cast`` (NULL when unparseable); a missing key is NULL.
     """
     name, dtype = field.name, field.dataType
-    direct = _lookup(name).try_cast(dtype) if not isinstance(dtype, T.StringType) else _lookup(name)
+    direct = _text(_field(name))
+    if not isinstance(dtype, T.StringType):
+        direct = direct.try_cast(dtype)
     src = SOURCE_OF.get(name)
     if src is None:
         return direct.alias(name)
-    return F.when(_has(src), _coerce(dtype, _lookup(src))).otherwise(direct).cast(dtype).alias(name)
+    value = _field(src)
+    return F.when(value.isNotNull(), _coerce(dtype, value)).otherwise(direct).cast(dtype).alias(name)
 
 
 def map_game_fields(decoded: DataFrame, schema: T.StructType = LANDED_SCHEMA,

@@ -2,7 +2,7 @@
 
 The naive forms - an unpartitioned window for global ranks, or a per-group
 sort for exact percentiles - put a whole group (possibly a third of all
-rows) into one task. Here the work is split in three steps:
+rows) into one task. Here the work is split in two steps:
 
 1. ``value_counts``: one row per distinct (group, value) with its count.
    Partial aggregation collapses duplicates map-side, so a hot value costs
@@ -12,8 +12,9 @@ rows) into one task. Here the work is split in three steps:
    doubles reaches the driver). A window per (group, bucket) gives running
    counts inside a bucket; per-bucket totals (groups x buckets rows) give the
    offsets. A hot group is therefore spread over all buckets.
-3. ``quantiles``: the value at rank r is ``min(value)`` over the rows whose
-   running count exceeds r - a plain grouped aggregate.
+
+Quantiles need no ranks of all rows: ``quantiles`` narrows down on the few
+that it asks for (``narrowing``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludica.operators.narrowing import narrowed_quantiles
+
 COUNT = "_n"
 CUM = "_cum"          # running count including the row's value
 BUCKET = "_bucket"
@@ -133,9 +136,10 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
               buckets: int | None = None) -> DataFrame:
     """Per-group quantiles of ``value`` as columns ``names``.
 
-    method ``exact``: the data is first reduced to distinct (group, value,
-      count) rows and materialized, then ranks are selected over bucketed
-      running counts (skew-safe; NULL is a group like any other).
+    method ``exact``: rank narrowing (``narrowing.narrowed_quantiles``): sketch
+      bounds, exact counts of the cells between them, values only near the
+      wanted ranks (skew-safe; NULL is a group like any other). With a number
+      of ``buckets``, running counts over the distinct values instead.
       ``linear`` interpolation equals numpy's default percentile / SQL
       ``percentile`` / DuckDB ``quantile_cont``; ``disc`` returns the value
       at 1-based rank ceil(p n), as ``percentile_disc`` and
@@ -163,8 +167,9 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    vc = value_counts(df, value, g).checkpoint(eager=True)
-    return quantiles_of_counts(vc, value, probs, names, g, interpolation, buckets)
+    if buckets is None:
+        return narrowed_quantiles(df, value, probs, names, g, interpolation)
+    return quantiles_of_counts(value_counts(df, value, g).checkpoint(eager=True), value, probs, names, g, interpolation, buckets)
 
 
 def quantiles_of_counts(vc: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],

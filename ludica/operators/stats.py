@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ludica.functions import pvalues
 from ludica.operators.aggregate import MAX_BROADCAST_GROUPS, attach_summary, materialize_summary
-from ludica.operators.ranking import COUNT, CUM, quantiles_of_counts, running_counts, value_counts
+from ludica.operators.ranking import COUNT, CUM, quantiles, running_counts, value_counts
 
 _D = "double"
 
@@ -124,24 +124,20 @@ def levene(df: DataFrame, value: str, group: str, center: str = "median",
            with_p: bool = True) -> DataFrame:
     """Levene / Brown-Forsythe test of equal variances (default: median centre).
 
-    The rows are read once, into distinct (group, value, count) rows; centres,
-    mean deviations and their variances all follow from that table, each
-    k-row summary broadcast back onto it.
+    Medians come from rank narrowing, the distances from them are a second
+    grouped aggregate over the rows: neither shuffles the column.
     """
-    base = df.where(F.col(group).isNotNull())
-    vc = value_counts(base, value, group).checkpoint(eager=True)
-    v, times = F.col(value).cast(_D), F.col(COUNT)
+    # own names: the table may have columns called like the statistics
+    base = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_group"), F.col(value).cast(_D).alias("_value"))
     if center == "median":
-        centre = quantiles_of_counts(vc, value, [0.5], ["_c"], group)
+        centre = quantiles(base, "_value", [0.5], ["_c"], "_group")
     elif center == "mean":
-        centre = vc.groupBy(group).agg((F.sum(v * times) / F.sum(times)).alias("_c"))
+        centre = base.groupBy("_group").agg(F.avg("_value").alias("_c"))
     else:
         raise ValueError(f"unknown centre {center!r}")
-    z = attach_summary(vc, centre, group).select(group, F.abs(v - F.col("_c")).alias("_z"), times.alias("_t"))
-    means = z.groupBy(group).agg(F.sum("_t").cast(_D).alias("n"), (F.sum(F.col("_z") * F.col("_t")) / F.sum("_t")).alias("mean"))
-    apart = F.col("_z") - F.col("mean")
-    zs = (attach_summary(z, means, group).groupBy(group, "n", "mean")
-          .agg(_div(F.sum(apart * apart * F.col("_t")), F.col("n") - 1).alias("var")))
+    z = F.abs(F.col("_value") - F.col("_c"))
+    zs = (attach_summary(base.where(F.col("_value").isNotNull()), centre, "_group").groupBy("_group")
+          .agg(F.count(F.lit(1)).cast(_D).alias("n"), F.avg(z).alias("mean"), F.var_samp(z).alias("var")))
     n, zbar = F.col("n"), F.col("mean")
     # overall mean of z over the k group rows, then direct per-group terms
     zs = _with_totals(zs, _zsum=F.sum(n * zbar), _nsum=F.sum(n))

@@ -584,6 +584,18 @@ def ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(F.isnan(price), "NaN").when(price == float("inf"), "Infinity").alias("price_special"))
 
 
+@query
+def ingest_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3, M7, M8 on records with repeated keys, missing keys, nulls, and keys that differ by case alone."""
+    key = F.col("p_partkey")
+    bodies = ['"Positive":"3","Positive":"9"', '"Name":null,"name":"n"', '"name":"n"', '"Positive":null,"Positive":"4"',
+              '"Positive":"4","Positive":null']
+    body = F.get(F.array(*map(F.lit, bodies)), (key % len(bodies)).cast("int"))
+    text = F.concat(F.lit('{"AppID":"'), key.cast("string"), F.lit('",'), body, F.lit("}"))
+    rows = ingest.messages_to_rows(read_table(spark, sf_dir, "part").select(F.to_json(F.struct(text.alias("data"))).alias("value")))
+    return rows.select("appID", "name", "positive")
+
+
 # --------------------------------------------------- operators on driver tables
 # The generic operators run unchanged on the large driver tables; these keep
 # the skew-safe rank and quantile paths honest on high-cardinality doubles.

@@ -572,6 +572,13 @@ FROM part WHERE p_partkey % 14 NOT IN (1, 2, 3, 4, 5)
 """)
 
 
+register("ingest_keys", """
+SELECT CAST(p_partkey AS VARCHAR) AS appID, CASE WHEN p_partkey % 5 = 2 THEN 'n' END AS name,
+       CAST(CASE p_partkey % 5 WHEN 0 THEN 9 WHEN 3 THEN 4 END AS INT) AS positive
+FROM part WHERE p_partkey % 5 <> 4
+""")
+
+
 # p-values: the densities integrated by Simpson's rule from 0 to the statistic.
 
 def _p_value(stat: str, upper: str, density: str, sides: int, out: str) -> str:

@@ -107,3 +107,28 @@ def test_duplicate_keys_last_wins(spark):
 def test_nested_object_becomes_json_text(spark):
     (row,) = _rows(spark, [_msg('{"AppID":"1","Tags":{"a":1}}')])
     assert json.loads(row.tags) == {"a": 1}
+
+
+@pytest.mark.parametrize("number, expected", [("5", 5), ("5.0", 0), ("-7", -7), ("1e3", 0), ("99999999999", 0), ("true", 0), ("0.5", 0)])
+def test_unquoted_numbers_in_int_columns(spark, number, expected):
+    (row,) = _rows(spark, [_msg(f'{{"AppID":"v1.5","Peak CCU":{number}}}')])
+    assert row.peakCCU == expected and row.appID == "v1.5"
+
+
+def test_missing_null_and_repeated_keys(spark):
+    """A JSON null of a text key is not a missing key: the key spelled like the
+    column only stands in for a missing one. The last of repeated keys counts, in the envelope, too."""
+    rows = _rows(spark, [_msg('{"AppID":"1","Name":null,"name":"n"}'), _msg('{"AppID":"2","name":"n"}'),
+                         _msg('{"AppID":"3","Name":"a","Name":null}'), _msg('{"AppID":"4","Price":null,"Price":"2"}'),
+                         _msg('{"AppID":"5","Price":"2","Price":null}'), '{"data":"null","data":"{\\"AppID\\":\\"6\\"}"}'])
+    got = {r.appID: r for r in rows}
+    assert sorted(got) == ["1", "2", "3", "4", "6"]
+    assert (got["1"].name, got["2"].name, got["3"].name, got["4"].price) == (None, "n", None, 2.0)
+
+
+def test_strict_json(spark):
+    """What is no JSON makes an all-NULL row: NaN, leading zeros, single quotes, half an object. Text after the object is left out."""
+    for inner in ('{"AppID":"1","Price":NaN}', '{"AppID":01}', "{'AppID':'1'}", '{"AppID":"1"'):
+        (row,) = _rows(spark, [_msg(inner)])
+        assert all(v is None for v in row.asDict().values())
+    assert _rows(spark, [_msg('{"AppID":"1"} and more')])[0].appID == "1"
