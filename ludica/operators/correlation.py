@@ -1,10 +1,10 @@
 """Pearson correlation matrix (L2, V4) over numeric columns.
 
-All pairs are computed in ONE aggregate (``corr`` per pair, partial
-aggregation before the shuffle). The wide form is reshaped lazily with
-``stack`` - no collect. ``method="ml"`` uses ``Correlation.corr`` on an
-assembled vector column like the analysis did; its 2-D result (columns^2
-numbers) is turned back into rows on the driver.
+All pairs follow from one pass that keeps counts, means and co-moments of every
+pair of columns (``comoments``). The wide form is pivoted over at most columns^2
+rows. ``method="ml"`` uses ``Correlation.corr`` on an assembled vector column like
+the analysis did; its 2-D result (columns^2 numbers) is turned back into rows
+on the driver.
 """
 
 from __future__ import annotations
@@ -14,38 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-# A ``corr`` aggregation buffer holds 6 fields; one aggregate keeps
-# whole-stage codegen while its buffers stay under Spark's field limit (100).
-MAX_PAIRS_ONE_AGG = 16
-
-
-def _pair(a: str, b: str) -> str:
-    return f"_r__{a}__{b}"
-
-
-def pair_corr(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(feature_a, feature_b, r) for the given column pairs, one data pass.
-
-    Few pairs: one aggregate with a ``corr`` per pair, reshaped by ``stack``.
-    Many pairs: every row is unfolded into (pair, x, y) by ``inline`` and one
-    grouped ``corr`` runs over the pairs - a single codegen'd aggregate whose
-    partial step combines map-side, so only pairs x map tasks rows shuffle.
-    Both use pairwise deletion (rows where x or y is NULL are skipped).
-    """
-    pairs = list(pairs)
-    if len(pairs) <= MAX_PAIRS_ONE_AGG:
-        one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(_pair(a, b))
-                       for a, b in pairs])
-        stacked = ", ".join(f"'{a}', '{b}', `{_pair(a, b)}`" for a, b in pairs)
-        return one.select(F.expr(f"stack({len(pairs)}, {stacked}) AS (feature_a, feature_b, r)"))
-    unfolded = F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in pairs])
-    return (df.select(F.inline(unfolded))
-              .groupBy("feature_a", "feature_b").agg(F.corr("x", "y").alias("r")))
-
+from ludica.operators.comoments import pair_rows
 
 def corr_long(df: DataFrame, cols: Sequence[str], listwise: bool = False,
               include_diagonal: bool = False) -> DataFrame:
@@ -58,23 +27,22 @@ def corr_long(df: DataFrame, cols: Sequence[str], listwise: bool = False,
     if listwise:
         df = df.dropna(subset=cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + (0 if include_diagonal else 1):]]
-    return pair_corr(df, pairs)
+    return pair_rows(df, pairs)
 
 
 def corr_wide(df: DataFrame, cols: Sequence[str], listwise: bool = True,
               method: str | None = None) -> DataFrame:
     """The square matrix as rows: ``feature`` + one DOUBLE column per feature.
 
-    ``ml`` (default when ``listwise``): Spark ML ``Correlation.corr`` on the
-    assembled vectors - column statistics and a centred Gramian by tree
-    aggregation, BLAS-backed; only the columns^2 matrix reaches the driver,
-    where it becomes a small frame. ``sql``: the upper triangle by grouped
-    ``corr`` (pairwise deletion unless ``listwise``), mirrored and pivoted
-    over at most columns^2 rows.
+    ``sql`` (default): the upper triangle from the co-moments (pairwise
+    deletion unless ``listwise``), mirrored and pivoted over at most columns^2
+    rows. ``ml`` (``listwise`` only): Spark ML ``Correlation.corr`` on the
+    assembled vectors; only the columns^2 matrix reaches the driver. A table
+    without rows has NULL correlations in both.
     """
     cols = list(cols)
     if method is None:
-        method = "ml" if listwise else "sql"
+        method = "sql"
     if method == "ml":
         if not listwise:
             raise ValueError("the ml method deletes rows listwise")
@@ -97,7 +65,10 @@ def _corr_wide_ml(df: DataFrame, cols: list[str]) -> DataFrame:
 
     vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip") \
         .transform(df.select(*cols)).select("_features")
-    m = Correlation.corr(vec, "_features").head()[0].toArray()
-    rows = [[c] + [float(x) for x in m[i]] for i, c in enumerate(cols)]
+    if vec.isEmpty():
+        rows = [[c] + [None] * len(cols) for c in cols]
+    else:
+        m = Correlation.corr(vec, "_features").head()[0].toArray()
+        rows = [[c] + [float(x) for x in m[i]] for i, c in enumerate(cols)]
     schema = ", ".join(["feature string"] + [f"`{c}` double" for c in cols])
     return df.sparkSession.createDataFrame(rows, schema)

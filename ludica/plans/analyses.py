@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ludica.functions import features as feat
 from ludica.operators import aggregate as agg
 from ludica.operators import clean
-from ludica.operators import charts, correlation, ingest, ml, stats
+from ludica.operators import charts, comoments, correlation, ingest, ml, sketches, stats
 from ludica.session import scratch_path
 from ludica.sources import messages
 from ludica.streaming import pipeline
@@ -444,6 +444,43 @@ def regression_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select(F.inline(F.array(*each)))
 
 
+@query
+def regression_collinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4, L5 from co-moments: a fit with a feature that another one determines, and its rank."""
+    rows = _table(spark, sf_dir, "lineitem", "l_quantity", "l_discount", "l_extendedprice")
+    rows = rows.withColumn("twice", 2 * F.col("l_quantity") + 1)
+    fit = comoments.linear_fit(rows, ["l_quantity", "twice", "l_discount"], "l_extendedprice")
+    return fit.withColumn("coefficient", F.round("coefficient", 3))
+
+
+@query
+def sketch_quantiles_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 from kept sketches: one for each ship date, written in two runs, merged by
+    return flag; whether each quantile's rank lies within the stated error."""
+    path = scratch_path(spark, "date-sketches")
+    rows = _table(spark, sf_dir, "lineitem", "l_returnflag", "l_shipdate", "l_extendedprice")
+    late = F.col("l_shipdate") >= F.lit("1995-01-01").cast("date")
+    for part in (~late, late):
+        (sketches.sketch_table(rows.where(part), "l_extendedprice", ["l_returnflag", "l_shipdate"])
+         .write.mode("append").parquet(path))
+    probs = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
+    found = sketches.sketch_quantiles(spark.read.parquet(path), list(probs.values()), list(probs), ["l_returnflag"])
+    ranked = agg.attach_summary(rows, found, "l_returnflag").groupBy("l_returnflag", "n").agg(*[
+        F.avg(F.when(cond, 1).otherwise(0)).alias(f"{name}_{side}") for name in probs
+        for side, cond in (("below", F.col("l_extendedprice") < F.col(name)), ("upto", F.col("l_extendedprice") <= F.col(name)))])
+    error = sketches.rank_error()
+    return ranked.select("l_returnflag", "n", *[
+        ((F.col(f"{name}_below") <= p + error) & (F.col(f"{name}_upto") >= p - error)).alias(f"{name}_within")
+        for name, p in probs.items()])
+
+
+@query
+def corr_no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 on a table that a filter leaves without rows: the features with NULL correlations."""
+    rows = _table(spark, sf_dir, "lineitem", "l_quantity", "l_discount", "l_tax").where(F.col("l_quantity") < 0)
+    return correlation.corr_wide(rows, ["l_quantity", "l_discount", "l_tax"])
+
+
 def classifier_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """L1 + P2: labelled feature vectors, seeded 80/20 train/test split."""
     df = ml.assemble(labeled_games(spark, sf_dir), CLASSIFIER_INPUTS).select(

@@ -479,6 +479,29 @@ register("corr_lineitem", "\nUNION ALL\n".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, ROUND(corr({a}, {b}), 6) AS r FROM lineitem"
     for i, a in enumerate(_LI) for b in _LI[i + 1:]))
 
+register("regression_collinear", """
+WITH s AS (
+  SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_discount) AS mz, avg(l_extendedprice) AS my,
+         var_pop(l_quantity) AS xx, var_pop(l_discount) AS zz, covar_pop(l_quantity, l_discount) AS xz,
+         covar_pop(l_quantity, l_extendedprice) AS xy, covar_pop(l_discount, l_extendedprice) AS zy
+  FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL AND l_extendedprice IS NOT NULL),
+b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM s)
+SELECT 'intercept' AS term, round(my - bx * mx - bz * mz, 3) AS coefficient, n, 2::INTEGER AS rank FROM b
+UNION ALL SELECT 'l_quantity', round(bx, 3), n, 2::INTEGER FROM b
+UNION ALL SELECT 'twice', NULL::DOUBLE, n, 2::INTEGER FROM b
+UNION ALL SELECT 'l_discount', round(bz, 3), n, 2::INTEGER FROM b
+""")
+
+register("sketch_quantiles_by_date", """
+SELECT l_returnflag, count(l_extendedprice) AS n, true AS q05_within, true AS q25_within, true AS q50_within,
+       true AS q75_within, true AS q95_within
+FROM lineitem GROUP BY l_returnflag
+""")
+
+register("corr_no_rows", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature, " + ", ".join(f"corr({a}, {b}) AS {b}" for b in ("l_quantity", "l_discount", "l_tax"))
+    + " FROM lineitem WHERE l_quantity < 0" for a in ("l_quantity", "l_discount", "l_tax")))
+
 register("sql_over_views", q(PLATFORM, """
 SELECT name, price, averagePlaytime, platform FROM anova WHERE platform <> 'Mac Only'
 """))
