@@ -474,6 +474,16 @@ def sketch_quantiles_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, p in probs.items()])
 
 
+@query
+def hist_special_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 where some values are NaN or infinite: they are counted apart."""
+    key = F.col("p_partkey")
+    price = F.when(key % 50 == 0, F.lit(float("nan"))).when(key % 50 == 1, F.lit(float("inf"))).when(
+        key % 50 == 2, F.lit(float("-inf"))).otherwise(F.col("p_retailprice").cast("double"))
+    rows = read_table(spark, sf_dir, "part").select("p_brand", price.alias("price"))
+    return charts.histogram(rows, "price", "p_brand", 10).select("p_brand", "bin", "count")
+
+
 @query
 def corr_no_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2 on a table that a filter leaves without rows: the features with NULL correlations."""

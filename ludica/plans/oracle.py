@@ -498,6 +498,16 @@ SELECT l_returnflag, count(l_extendedprice) AS n, true AS q05_within, true AS q2
 FROM lineitem GROUP BY l_returnflag
 """)
 
+register("hist_special_values", """
+WITH f AS (SELECT p_brand, CAST(p_retailprice AS DOUBLE) AS v FROM part WHERE p_partkey % 50 > 2),
+e AS (SELECT min(v) AS lo, max(v) AS hi FROM f),
+c AS (SELECT p_brand, CAST(least(floor((v - lo) * (10 / (hi - lo))), 9) AS INT) AS bin, count(*) AS n FROM f, e GROUP BY 1, 2),
+g AS (SELECT p_brand, CAST(b AS INT) AS bin FROM (SELECT DISTINCT p_brand FROM part), range(10) r(b))
+SELECT g.p_brand, g.bin, coalesce(c.n, 0) AS count FROM g LEFT JOIN c ON c.p_brand = g.p_brand AND c.bin = g.bin
+UNION ALL
+SELECT p_brand, NULL, count(*) FROM part WHERE p_partkey % 50 <= 2 GROUP BY p_brand
+""")
+
 register("corr_no_rows", "\nUNION ALL\n".join(
     f"SELECT '{a}' AS feature, " + ", ".join(f"corr({a}, {b}) AS {b}" for b in ("l_quantity", "l_discount", "l_tax"))
     + " FROM lineitem WHERE l_quantity < 0" for a in ("l_quantity", "l_discount", "l_tax")))
