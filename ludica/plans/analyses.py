@@ -612,9 +612,8 @@ def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.load_landed(spark, out)
 
 
-@query
-def ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1, M4, M5, M7 on messages of which most are malformed in some way."""
+def _malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which most are malformed in some way, the close sentinel among them."""
     key = F.col("p_partkey")
     record = lambda field, text: F.concat(F.lit('{"AppID":"'), key.cast("string"), F.lit(f'","{field}":{text}}}'))
     inner = [F.lit("no json"), F.lit("null"), record("Price", "null"), F.lit("close"), None, None,
@@ -624,13 +623,54 @@ def ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, text in enumerate(inner):
         if text is not None:
             value = value.when(key % len(inner) == k, F.to_json(F.struct(text.alias("data"))))
-    rows = ingest.messages_to_rows(read_table(spark, sf_dir, "part").select(value.alias("value")))
+    return read_table(spark, sf_dir, "part").select(value.alias("value"))
+
+
+@query
+def ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M4, M5, M7 on messages of which most are malformed in some way."""
+    return _special_prices(ingest.messages_to_rows(_malformed_messages(spark, sf_dir)))
+
+
+def _special_prices(rows: DataFrame) -> DataFrame:
     price = F.col("price")
     finite = ~F.isnan(price) & (F.abs(price) != float("inf"))
     return rows.select("appID", "positive", F.when(finite, price.cast("double")).alias("price"),
                        F.when(F.isnan(price), "NaN").when(price == float("inf"), "Infinity").alias("price_special"))
 
 
+@query
+def ingest_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 in S5: two runs, the second with files that the first has landed in part: every row lands once."""
+    src_dir, out = scratch_path(spark, "messages"), scratch_path(spark, "landed")
+    texts = catalog_messages(spark, sf_dir)
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    for part in (third < 2, third > 0):
+        texts.where(part).write.mode("append").text(src_dir)
+        pipeline.ingest_stream(messages.read_message_files(spark, src_dir, streaming=True), out, distinct=True).awaitTermination()
+    return pipeline.load_landed(spark, out)
+
+
+@query
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 as a stream with two outputs: landed rows and quarantined records."""
+    src_dir, out, bad = (scratch_path(spark, name) for name in ("messages", "landed", "quarantine"))
+    _malformed_messages(spark, sf_dir).write.text(src_dir)
+    pipeline.ingest_with_quarantine(messages.read_message_files(spark, src_dir, streaming=True), out, bad).awaitTermination()
+    landed = pipeline.load_landed(spark, out).select(F.lit("landed").alias("output"), "appID", F.lit(None).cast("string").alias("record"))
+    return landed.unionByName(pipeline.load_quarantined(spark, bad).select(
+        F.lit("quarantined").alias("output"), F.lit(None).cast("string").alias("appID"), F.col("raw_record").alias("record")))
+
+
+@query
+def ingest_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: the loop that stops after the batch with the close sentinel; the batch's other rows land."""
+    src_dir, out = scratch_path(spark, "messages"), scratch_path(spark, "landed")
+    _malformed_messages(spark, sf_dir).write.text(src_dir)
+    closed = pipeline.ingest_until_close(messages.read_message_files(spark, src_dir, streaming=True), out, timeout_s=300)
+    return _special_prices(pipeline.load_landed(spark, out)).withColumn("closed", F.lit(closed))
+
+
 @query
 def ingest_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3, M7, M8 on records with repeated keys, missing keys, nulls, and keys that differ by case alone."""

@@ -605,6 +605,13 @@ FROM part WHERE p_partkey % 14 NOT IN (1, 2, 3, 4, 5)
 """)
 
 
+register("ingest_distinct", "SELECT DISTINCT * FROM (" + ORACLE["ingest_map"] + ")")
+register("ingest_quarantine", """
+SELECT 'landed' AS output, CAST(p_partkey AS VARCHAR) AS appID, CAST(NULL AS VARCHAR) AS record
+FROM part WHERE p_partkey % 14 > 5
+UNION ALL SELECT 'quarantined', NULL, 'no json' FROM part WHERE p_partkey % 14 = 0
+""")
+register("ingest_closed", "SELECT *, 1 AS closed FROM (" + ORACLE["ingest_malformed"] + ")")
 register("ingest_keys", """
 SELECT CAST(p_partkey AS VARCHAR) AS appID, CASE WHEN p_partkey % 5 = 2 THEN 'n' END AS name,
        CAST(CASE p_partkey % 5 WHEN 0 THEN 9 WHEN 3 THEN 4 END AS INT) AS positive

@@ -27,7 +27,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludica.operators.ingest import is_close, messages_to_rows
+from ludica.operators.ingest import is_close, messages_to_rows, quarantine_split
 from ludica.schema import LANDED_COLUMNS, LANDED_SCHEMA
 
 
@@ -43,7 +43,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def ingest_stream(source: DataFrame, path: str, checkpoint: str | None = None,
                   trigger: str | None = "availableNow", malformed: str = "null_row",
-                  partition_by: list[str] | None = None, landing_date: bool = False):
+                  partition_by: list[str] | None = None, landing_date: bool = False,
+                  distinct: bool = False):
     """Append mapped rows of every micro-batch to Parquet at ``path``.
 
     ``trigger``: ``"availableNow"`` processes what is there and stops (bounded
@@ -52,6 +53,10 @@ def ingest_stream(source: DataFrame, path: str, checkpoint: str | None = None,
     ``landing_date`` adds an ``ingest_date`` directory partition (the date a
     batch landed), so later reads of recent data prune whole folders;
     ``load_landed`` drops the column again.
+    ``distinct`` lands every row once (R1), however often and in whichever run
+    it is delivered: the hashes of all landed rows (32 bytes each) are the
+    query's state, in RocksDB under its checkpoint, so they survive restarts and
+    do not have to fit in memory. The choice is made at the first run into a folder.
     """
     spark = source.sparkSession
     checkpoint = checkpoint or checkpoint_of(path)
@@ -59,6 +64,8 @@ def ingest_stream(source: DataFrame, path: str, checkpoint: str | None = None,
         raise ValueError(f"{path} was written under another checkpoint than {checkpoint}: a run under a new one "
                          "would skip its first batches; name the old checkpoint or another output folder")
     rows = messages_to_rows(source, malformed=malformed)
+    if distinct:
+        rows = _first_of_equal_rows(rows)
     if landing_date:
         rows = rows.withColumn("ingest_date", F.current_date())
         partition_by = list(partition_by or []) + ["ingest_date"]
@@ -73,6 +80,47 @@ def ingest_stream(source: DataFrame, path: str, checkpoint: str | None = None,
     return w.start()
 
 
+#: Spark's state store that keeps state on the executors' disks, with its changes in the checkpoint.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _first_of_equal_rows(rows: DataFrame) -> DataFrame:
+    """The first delivery of each row; 0.0 and -0.0 are equal, NULLs are too."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    cells = [(F.col(f.name) + F.lit(0).cast(f.dataType)).alias(f.name) if f.dataType.typeName() == "float" else F.col(f.name)
+             for f in rows.schema.fields]
+    text = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+    return rows.withColumn("_row", F.unhex(F.sha2(text, 256))).dropDuplicates(["_row"]).drop("_row")
+
+
+def land_split(batch: DataFrame, batch_id: int | str, path: str, quarantine: str) -> None:
+    """M1: the rows of a batch to ``path`` and its malformed messages to
+    ``quarantine``, each in a folder of the batch's own that a replay replaces."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    batch = batch.persist()
+    try:
+        for rows, folder in zip(quarantine_split(batch), (path, quarantine), strict=True):
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(f"{folder}/batch={query_id}-{batch_id}")
+    finally:
+        batch.unpersist()
+
+
+def ingest_with_quarantine(source: DataFrame, path: str, quarantine: str, checkpoint: str | None = None,
+                           trigger: str | None = "availableNow"):
+    """M1 as one streaming query with two outputs. Both folders are named by the query's id and the
+    batch, so a batch that is replayed after a failure, between its two writes too, lands once in each."""
+    w = (source.writeStream.option("checkpointLocation", checkpoint or checkpoint_of(path))
+         .foreachBatch(lambda batch, batch_id: land_split(batch, batch_id, path, quarantine)))
+    w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger) if trigger else w
+    return w.start()
+
+
+def load_quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """The malformed messages: raw_message and raw_record."""
+    return spark.read.schema("raw_message string, raw_record string").parquet(path).select("raw_message", "raw_record")
+
+
 def ingest_until_close(source: DataFrame, path: str, checkpoint: str | None = None,
                        trigger: str = "1 second", malformed: str = "null_row",
                        timeout_s: float | None = None) -> int:
