@@ -346,12 +346,13 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of each class, with all its columns
-    (null doc_ids last; among rows of that doc_id the smallest text)."""
+    (null doc_ids last; among rows of that doc_id the smallest text). The rows are
+    written once with their fingerprints, so that each text is hashed once."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     text = F.col("text").cast("string")
-    rows = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       fingerprint(text).alias("fp"))
-    held = classes(materialize(rows.select("doc_id", "fp"), "simhash-prints")).where("holds").select("fp")
+    rows = materialize(docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
+                                   fingerprint(text).alias("fp")), "simhash-rows")
+    held = classes(rows.select("doc_id", "fp")).where("holds").select("fp")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row.text"))
     firsts = rows.groupBy("fp").agg(F.min_by("_row", order).alias("_row"))
     return firsts.join(held, "fp", "left_semi").select("_row.*")
