@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ludica.functions import features as feat
 from ludica.operators import aggregate as agg
 from ludica.operators import clean
-from ludica.operators import charts, comoments, correlation, ingest, ml, sketches, stats
+from ludica.operators import charts, comoments, correlation, ingest, ml, sketches, stats, trees
 from ludica.session import scratch_path
 from ludica.sources import messages
 from ludica.streaming import pipeline
@@ -514,6 +514,25 @@ def tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "depth int, num_nodes int, tree string")
 
 
+@query
+def trees_as_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree and a forest as node tables, walked by joins: test rows by
+    model and label, how many get the model's own prediction, and whether the votes are the trees' class shares."""
+    train, test = classifier_split(spark, sf_dir)
+    rows = labeled_games(spark, sf_dir)
+    out = None
+    for name, model in (("tree", ml.fit_tree(train)), ("forest", ml.fit_forest(train, num_trees=20))):
+        own = model.transform(test).select("appID", "label", F.col("prediction").alias("said"))
+        found = trees.evaluate(rows.join(test.select("appID"), "appID", "left_semi"), trees.node_table(spark, model),
+                               CLASSIFIER_INPUTS, "appID")
+        size = F.aggregate("votes", F.lit(0.0), lambda a, x: a + x)
+        part = (own.join(found, "appID").groupBy(F.lit(name).alias("model"), "label").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("said") == F.col("prediction")).alias("n_agree"),
+            F.round(F.max(size), 6).alias("votes")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _forest(spark: SparkSession, sf_dir: str):
     train, test = classifier_split(spark, sf_dir)
     model = ml.fit_forest(train, num_trees=20)

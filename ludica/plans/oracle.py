@@ -167,6 +167,13 @@ SELECT CASE WHEN substring(md5(concat('1234|', appID)), 1, 8) < 'cccccccc' THEN
 FROM labeled GROUP BY 1, 2
 """))
 
+register("trees_as_tables", q(LABELED, """
+SELECT m.model, label, count(*) AS n, count(*) AS n_agree, any_value(m.votes) AS votes
+FROM labeled, (VALUES ('tree', 1.0::DOUBLE), ('forest', 20.0::DOUBLE)) m(model, votes)
+WHERE substring(md5(concat('1234|', appID)), 1, 8) >= 'cccccccc'
+GROUP BY m.model, label
+"""))
+
 REGRESSION = """,
 reg AS (
   SELECT appID, CAST(recommendations AS INT) AS recommendations, CAST(positive AS INT) AS positive,
