@@ -201,26 +201,29 @@ def mann_whitney(df: DataFrame, value: str, group: str, first: str, second: str,
     Midranks come from running counts over the distinct values of both
     samples together (``ranking.running_counts``: value-range buckets, so no
     single task ranks everything); R_first = sum(count_first(v) * midrank(v)).
-    The tie correction sum(t^3 - t) is a plain aggregate in DOUBLE.
+    The tie correction sum(t^3 - t) is a plain aggregate in DOUBLE. A NaN has
+    no rank: with one among the values, U is NaN and the p-value NULL.
     """
-    two = df.where(F.col(group).isin(first, second) & F.col(value).isNotNull())
-    vc = two.groupBy(value).agg(
+    # own names: the table may have columns called like the counts
+    two = (df.where(F.col(group).isin(first, second) & F.col(value).isNotNull())
+           .select(F.col(group).alias("_group"), F.col(value).alias("_value")))
+    vc = two.groupBy("_value").agg(
         F.count(F.lit(1)).alias(COUNT),
-        F.sum(F.when(F.col(group) == first, 1).otherwise(0)).alias("_na"))
-    rc = running_counts(vc, value, buckets=buckets)
+        F.sum(F.when(F.col("_group") == first, 1).otherwise(0)).alias("_na"))
+    rc = running_counts(vc, "_value", buckets=buckets)
     t = F.col(COUNT).cast(_D)
     midrank = F.col(CUM).cast(_D) - (t - 1) / 2
     s = rc.agg(F.sum(F.col("_na").cast(_D) * midrank).alias("_ra"),
                F.sum("_na").cast(_D).alias("_n1"), F.sum(COUNT).cast(_D).alias("_n"),
-               F.sum(t * t * t - t).alias("tie_term"))
+               F.sum(t * t * t - t).alias("tie_term"), F.max(F.isnan(F.col("_value").cast(_D))).alias("_nan"))
     n1 = F.col("_n1")
     n2 = F.col("_n") - n1
-    u1 = F.col("_ra") - n1 * (n1 + 1) / 2
+    u1 = F.when(F.col("_nan"), F.lit(float("nan"))).otherwise(F.col("_ra") - n1 * (n1 + 1) / 2)
     out = s.select(u1.alias("U_statistic"), n1.cast("long").alias("n_first"),
                    n2.cast("long").alias("n_second"), F.col("tie_term"))
     if with_p:
-        out = out.withColumn("P_value", pvalues.mwu_p(F.col("U_statistic"), F.col("n_first"),
-                                                      F.col("n_second"), F.col("tie_term")))
+        out = out.withColumn("P_value", F.when(~F.isnan("U_statistic"), pvalues.mwu_p(
+            F.nanvl("U_statistic", F.lit(0.0)), F.col("n_first"), F.col("n_second"), F.col("tie_term"))))
     return out
 
 

@@ -28,7 +28,7 @@ def sse_to_messages(lines: DataFrame, value: str = "value") -> DataFrame:
     raw = F.col(value)
     t = java_trim(raw)
     keep = (t != "") & ~t.startswith("event:") & ~t.startswith("id:")
-    text = F.when(raw.startswith("data:"), java_trim(F.substring(raw, 6, 1 << 30))).otherwise(t)
+    text = F.when(raw.startswith("data:"), java_trim(F.substr(raw, F.lit(6)))).otherwise(t)
     return (lines.where(keep)
                  .select(F.to_json(F.struct(text.alias(ENVELOPE_KEY))).alias("value")))
 

@@ -232,3 +232,19 @@ def test_tukey_only_after_significant_welch(spark):
     assert stats.tukey_after_welch(far, "v", "g").count() == 1
     got = stats.tukey_after_welch(near, "v", "g")
     assert got.count() == 0 and "p_adj" in got.columns
+
+
+def test_mann_whitney_names_and_nan(spark):
+    rows = [("a", 1.0), ("a", 4.0), ("b", 2.0), ("b", 9.0), ("b", 9.5)]
+    plain = stats.mann_whitney(spark.createDataFrame(rows, "g string, v double"), "v", "g", "a", "b").first()
+    clash = stats.mann_whitney(spark.createDataFrame(rows, "_na string, _n double"), "_n", "_na", "a", "b").first()
+    assert tuple(plain) == tuple(clash) and plain.U_statistic == 1.0
+    nan = stats.mann_whitney(spark.createDataFrame(rows + [("b", float("nan"))], "g string, v double"), "v", "g", "a", "b").first()
+    assert np.isnan(nan.U_statistic) and nan.P_value is None and nan.n_second == 4
+
+
+def test_long_stream_lines_stay_whole(spark):
+    from ludica.sources.messages import sse_to_messages
+    line = "data: " + "x" * 3_000_000
+    got = sse_to_messages(spark.createDataFrame([(line,)], "value string")).first().value
+    assert len(got) == 3_000_000 + len('{"data":""}')
