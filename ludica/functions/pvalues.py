@@ -29,13 +29,14 @@ def f_test_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def tukey_p(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def tukey_cell(cell: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
+    """Tail polynomial of a cell of the studentized range."""
     out = []
-    for a, b, c in zip(q, k, df):
-        a, b, c = _none(a), _none(b), _none(c)
-        out.append(None if b is None else special.studentized_range_sf(a, int(b), c))
-    return pd.Series(out, dtype="float64")
+    for a, b, c in zip(cell, k, df):
+        b, c = _none(b), _none(c)
+        out.append(None if b is None or c is None else special.studentized_range_cell(int(a), int(b), float(c)))
+    return pd.Series(out, dtype="object")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -56,3 +57,13 @@ def mwu_p(u1: pd.Series, n1: pd.Series, n2: pd.Series, tie_term: pd.Series) -> p
         ok = u is not None and a is not None and b is not None
         out.append(special.mwu_two_sided_p(u, int(a), int(b), t or 0.0) if ok else None)
     return pd.Series(out, dtype="float64")
+
+
+@F.pandas_udf(T.DoubleType())
+def mwu_tied_p(u1: pd.Series, n1: pd.Series, n2: pd.Series, cums: pd.Series) -> pd.Series:
+    """Exact p given the tie groups; NULL where they are not listed."""
+    out = []
+    for u, a, b, ends in zip(u1, n1, n2, cums):
+        known = ends is not None and len(ends) and _none(u) is not None
+        out.append(special.mwu_tied_two_sided_p(u, int(a), int(b), [int(e) for e in ends]) if known else None)
+    return pd.Series(out, dtype="float64")

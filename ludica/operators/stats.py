@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludica.functions import pvalues
+from ludica.functions import pvalues, special
 from ludica.operators.aggregate import MAX_BROADCAST_GROUPS, attach_summary, materialize_summary
 from ludica.operators.ranking import COUNT, CUM, quantiles, running_counts, value_counts
 
@@ -166,7 +166,8 @@ def tukey_hsd(df: DataFrame, value: str, group: str, alpha: float = 0.05,
     join of the k-row statistics table on ``group1 < group2`` (broadcast where
     the counted size allows it) and are dealt over the shuffle partitions
     before their p-values are computed. Data rows are only touched by the
-    first aggregate.
+    first aggregate. Tails and limits come from ``with_range_tail``, so the
+    quadratures don't grow with the pairs.
     """
     st, k = materialize_summary(_group_stats(df, value, group))
     st = _with_totals(st, _N=F.sum("n"), _k=F.count(F.lit(1)), _ssw=F.sum((F.col("n") - 1) * F.col("var")))
@@ -183,15 +184,41 @@ def tukey_hsd(df: DataFrame, value: str, group: str, alpha: float = 0.05,
                        "_k", (F.col("_N") - F.col("_k")).alias("_df"))
     if not with_p:
         return out.drop("_se", "_k", "_df")
-    qcrit = pvalues.tukey_qcrit(F.lit(alpha), F.col("_k"), F.col("_df"))
-    out = (out.withColumn("p_adj", pvalues.tukey_p(F.col("q"), F.col("_k"), F.col("_df")))
-              .withColumn("_qc", qcrit))
+    out = with_range_tail(out, alpha)
     return out.select("group1", "group2", "meandiff", "q", "p_adj",
                       (F.col("meandiff") - F.col("_qc") * F.col("_se")).alias("lower"),
                       (F.col("meandiff") + F.col("_qc") * F.col("_se")).alias("upper"),
                       (F.col("p_adj") < F.lit(alpha)).alias("reject"))
 
 
+def with_range_tail(pairs: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """``p_adj`` = P(Q > q) and ``_qc``, the critical value, for rows with q, _k, _df.
+
+    The tail is a table: log(1 + q) falls into a cell of fixed width, each
+    distinct (cell, _k, _df) is fitted once by quadrature, and its polynomial
+    is joined to the rows and evaluated by column expressions (error below
+    1e-9). A (_k, _df) has at most RANGE_CELLS * log(largest double) cells,
+    about 22,700, however many rows there are: so the table is broadcast where
+    it holds one (_k, _df), as it does for the pairs of one comparison.
+    """
+    x = F.log1p("q") * special.RANGE_CELLS
+    pairs = pairs.withColumn("_cell", F.coalesce(F.floor(x).cast("int"), F.lit(-1)))
+    keys = ["_cell", "_k", "_df"]
+    cells = pairs.select(*keys).distinct()
+    cells, n = materialize_summary(cells.select(
+        *[F.col(c).alias(f"_t{c}") for c in keys], pvalues.tukey_cell("_cell", "_k", "_df").alias("_poly"),
+        pvalues.tukey_qcrit(F.lit(alpha), F.col("_k"), F.col("_df")).alias("_qc")))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_t{c}"))
+    out = pairs.join(F.broadcast(cells) if n <= MAX_BROADCAST_GROUPS else cells, same, "left")
+    u, p = (x - F.col("_cell")) * 2 - 1, F.lit(0.0)
+    for i in reversed(range(special.RANGE_POINTS)):
+        p = p * u + F.col("_poly")[i]
+    return (out.withColumn("p_adj", F.when(p.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))))
+            .drop("_poly", "_cell", *[f"_t{c}" for c in keys]))
+
+
 # ----------------------------------------------------------------------- T4
 
 def mann_whitney(df: DataFrame, value: str, group: str, first: str, second: str,
@@ -227,6 +254,46 @@ def mann_whitney(df: DataFrame, value: str, group: str, first: str, second: str,
     return out
 
 
+#: Samples of together at most this many values have an exact p-value.
+EXACT_ITEMS = 100
+
+
+def mann_whitney_by(df: DataFrame, value: str, group: str, first: str, second: str, by: Sequence[str]) -> DataFrame:
+    """T4 within each stratum: one row per distinct ``by`` (NULL is a stratum).
+
+    All strata are ranked together (``running_counts`` by stratum and value
+    range, so neither a large stratum nor a frequent value sits in one task).
+    A stratum of at most ``EXACT_ITEMS`` values keeps the running counts of its
+    tie groups and gets the exact p-value given these ties (``method`` exact:
+    twice the smaller tail); a larger one gets the p-value of ``mann_whitney``
+    (exact without ties and with a sample of at most 8, else asymptotic). A
+    stratum without one of the samples, or with a NaN, has NULL ``P_value``.
+    """
+    # own names: the table may have columns called like the counts
+    keys = [f"_by{i}" for i in range(len(by))]
+    two = (df.where(F.col(group).isin(first, second) & F.col(value).isNotNull())
+           .select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(group).alias("_group"),
+                   F.col(value).cast(_D).alias("_value")))
+    vc = two.groupBy(*keys, "_value").agg(
+        F.count(F.lit(1)).alias(COUNT), F.sum(F.when(F.col("_group") == first, 1).otherwise(0)).alias("_na"))
+    rc = running_counts(vc, "_value", keys)
+    t = F.col(COUNT).cast(_D)
+    midrank = F.col(CUM).cast(_D) - (t - 1) / 2
+    s = rc.groupBy(*keys).agg(
+        F.sum(F.col("_na").cast(_D) * midrank).alias("_ra"), F.sum("_na").alias("n_first"),
+        (F.sum(COUNT) - F.sum("_na")).alias("n_second"), F.sum(t * t * t - t).alias("tie_term"),
+        F.max(F.isnan("_value")).alias("_nan"),
+        F.array_sort(F.collect_list(F.when(F.col("_total") <= EXACT_ITEMS, F.col(CUM)))).alias("_cums"))
+    n1 = F.col("n_first").cast(_D)
+    both = (F.col("n_first") > 0) & (F.col("n_second") > 0) & ~F.col("_nan")
+    exact = (F.size("_cums") > 0) | ((F.col("tie_term") == 0) & (F.least("n_first", "n_second") <= 8))
+    s = s.withColumn("U_statistic", F.when(both, F.col("_ra") - n1 * (n1 + 1) / 2))
+    p = F.coalesce(pvalues.mwu_tied_p("U_statistic", "n_first", "n_second", "_cums"),
+                   pvalues.mwu_p("U_statistic", "n_first", "n_second", "tie_term"))
+    return s.select(*[F.col(k).alias(b) for b, k in zip(by, keys)], "U_statistic", "n_first", "n_second", "tie_term",
+                    p.alias("P_value"), F.when(both, F.when(exact, "exact").otherwise("asymptotic")).alias("method"))
+
+
 def tukey_after_welch(df: DataFrame, value: str, group: str,
                       alpha: float = 0.05) -> DataFrame:
     """T2 -> T3 as the analysis chains them: the Tukey comparison only when

@@ -724,6 +724,15 @@ def tukey_orders_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_all(stats.tukey_hsd(o, "o_totalprice", "o_orderpriority", with_p=False))
 
 
+@query
+def tukey_orders_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 on orders: adjusted p-values, limits and decision for all pairs of priorities."""
+    o = _table(spark, sf_dir, "orders", "o_totalprice", "o_orderpriority")
+    t = stats.tukey_hsd(o, "o_totalprice", "o_orderpriority")
+    return t.select("group1", "group2", r6("p_adj").alias("p_adj"), F.round("lower", 3).alias("lower"),
+                    F.round("upper", 3).alias("upper"), "reject")
+
+
 @query
 def levene_lineitem_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 on lineitem: extended price spread by return flag (exact medians)."""
@@ -781,6 +790,13 @@ def mannwhitney_lineitem_test(spark: SparkSession, sf_dir: str) -> DataFrame:
         "U_statistic", "p_value", "reject", "decision"))
 
 
+@query
+def mannwhitney_part_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 for each part: quantity of accepted against returned lines, exact given the ties."""
+    li = _table(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_returnflag")
+    return _round_all(stats.mann_whitney_by(li, "l_quantity", "l_returnflag", "A", "R", ["l_partkey"]))
+
+
 @query
 def box_lineitem_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 on lineitem: extended price box statistics per return flag."""

@@ -663,3 +663,60 @@ register("mannwhitney_lineitem_test", _p_value(
     " / sqrt(CAST(n_first AS DOUBLE) * n_second / 12 * (n_first + n_second + 1"
     " - tie_term / (CAST(n_first + n_second AS DOUBLE) * (n_first + n_second - 1))))",
     "exp(-u * u / 2) / sqrt(2 * pi())", 2, "ROUND(U_statistic, 6) AS U_statistic"))
+
+# Mann-Whitney given the ties: ways to draw the first sample by twice its midrank sum, a tie group a step.
+register("mannwhitney_part_exact", """
+WITH RECURSIVE vc AS (SELECT l_partkey, l_quantity AS v, count(*) AS t, count(*) FILTER (l_returnflag = 'A') AS na
+                      FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2),
+rk AS (SELECT l_partkey, t, na, row_number() OVER w AS i, CAST(2 * sum(t) OVER w - t + 1 AS BIGINT) AS doubled
+       FROM vc WINDOW w AS (PARTITION BY l_partkey ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+s AS (SELECT l_partkey, CAST(sum(na * doubled) AS BIGINT) AS d, CAST(sum(na) AS BIGINT) AS n1, CAST(sum(t) AS BIGINT) AS n,
+             max(i) AS last, CAST(sum(t * t * t - t) AS DOUBLE) AS tie_term FROM rk GROUP BY 1),
+walk(l_partkey, i, j, d, ways) AS (
+  SELECT l_partkey, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS DOUBLE) FROM s WHERE n1 BETWEEN 1 AND n - 1
+  UNION ALL
+  SELECT l_partkey, i, j, d, sum(ways) FROM (
+    SELECT w.l_partkey, rk.i, w.j + c.c AS j, w.d + c.c * rk.doubled AS d,
+           w.ways * round(exp(lgamma(rk.t + 1) - lgamma(c.c + 1) - lgamma(rk.t - c.c + 1))) AS ways
+    FROM walk w JOIN rk ON rk.l_partkey = w.l_partkey AND rk.i = w.i + 1 JOIN s ON s.l_partkey = w.l_partkey
+    JOIN (SELECT range AS c FROM range(101)) c ON c.c <= rk.t AND c.c <= s.n1 - w.j) step
+  GROUP BY ALL),
+tails AS (SELECT s.l_partkey, sum(w.ways) AS ways, sum(w.ways) FILTER (w.d >= s.d) AS high, sum(w.ways) FILTER (w.d <= s.d) AS low
+          FROM walk w JOIN s ON s.l_partkey = w.l_partkey AND w.i = s.last AND w.j = s.n1 GROUP BY 1)
+SELECT s.l_partkey, CASE WHEN n1 BETWEEN 1 AND n - 1 THEN ROUND(d / 2.0 - n1 * (n1 + 1) / 2.0, 6) END AS U_statistic,
+       n1 AS n_first, n - n1 AS n_second, ROUND(tie_term, 6) AS tie_term,
+       ROUND(least(1.0, 2 * least(high, low) / ways), 6) AS P_value,
+       CASE WHEN n1 BETWEEN 1 AND n - 1 THEN 'exact' END AS method
+FROM s LEFT JOIN tails USING (l_partkey)
+""")
+
+# Tukey's tail: sums over even grids of the maximum z and the scaled deviation s, where the integrand vanishes at both
+# ends; the normal distribution by its series; the critical value by bisection.
+_PHI = ("(CASE WHEN {x} < -8.5 THEN 0.0 WHEN {x} > 8.5 THEN 1.0 ELSE 0.5 + sign({x}) * exp(-({x}) * ({x}) / 2) / sqrt(2 * pi())"
+        " * list_sum(list_transform(odd, lambda o, n: exp((2 * n - 1) * ln(greatest(abs({x}), 1e-30)) - o))) END)")
+_RANGE_CDF = ("sum(ws * k * wz * pow(greatest(pz - " + _PHI.format(x="(z - q * s)") + ", 0), k - 1))")
+register("tukey_orders_test", f"""
+WITH RECURSIVE st AS (SELECT o_orderpriority AS g, CAST(count(*) AS DOUBLE) AS n, avg(o_totalprice) AS m, var_samp(o_totalprice) AS v
+                      FROM orders GROUP BY 1),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS k, sum(n) - count(*) AS df, sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM st),
+pairs AS (SELECT a.g AS group1, b.g AS group2, b.m - a.m AS meandiff, sqrt(mse / 2 * (1 / a.n + 1 / b.n)) AS se,
+                 abs(b.m - a.m) / sqrt(mse / 2 * (1 / a.n + 1 / b.n)) AS q
+          FROM st a JOIN st b ON a.g < b.g, tot),
+coef AS (SELECT list(lgamma(range + 1.5) + (range + 1) * ln(2.0) - 0.5 * ln(pi()) ORDER BY range) AS odd FROM range(140)),
+zs AS (SELECT odd, -8.5 + 0.1 * range AS z, 0.1 * exp(-pow(-8.5 + 0.1 * range, 2) / 2) / sqrt(2 * pi()) AS wz FROM range(171), coef),
+zp AS (SELECT z, wz, odd, {_PHI.format(x='z')} AS pz FROM zs),
+sg AS (SELECT k, 1 + (range - 30) * 0.3 / sqrt(2 * df) AS s,
+              exp((df - 1) * ln(1 + (range - 30) * 0.3 / sqrt(2 * df)) - df * (pow(1 + (range - 30) * 0.3 / sqrt(2 * df), 2) - 1) / 2) AS f
+       FROM range(61), tot WHERE 1 + (range - 30) * 0.3 / sqrt(2 * df) > 0),
+sw AS (SELECT k, s, f / sum(f) OVER () AS ws FROM sg),
+grid AS (SELECT * FROM zp, sw),
+tail AS (SELECT group1, group2, 1 - {_RANGE_CDF} AS p FROM pairs, grid GROUP BY 1, 2),
+bis(i, lo, hi) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(64 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN c < 0.95 THEN q ELSE lo END, CASE WHEN c < 0.95 THEN hi ELSE q END
+  FROM (SELECT i, lo, hi, q, {_RANGE_CDF} AS c FROM (SELECT *, (lo + hi) / 2 AS q FROM bis WHERE i < 44) b, grid GROUP BY 1, 2, 3, 4) t)
+SELECT group1, group2, ROUND(p, 6) AS p_adj, ROUND(meandiff - (lo + hi) / 2 * se, 3) AS lower,
+       ROUND(meandiff + (lo + hi) / 2 * se, 3) AS upper, p < 0.05 AS reject
+FROM pairs JOIN tail USING (group1, group2), bis WHERE i = 44
+""")
