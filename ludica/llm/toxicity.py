@@ -18,7 +18,8 @@ and brackets may follow).
 
 Defined cases: null and wordless texts have no sentences and score 0; label
 rows with a null id or label are passed over, and of several labels of an id
-the larger one holds; repeated documents score alike; without any labelled
+the larger one holds; repeated documents score alike, and an id that occurs
+more than once trains by its smallest text; without any labelled
 rows of both kinds every document scores 0; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -106,7 +107,8 @@ class Sentences:
 
 
 def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, label) of the training rows: not held out, at most about SAMPLE_DOCS."""
+    """(text, label) of the training rows: not held out, at most about
+    SAMPLE_DOCS, one row a doc_id (its smallest text) however often it occurs."""
     known = (labels.where("doc_id is not null and toxic is not null")
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(id_remainder("doc_id", HOLD_OUT) != 0)
@@ -117,7 +119,8 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     order = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30))
     chosen = materialize(known.where(order < int(rate * (1 << 30))), "toxicity-chosen")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return materialize(one.select("text", "label"), "toxicity-sample")
 
 
 def _frequencies(rows: DataFrame) -> DataFrame:

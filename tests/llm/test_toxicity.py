@@ -1,6 +1,9 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ludica.llm import toxicity as T
 from ludica.llm.queries import op8_toxicity_mil
@@ -93,6 +96,17 @@ def test_without_usable_labels(spark, odd_docs):
         r["score"] for r in T.score_documents(odd_docs, model).collect()) < 1e-12
 
 
+def test_a_repeated_id_is_one_training_row(spark):
+    """Also an id on most rows, with several texts, and labels of ids without a document."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % T.HOLD_OUT]
+    docs = spark.createDataFrame([(ids[0], f"text {k % 7}") for k in range(3000)] + [(i, "b") for i in ids[1:]] + [(ids[1], None)],
+                                 "doc_id long, text string").withColumn("label", F.lit("clash"))
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], 1), (10 ** 9, 1)], "doc_id long, toxic int")
+    rows = T._sampled(docs, labels).collect()
+    assert len(rows) == len(ids) and sorted(r["text"] for r in rows) == ["b"] * (len(ids) - 1) + ["text 0"]
+    assert [r["label"] for r in rows if r["text"] == "text 0"] == [1]
+
+
 def test_query(spark):
     rows = op8_toxicity_mil(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
