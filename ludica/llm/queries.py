@@ -27,10 +27,9 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user and assistant turns of all conversations as linked and
-    validated calls; other roles are left out, and no call points forward."""
+    """The turns of all conversations as linked, ordered and validated calls."""
     return tool_calls.link_calls(*tool_calls.calls_of_conversations(read_table(spark, sf_dir, "conversations")),
-                                 tool_calls.REPLY_SCHEMAS)
+                                 tool_calls.TURN_SCHEMAS)
 
 
 def op4_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,34 +188,53 @@ ORACLE: dict[str, str] = {
           FROM scored WHERE score > 0)
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
     "op3_tool_call_linking": """
-        WITH calls AS (
-          SELECT conv_id, turn, coalesce(conv_id::VARCHAR, '') || ':' || turn::VARCHAR AS call_id, text
-          FROM conversations WHERE role = 'user'),
+        WITH RECURSIVE calls AS (
+          SELECT conv_id, turn, coalesce(conv_id::VARCHAR, '') || ':' || turn::VARCHAR AS call_id, text,
+                 CASE role WHEN 'user' THEN 'reply' WHEN 'system' THEN 'instruct' ELSE coalesce(role, 'unknown') END AS name
+          FROM conversations WHERE role IS DISTINCT FROM 'assistant'),
         one AS (
-          SELECT call_id, min(conv_id) AS group_id, min(turn) AS position, arg_min(text, (turn, text)) AS text, count(*) AS n_calls
+          SELECT call_id, min(conv_id) AS group_id, min(turn) AS position, arg_min(text, (turn, name, text)) AS text,
+                 min(name) AS name, count(*) AS n_calls
           FROM calls WHERE call_id IS NOT NULL GROUP BY call_id),
         answers AS (
           SELECT coalesce(conv_id::VARCHAR, '') || ':' || (turn - 1)::VARCHAR AS call_id,
                  arg_min(text, (turn, text)) AS content, count(*) AS n_results
           FROM conversations WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY 1),
-        missing AS (
-          SELECT o.call_id, 1 AS n_missing FROM one o
-          LEFT JOIN one d ON d.call_id = coalesce(o.group_id::VARCHAR, '') || ':' || (o.position - 2)::VARCHAR
-          WHERE o.position >= 2 AND d.call_id IS NULL)
+        wants AS (
+          SELECT call_id, group_id, position, unnest(CASE
+                   WHEN group_id % 2 = 0 THEN [2 * (2 * (position // 2) + 1) + position % 2, 2 * (2 * (position // 2) + 2) + position % 2]
+                   WHEN position >= 2 THEN [position - 2] ELSE [] END) AS dep_position
+          FROM one),
+        edges AS (
+          SELECT w.*, d.call_id AS dep
+          FROM wants w LEFT JOIN one d ON d.call_id = coalesce(w.group_id::VARCHAR, '') || ':' || w.dep_position::VARCHAR),
+        missing AS (SELECT call_id, count(*) AS n_missing FROM edges WHERE dep IS NULL GROUP BY 1),
+        forward AS (SELECT DISTINCT group_id FROM edges WHERE dep IS NOT NULL AND dep_position >= position),
+        steps(call_id, level) AS (
+          SELECT call_id, 0 FROM one WHERE call_id NOT IN (SELECT call_id FROM edges WHERE dep IS NOT NULL)
+          UNION
+          SELECT e.call_id, s.level + 1 FROM steps s JOIN edges e ON e.dep = s.call_id JOIN forward f ON f.group_id = e.group_id),
+        levels AS (SELECT call_id, max(level) AS level FROM steps GROUP BY 1),
+        checked AS (
+          SELECT *, CASE WHEN name NOT IN ('reply', 'instruct') THEN 'no schema' WHEN text IS NULL THEN '$.text: missing'
+                         WHEN text = '' THEN '$.text: length 0'
+                         WHEN name = 'instruct' AND position <> 0 THEN '$.turn: not one of the values'
+                         WHEN position < 0 THEN '$.turn: out of range' END AS wrong
+          FROM one)
         SELECT o.group_id, coalesce(o.call_id, a.call_id) AS call_id, o.position,
-               CASE WHEN o.call_id IS NOT NULL THEN 0::INTEGER END AS level,
-               CASE WHEN o.call_id IS NOT NULL THEN 'reply' END AS name,
+               CASE WHEN o.call_id IS NOT NULL THEN coalesce(l.level, 0)::INTEGER END AS level,
+               o.name,
                coalesce(o.n_calls, 0)::BIGINT AS n_calls, coalesce(a.n_results, 0)::BIGINT AS n_results,
                coalesce(m.n_missing, 0)::BIGINT AS n_missing,
                CASE WHEN o.call_id IS NULL THEN 'orphan' WHEN a.call_id IS NULL THEN 'open' ELSE 'linked' END AS status,
-               (o.call_id IS NOT NULL AND o.text <> '') AS valid,
-               CASE WHEN o.call_id IS NULL THEN 'no call' WHEN o.text IS NULL THEN '$.text: missing'
-                    WHEN o.text = '' THEN '$.text: length 0' END AS error,
+               (o.call_id IS NOT NULL AND o.wrong IS NULL) AS valid,
+               CASE WHEN o.call_id IS NULL THEN 'no call' ELSE o.wrong END AS error,
                '{"arguments":' || CASE WHEN o.call_id IS NULL THEN 'null' ELSE '{' ||
                    CASE WHEN o.text IS NULL THEN '' ELSE '"text":' || to_json(o.text)::VARCHAR || ',' END
                    || '"turn":' || o.position::VARCHAR || '}' END
                || ',"id":' || to_json(coalesce(o.call_id, a.call_id))::VARCHAR
-               || ',"name":' || CASE WHEN o.call_id IS NULL THEN 'null' ELSE '"reply"' END
+               || ',"name":' || CASE WHEN o.call_id IS NULL THEN 'null' ELSE to_json(o.name)::VARCHAR END
                || ',"result":' || coalesce(to_json(a.content)::VARCHAR, 'null') || '}' AS json
-        FROM one o FULL JOIN answers a ON o.call_id = a.call_id LEFT JOIN missing m ON m.call_id = o.call_id""",
+        FROM checked o FULL JOIN answers a ON o.call_id = a.call_id LEFT JOIN missing m ON m.call_id = o.call_id
+          LEFT JOIN levels l ON l.call_id = o.call_id""",
 }

@@ -169,21 +169,38 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
             .select("group_id", "call_id", "position", "level", "name", "n_calls", "n_results", "n_missing", "status", "_s.*"))
 
 
-#: The tool that a conversation's turns call: a user turn is a call, the turn after it its result.
-REPLY_SCHEMAS = {"reply": {"properties": {"text": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}},
-                           "required": ["text", "turn"], "additionalProperties": False}}
+_TURN = {"properties": {"text": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}},
+         "required": ["text", "turn"], "additionalProperties": False}
+#: The tools that a conversation's turns call: a system turn instructs, and only at the start; a user turn asks for a reply.
+TURN_SCHEMAS = {"reply": _TURN, "instruct": {**_TURN, "properties": {**_TURN["properties"], "turn": {"enum": [0]}}}}
 
 
 def calls_of_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results of (conv_id, turn, role, text): a user turn calls
-    ``reply`` under the identifier conv_id:turn, after the call two turns
-    before; an assistant turn is the result of the turn before it."""
+    """Calls and results of (conv_id, turn, role, text), each turn one or the
+    other: an assistant turn is the result of the turn before it, any other
+    turn is a call under the identifier conv_id:turn. User turns call
+    ``reply``, system turns ``instruct``, others a tool of their role's name
+    (``unknown`` for null), which has no schema.
+
+    In conversations of odd (or null) id a call comes after the one two turns
+    before. In those of even id calls are nested: the turns of each parity are
+    listed as a heap, parents first, and a call waits for its two sub-calls,
+    which stand later. Sub-calls beyond the end, or those that are results,
+    are missing dependencies. Rows without a turn have no identifier.
+    """
     conv, turn = F.col("conv_id").cast("long"), F.col("turn").cast("long")
-    name = lambda back: F.concat(F.coalesce(conv.cast("string"), F.lit("")), F.lit(":"), (turn - back).cast("string"))
-    text = F.col("text").cast("string")
-    calls = turns.where("role = 'user'").select(
-        conv.alias("group_id"), name(0).alias("call_id"), turn.alias("position"), F.lit("reply").alias("name"),
-        F.to_json(F.struct(text.alias("text"), turn.alias("turn"))).alias("arguments"),
-        F.when(turn >= 2, F.array(name(2))).otherwise(F.array().cast("array<string>")).alias("after"))
-    results = turns.where("role = 'assistant'").select(name(1).alias("call_id"), turn.alias("position"), text.alias("content"))
+    name = lambda at: F.concat(F.coalesce(conv.cast("string"), F.lit("")), F.lit(":"), at.cast("string"))
+    back = lambda by: F.try_subtract(turn, F.lit(by).cast("long"))
+    # number k of a parity waits for 2k + 1 and 2k + 2, which are the turns 2 * turn - parity + 2 and two later
+    sub = lambda by: F.try_add(F.try_multiply(F.lit(2).cast("long"), turn), F.lit(by).cast("long") - turn % 2)
+    text, role = F.col("text").cast("string"), F.col("role").cast("string")
+    nested = F.coalesce(conv % 2 == 0, F.lit(False)) & (turn >= 0)
+    after = (F.when(nested, F.array(name(sub(2)), name(sub(4)))).when(turn >= 2, F.array(name(back(2))))
+             .otherwise(F.array().cast("array<string>")))
+    tool = F.when(role == "user", "reply").when(role == "system", "instruct").otherwise(F.coalesce(role, F.lit("unknown")))
+    is_result = role.eqNullSafe("assistant")
+    calls = turns.where(~is_result).select(
+        conv.alias("group_id"), name(turn).alias("call_id"), turn.alias("position"), tool.alias("name"),
+        F.to_json(F.struct(text.alias("text"), turn.alias("turn"))).alias("arguments"), F.array_compact(after).alias("after"))
+    results = turns.where(is_result).select(name(back(1)).alias("call_id"), turn.alias("position"), text.alias("content"))
     return calls, results

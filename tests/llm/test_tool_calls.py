@@ -70,13 +70,42 @@ def test_query_equals_sql(spark):
         str(tuple(v for _, v in sorted(zip(names, row)))) for row in want.fetchall())
 
 
+TURNS = "conv_id long, turn long, role string, text string"
+
+
 def test_odd_conversations(spark):
     rows = [(None, None, "user", "a"), (None, 0, None, "b"), (1, 0, "user", None), (1, 1, "assistant", None), (1, 0, "user", ""), (2, 5, "assistant", "x"),
-            (2, 0, "system", "s"), (3, 4, "user", "long " * 20000)]
+            (2, 0, "system", "s"), (2, 3, "system", "late"), (3, 4, "user", "long " * 20000), (3, 2, "tool", "t"), (4, 2 ** 63 - 1, "user", "far"),
+            (5, -2 ** 63, "assistant", "no id"), (6, -1, "user", "early")]
     got = {r["call_id"]: r for r in C.link_calls(*C.calls_of_conversations(
-        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("name", F.lit("x"))), C.REPLY_SCHEMAS).collect()}
-    assert set(got) == {"1:0", "2:4", "3:4"} and got["1:0"]["n_calls"] == 2 and got["2:4"]["status"] == "orphan"
-    assert got["3:4"]["n_missing"] == 1 and got["3:4"]["valid"]
+        spark.createDataFrame(rows, TURNS).withColumn("name", F.lit("x"))), C.TURN_SCHEMAS).collect()}
+    assert set(got) == {":0", "1:0", "2:4", "2:0", "2:3", "3:4", "3:2", f"4:{2 ** 63 - 1}", "6:-1"}
+    assert got["1:0"]["n_calls"] == 2 and got["2:4"]["status"] == "orphan" and got[":0"]["name"] == "unknown"
+    assert got["3:4"]["n_missing"] == 0 and got["3:4"]["valid"] and got["3:2"]["error"] == "no schema" and got["3:2"]["n_missing"] == 1
+    assert got["2:0"]["valid"] and got["2:3"]["error"] == "$.turn: not one of the values" and got["2:0"]["n_missing"] == 2
+    assert got["6:-1"]["error"] == "$.turn: out of range" and got[f"4:{2 ** 63 - 1}"]["n_missing"] == 0
+
+
+def test_nested_conversations_are_ordered(spark):
+    """Sub-calls first, whatever the length; backward conversations stay in listed order."""
+    rows = [(c, t, "user", "x") for c, n in ((2, 62), (4, 1), (6, 40), (3, 30)) for t in range(n)]
+    calls, results = C.calls_of_conversations(spark.createDataFrame(rows, TURNS))
+    got = {r["call_id"]: r for r in C.link_calls(calls, results, C.TURN_SCHEMAS).collect()}
+    assert len(got) == len(rows) and {r["level"] for r in got.values() if r["group_id"] == 3} == {0}
+    assert {r["level"] for r in got.values() if r["group_id"] == 2} == set(range(5)) and got["4:0"]["level"] == 0
+    for call in calls.collect():
+        for dep in call["after"]:
+            if dep in got:
+                a, b = got[dep], got[call["call_id"]]
+                assert (a["level"], a["position"]) < (b["level"], b["position"])
+    assert got["2:0"]["n_missing"] == 0 and got["2:60"]["n_missing"] == 2
+
+
+def test_the_query_takes_the_ordering_path(spark):
+    rows = op3_tool_call_linking(spark, "/root/testdata/sf0.001").collect()
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    assert sum(r["n_calls"] + r["n_results"] for r in rows) == turns.count()
+    assert max(r["level"] or 0 for r in rows) > 0 and {"reply", "instruct"} <= {r["name"] for r in rows}
 
 
 @pytest.mark.parametrize("n", [400])
