@@ -133,10 +133,11 @@ def _frequencies(rows: DataFrame) -> DataFrame:
                 s = Sentences(piece.column("text"))
                 word, bucket = s.word_features()
                 order = np.argsort(word, kind="stable")
+                of_words = bucket[order]
                 per_word = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(s.distinct)))])
                 for k, y in enumerate(label):
                     own = np.unique(s.codes[s.text_words[k]:s.text_words[k + 1]])
-                    found, _ = ragged_take(bucket[order], per_word, own)
+                    found, _ = ragged_take(of_words, per_word, own)
                     seen[y, np.unique(found)] += 1
                     seen[y, BUCKETS] += 1
         y, at = np.nonzero(seen)
