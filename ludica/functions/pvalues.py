@@ -65,5 +65,5 @@ def mwu_tied_p(u1: pd.Series, n1: pd.Series, n2: pd.Series, cums: pd.Series) ->
     out = []
     for u, a, b, ends in zip(u1, n1, n2, cums):
         known = ends is not None and len(ends) and _none(u) is not None
-        out.append(special.mwu_tied_two_sided_p(u, int(a), int(b), [int(e) for e in ends]) if known else None)
+        out.append(special.mwu_tied_two_sided_p(u, int(a), int(b), ends.tolist()) if known else None)
     return pd.Series(out, dtype="float64")

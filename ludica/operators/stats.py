@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludica.functions import pvalues, special
@@ -256,13 +256,18 @@ def mann_whitney(df: DataFrame, value: str, group: str, first: str, second: str,
 
 #: Samples of together at most this many values have an exact p-value.
 EXACT_ITEMS = 100
+#: A stratum of at most this many rows (not below EXACT_ITEMS) is ranked within one task.
+SMALL_STRATUM = 10_000
 
 
 def mann_whitney_by(df: DataFrame, value: str, group: str, first: str, second: str, by: Sequence[str]) -> DataFrame:
     """T4 within each stratum: one row per distinct ``by`` (NULL is a stratum).
 
-    All strata are ranked together (``running_counts`` by stratum and value
-    range, so neither a large stratum nor a frequent value sits in one task).
+    A first job counts the rows of the strata. Those of at most
+    ``SMALL_STRATUM`` rows are dealt over the shuffle partitions once, then
+    counted, ranked and tested there; larger ones (few: at most one for so many
+    rows) are ranked together by ``running_counts``, by stratum and value range,
+    so neither a large stratum nor a frequent value sits in one task.
     A stratum of at most ``EXACT_ITEMS`` values keeps the running counts of its
     tie groups and gets the exact p-value given these ties (``method`` exact:
     twice the smaller tail); a larger one gets the p-value of ``mann_whitney``
@@ -274,26 +279,49 @@ def mann_whitney_by(df: DataFrame, value: str, group: str, first: str, second: s
     two = (df.where(F.col(group).isin(first, second) & F.col(value).isNotNull())
            .select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(group).alias("_group"),
                    F.col(value).cast(_D).alias("_value")))
-    vc = two.groupBy(*keys, "_value").agg(
-        F.count(F.lit(1)).alias(COUNT), F.sum(F.when(F.col("_group") == first, 1).otherwise(0)).alias("_na"))
-    rc = running_counts(vc, "_value", keys)
-    t = F.col(COUNT).cast(_D)
-    midrank = F.col(CUM).cast(_D) - (t - 1) / 2
-    s = rc.groupBy(*keys).agg(
-        F.sum(F.col("_na").cast(_D) * midrank).alias("_ra"), F.sum("_na").alias("n_first"),
-        (F.sum(COUNT) - F.sum("_na")).alias("n_second"), F.sum(t * t * t - t).alias("tie_term"),
-        F.max(F.isnan("_value")).alias("_nan"),
-        F.array_sort(F.collect_list(F.when(F.col("_total") <= EXACT_ITEMS, F.col(CUM)))).alias("_cums"))
+    large = two.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT)).where(F.col(COUNT) > SMALL_STRATUM)
+    large, n = materialize_summary(large.select(*[F.col(k).alias(f"_large{k}") for k in keys]))
+    small, parts = two, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_large{k}"))
+        large = F.broadcast(large) if n <= MAX_BROADCAST_GROUPS else large
+        small = two.join(large, same, "left_anti")
+    counts = [F.count(F.lit(1)).alias(COUNT), F.sum(F.when(F.col("_group") == first, 1).otherwise(0)).alias("_na")]
+    upto = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    s = _rank_sums(small.repartition(parts, *keys).groupBy(*keys, "_value").agg(*counts)
+                   .withColumn(CUM, F.sum(COUNT).over(upto)), keys)
+    if n:
+        vc = two.join(large, same, "left_semi").groupBy(*keys, "_value").agg(*counts)
+        s = s.unionByName(_rank_sums(running_counts(vc, "_value", keys), keys, listed=False))
     n1 = F.col("n_first").cast(_D)
     both = (F.col("n_first") > 0) & (F.col("n_second") > 0) & ~F.col("_nan")
-    exact = (F.size("_cums") > 0) | ((F.col("tie_term") == 0) & (F.least("n_first", "n_second") <= 8))
+    listed = F.col("_cums").isNotNull()
+    exact = listed | ((F.col("tie_term") == 0) & (F.least("n_first", "n_second") <= 8))
     s = s.withColumn("U_statistic", F.when(both, F.col("_ra") - n1 * (n1 + 1) / 2))
+    # each row has its value from one of the two: a Python function is run for every row, whatever coalesce needs
     p = F.coalesce(pvalues.mwu_tied_p("U_statistic", "n_first", "n_second", "_cums"),
-                   pvalues.mwu_p("U_statistic", "n_first", "n_second", "tie_term"))
+                   pvalues.mwu_p(F.when(~listed, F.col("U_statistic")), "n_first", "n_second", "tie_term"))
     return s.select(*[F.col(k).alias(b) for b, k in zip(by, keys)], "U_statistic", "n_first", "n_second", "tie_term",
                     p.alias("P_value"), F.when(both, F.when(exact, "exact").otherwise("asymptotic")).alias("method"))
 
 
+def _rank_sums(ranked: DataFrame, keys: Sequence[str], listed: bool = True) -> DataFrame:
+    """Rank sum, sizes and tie term of each stratum; with ``listed`` the running
+    counts of its tie groups (``_cums``) if it has at most ``EXACT_ITEMS`` values."""
+    t = F.col(COUNT).cast(_D)
+    midrank = F.col(CUM).cast(_D) - (t - 1) / 2
+    # the last running count is the number of values, so a count above the bound means that nothing is listed
+    cums = F.array_sort(F.collect_list(F.when(F.col(CUM) <= EXACT_ITEMS, F.col(CUM))))
+    s = ranked.groupBy(*keys).agg(
+        F.sum(F.col("_na").cast(_D) * midrank).alias("_ra"), F.sum("_na").alias("n_first"),
+        (F.sum(COUNT) - F.sum("_na")).alias("n_second"), F.sum(t * t * t - t).alias("tie_term"),
+        F.max(F.isnan("_value")).alias("_nan"), *([cums.alias("_cums")] if listed else []))
+    whole = F.col("n_first") + F.col("n_second") <= EXACT_ITEMS
+    return s.withColumn("_cums", F.when(whole, F.col("_cums")) if listed else F.lit(None).cast("array<bigint>"))
+
+
 def tukey_after_welch(df: DataFrame, value: str, group: str,
                       alpha: float = 0.05) -> DataFrame:
     """T2 -> T3 as the analysis chains them: the Tukey comparison only when
